@@ -1,5 +1,8 @@
 """Power and energy of jobs.
 
+A job at a tick has at most one row per node it holds, so the number of its node
+rows bounds the group; that small table decides how quantiles are computed.
+
 The series have one row per (timestamp, allocation_id); a job therefore has at
 most as many rows as the recorded time has ticks, whatever the machine's size.
 """
@@ -11,11 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import account_domain, add_component_power
 from ..functions.timegrid import seconds_between
-from .cluster import COMPONENT_KINDS
+from .cluster import COMPONENT_SPECS, POWER_KINDS, missing_sums
 from .intervals import join_jobs_by_time
-from .order_stats import stats_of
-
-_JOB_KINDS = ("count", "size", "sum", "mean", "std", "max", "min", "q25", "q50", "q75")
+from .order_stats import MAX_GROUP, grouped_stats
 
 
 def _node_counts() -> list:
@@ -26,26 +27,36 @@ def _node_counts() -> list:
     ]
 
 
-def job_power_ts(nodes: DataFrame, pernode: DataFrame, resolution: str = "10 seconds", bucket: str = "1 hour", time_col: str = "timestamp") -> DataFrame:
+def job_power_ts(
+    nodes: DataFrame,
+    pernode: DataFrame,
+    resolution: str = "10 seconds",
+    bucket: str = "1 hour",
+    time_col: str = "timestamp",
+    max_group: int | None = MAX_GROUP,
+) -> DataFrame:
     """Input and total power statistics of each job at each tick."""
     slim = nodes.select(time_col, "hostname", "input_power_mean", "total_power_mean")
     joined = join_jobs_by_time(slim, pernode, resolution, bucket, time_col)
-    return joined.groupBy(time_col, "allocation_id").agg(
-        *_node_counts(),
-        *stats_of("input_power_mean", "inp", _JOB_KINDS),
-        *stats_of("total_power_mean", "top", _JOB_KINDS),
-    )
-
-
-def job_component_ts(nodes: DataFrame, pernode: DataFrame, resolution: str = "10 seconds", bucket: str = "1 hour", time_col: str = "timestamp") -> DataFrame:
+    specs = [("input_power_mean", "inp", POWER_KINDS), ("total_power_mean", "top", POWER_KINDS)]
+    sizes = job_sizes(pernode, "rows")
+    return grouped_stats(joined, [time_col, "allocation_id"], specs, _node_counts(), sizes, max_group)
+
+
+def job_component_ts(
+    nodes: DataFrame,
+    pernode: DataFrame,
+    resolution: str = "10 seconds",
+    bucket: str = "1 hour",
+    time_col: str = "timestamp",
+    max_group: int | None = MAX_GROUP,
+) -> DataFrame:
     """CPU and GPU power statistics of each job at each tick."""
     slim = add_component_power(nodes).select(time_col, "hostname", "cpu_power", "cpu_nan", "gpu_power", "gpu_nan")
     joined = join_jobs_by_time(slim, pernode, resolution, bucket, time_col)
-    aggs = _node_counts()
-    for part in ("cpu", "gpu"):
-        aggs += stats_of(f"{part}_power", f"{part}_power", COMPONENT_KINDS)
-        aggs.append(F.sum(f"{part}_nan").alias(f"{part}_nans"))
-    return joined.groupBy(time_col, "allocation_id").agg(*aggs)
+    sizes = job_sizes(pernode, "rows")
+    extra = [*_node_counts(), *missing_sums()]
+    return grouped_stats(joined, [time_col, "allocation_id"], COMPONENT_SPECS, extra, sizes, max_group)
 
 
 def job_power_summary(series: DataFrame, time_col: str = "timestamp") -> DataFrame:
