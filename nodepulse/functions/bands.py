@@ -29,12 +29,23 @@ def band(col: Column | str, cuts=BAND_CUTS, low: float | None = None, high: floa
 
 
 def band_counts(cols: list[str], prefix: str, cuts=BAND_CUTS, low=None, high=None) -> dict[str, Column]:
-    """For each band, how many of ``cols`` are in it."""
-    bands = [band(c, cuts, low, high) for c in cols]
-    return {
-        f"{prefix}_band{k}": reduce(add, [is_true(b == k).cast("int") for b in bands])
-        for k in range(len(cuts) + 1)
-    }
+    """For each band, how many of ``cols`` are in it.
+
+    A band's count is the number of readings at or above its lower limit, less
+    the number at or above the next one's.
+    """
+
+    def at_least(limit: float | None) -> Column:
+        hits = []
+        for c in cols:
+            t = F.col(c)
+            hit = t.isNotNull() if limit is None else t >= limit
+            hits.append(is_true(hit if high is None else hit & (t < high)).cast("int"))
+        return reduce(add, hits)
+
+    reached = [at_least(limit) for limit in (low, *cuts)]
+    counts = [a - b for a, b in zip(reached, reached[1:])] + [reached[-1]]
+    return {f"{prefix}_band{k}": n for k, n in enumerate(counts)}
 
 
 def hot_bits(cols: list[str], threshold: float = HOT_FROM, low=CLUSTER_BAND_RANGE[0], high=CLUSTER_BAND_RANGE[1]) -> Column:

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sensors
+from ..functions.places import node_location
+from ..functions.timegrid import at_times
 from .order_stats import quantiles_from_ranks, value_at_share, value_ranks
 
 
@@ -191,9 +193,6 @@ def gpu_long(df: DataFrame, ids: list[str], suffix: str = "_mean", maxima: bool
 
 def rack_heatmap(long: DataFrame, times: list[str] | None = None, time_col: str = "timestamp") -> DataFrame:
     """Mean and highest GPU temperature per rack at chosen instants."""
-    from ..functions.places import node_location
-    from ..functions.timegrid import at_times
-
     df = long if times is None else long.filter(at_times(time_col, times))
     place = node_location("hostname")
     return df.groupBy(F.col(time_col), place["row"].alias("row"), place["rack"].alias("rack")).agg(
@@ -205,20 +204,24 @@ def corr_matrix(counts: DataFrame, id_col: str, kind: str, value: str, kinds: li
     """Pearson correlation of every two kinds over all ids; absent counts are 0.
 
     ``kinds`` is the known list of kinds.  One pivot and one aggregate with a
-    ``corr`` per pair; nothing is joined with itself.  Kinds that never occur or
+    covariance per pair; nothing is joined with itself.  Kinds that never occur or
     never vary have no row.
     """
     wide = counts.filter(F.col(kind).isin(list(kinds))).groupBy(id_col).pivot(kind, list(kinds)).agg(F.sum(value))
     names = [f"`{k}`" for k in kinds]
     zero = wide.select(*[F.coalesce(F.col(n), F.lit(0)).cast("double").alias(f"k{i}") for i, n in enumerate(names)])
     pairs = list(combinations(range(len(kinds)), 2))
-    one = zero.agg(F.count(F.lit(1)).alias("n"), *[F.corr(f"k{i}", f"k{j}").alias(f"r{i}_{j}") for i, j in pairs])
+
+    def pearson(i: int, j: int):
+        return F.try_divide(F.covar_pop(f"k{i}", f"k{j}"), F.stddev_pop(f"k{i}") * F.stddev_pop(f"k{j}"))
+
+    one = zero.agg(F.count(F.lit(1)).alias("n"), *[pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs])
     rows = [
         F.struct(F.lit(kinds[i]).alias("kind_a"), F.lit(kinds[j]).alias("kind_b"), F.col(f"r{i}_{j}").alias("corr"))
         for i, j in pairs
     ]
     long = one.select("n", F.inline(F.array(*rows)))
-    return long.filter(F.col("corr").isNotNull() & ~F.isnan("corr")).select("kind_a", "kind_b", "corr", "n")
+    return long.filter(F.col("corr").isNotNull()).select("kind_a", "kind_b", "corr", "n")
 
 
 def _upper_tail(t: np.ndarray, df: np.ndarray) -> np.ndarray:
