@@ -8,7 +8,6 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .missing import is_true
 from .sensors import BAND_CUTS, CLUSTER_BAND_RANGE, HOT_FROM
 
 
@@ -28,41 +27,39 @@ def band(col: Column | str, cuts=BAND_CUTS, low: float | None = None, high: floa
     return F.when(inside, number)
 
 
+def _limits_sql(col: str, low: float | None, high: float | None) -> str:
+    """SQL text that is true, or NULL for a missing reading, inside ``[low, high)``."""
+    lower = f" and `{col}` >= {low}" if low is not None else ""
+    upper = f" and `{col}` < {high}" if high is not None else ""
+    return f"`{col}` is not null{lower}{upper}"
+
+
 def band_counts(cols: list[str], prefix: str, cuts=BAND_CUTS, low=None, high=None) -> dict[str, Column]:
     """For each band, how many of ``cols`` are in it.
 
     A band's count is the number of readings at or above its lower limit, less
     the number at or above the next one's.
     """
-
-    def at_least(limit: float | None) -> Column:
-        hits = []
-        for c in cols:
-            t = F.col(c)
-            hit = t.isNotNull() if limit is None else t >= limit
-            hits.append(is_true(hit if high is None else hit & (t < high)).cast("int"))
-        return reduce(add, hits)
-
-    reached = [at_least(limit) for limit in (low, *cuts)]
-    counts = [a - b for a, b in zip(reached, reached[1:])] + [reached[-1]]
-    return {f"{prefix}_band{k}": n for k, n in enumerate(counts)}
-
-
-def hot_bits(cols: list[str], threshold: float = HOT_FROM, low=CLUSTER_BAND_RANGE[0], high=CLUSTER_BAND_RANGE[1]) -> Column:
-    """A string of one bit per component, 1 at or above ``threshold``."""
-
-    def bit(c: str) -> Column:
-        hot = F.col(c) >= threshold
-        if low is not None:
-            hot = hot & (F.col(c) >= low)
-        if high is not None:
-            hot = hot & (F.col(c) < high)
-        return F.when(is_true(hot), F.lit("1")).otherwise(F.lit("0"))
-
-    return F.concat(*[bit(c) for c in cols])
-
-
-def hot_mask(host: str, cols: list[str], threshold: float = HOT_FROM, low=CLUSTER_BAND_RANGE[0], high=CLUSTER_BAND_RANGE[1]) -> Column:
-    """``host:bits`` when a component is hot, else NULL."""
-    bits = hot_bits(cols, threshold, low, high)
-    return F.when(bits.contains("1"), F.concat(F.col(host), F.lit(":"), bits))
+    reached = [
+        " + ".join(f"cast({_limits_sql(c, limit, high)} as int)" for c in cols) for limit in (low, *cuts)
+    ]
+    counts = [f"({a}) - ({b})" for a, b in zip(reached, reached[1:])] + [reached[-1]]
+    return {f"{prefix}_band{k}": F.expr(n) for k, n in enumerate(counts)}
+
+
+def hot_mask(
+    host: str,
+    cols: list[str],
+    threshold: float = HOT_FROM,
+    low: float | None = CLUSTER_BAND_RANGE[0],
+    high: float | None = CLUSTER_BAND_RANGE[1],
+) -> Column:
+    """``host:bits`` when a component is at or above ``threshold``, else NULL.
+
+    There is one bit per component; a missing reading, or one outside the range,
+    shows as 0.
+    """
+    lowest = threshold if low is None else max(low, threshold)
+    hot = [_limits_sql(c, lowest, high) for c in cols]
+    bits = ", ".join(f"if({h}, '1', '0')" for h in hot)
+    return F.expr(f"case when {' or '.join(f'({h})' for h in hot)} then concat(`{host}`, ':', {bits}) end")

@@ -9,21 +9,18 @@ from . import sensors
 from .missing import max_present, null_count, number_or_null, sum_present, sum_strict
 
 
-def _present(df: DataFrame, names: list[str], suffix: str) -> list[str]:
-    return [n + suffix for n in names if n + suffix in df.columns]
-
-
 def add_node_sums(df: DataFrame, suffix: str = "", sums: dict[str, list[str]] | None = None) -> DataFrame:
     """Per-node totals; a total is missing when one of its parts is.
 
     Totals whose parts the frame does not carry at all are left out.
     """
     sums = sums or sensors.NODE_SUMS
+    have = set(df.columns)
     return df.withColumns(
         {
             total + suffix: sum_strict([p + suffix for p in parts])
             for total, parts in sums.items()
-            if all(p + suffix in df.columns for p in parts)
+            if have.issuperset(p + suffix for p in parts)
         }
     )
 
@@ -31,7 +28,8 @@ def add_node_sums(df: DataFrame, suffix: str = "", sums: dict[str, list[str]] |
 def add_node_maxima(df: DataFrame, suffix: str = "", maxima: dict[str, list[str]] | None = None) -> DataFrame:
     """Per-node highest temperature of each part family, over the sensors that report."""
     maxima = maxima or sensors.NODE_MAXIMA
-    found = {name: _present(df, parts, suffix) for name, parts in maxima.items()}
+    have = set(df.columns)
+    found = {name: [p + suffix for p in parts if p + suffix in have] for name, parts in maxima.items()}
     return df.withColumns({name + suffix: max_present(parts) for name, parts in found.items() if parts})
 
 

@@ -6,9 +6,6 @@ Spark's sum and max do not skip NaN.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,12 +13,9 @@ from pyspark.sql import types as T
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     """Replace NaN by NULL in every float and double column."""
-    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    return df.select(
-        *[
-            F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) if c in floats else F.col(f"`{c}`")
-            for c in df.columns
-        ]
+    floats = {f.name: f.dataType.simpleString() for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    return df.selectExpr(
+        *[f"nanvl(`{c}`, cast(null as {floats[c]})) as `{c}`" if c in floats else f"`{c}`" for c in df.columns]
     )
 
 
@@ -34,23 +28,24 @@ def number_or_null(col: Column | str, kind: str = "double") -> Column:
 
 def null_count(cols: list[str]) -> Column:
     """How many of ``cols`` are missing in the row."""
-    return reduce(add, [F.col(c).isNull().cast("int") for c in cols])
+    return F.expr(" + ".join(f"cast(`{c}` is null as int)" for c in cols))
 
 
 def any_null(cols: list[str]) -> Column:
     """True when at least one of ``cols`` is missing in the row."""
-    return null_count(cols) > 0
+    return F.expr(" or ".join(f"`{c}` is null" for c in cols))
 
 
 def sum_present(cols: list[str]) -> Column:
     """Row sum over the readings present; NULL only when none is."""
-    total = reduce(add, [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
-    return F.when(F.coalesce(*[F.col(c).cast("double") for c in cols]).isNotNull(), total)
+    total = " + ".join(f"coalesce(cast(`{c}` as double), 0D)" for c in cols)
+    none = " and ".join(f"`{c}` is null" for c in cols)
+    return F.expr(f"case when not ({none}) then {total} end")
 
 
 def sum_strict(cols: list[str], kind: str = "double") -> Column:
     """Row sum that is NULL as soon as one reading is missing."""
-    return reduce(add, [F.col(c).cast(kind) for c in cols])
+    return F.expr(" + ".join(f"cast(`{c}` as {kind})" for c in cols))
 
 
 def max_present(cols: list[str]) -> Column:

@@ -47,15 +47,15 @@ def micros(col: Column | str) -> Column:
 def floor_to(col: Column | str, resolution: str | int) -> Column:
     """Latest grid point not after the time."""
     step, origin = micros_of(resolution), origin_of(resolution)
-    us = micros(col) - F.lit(origin)
-    return F.timestamp_micros(us - F.pmod(us, F.lit(step)) + F.lit(origin))
+    us = micros(col)
+    return F.timestamp_micros(us - F.pmod(us - F.lit(origin), F.lit(step)))
 
 
 def ceil_to(col: Column | str, resolution: str | int) -> Column:
     """Earliest grid point not before the time."""
     step, origin = micros_of(resolution), origin_of(resolution)
-    us = micros(col) - F.lit(origin)
-    return F.timestamp_micros(us + F.pmod(-us, F.lit(step)) + F.lit(origin))
+    us = micros(col)
+    return F.timestamp_micros(us + F.pmod(F.lit(origin) - us, F.lit(step)))
 
 
 def round_to(col: Column | str, resolution: str | int) -> Column:

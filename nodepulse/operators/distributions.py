@@ -203,24 +203,24 @@ def rack_heatmap(long: DataFrame, times: list[str] | None = None, time_col: str
 def corr_matrix(counts: DataFrame, id_col: str, kind: str, value: str, kinds: list) -> DataFrame:
     """Pearson correlation of every two kinds over all ids; absent counts are 0.
 
-    ``kinds`` is the known list of kinds.  One pivot and one aggregate with a
-    covariance per pair; nothing is joined with itself.  Kinds that never occur or
+    ``kinds`` is the known list of kinds.  One pivot and one aggregate with a sum
+    of products per pair, exact for whole counts; nothing is joined with itself.  Kinds that never occur or
     never vary have no row.
     """
     wide = counts.filter(F.col(kind).isin(list(kinds))).groupBy(id_col).pivot(kind, list(kinds)).agg(F.sum(value))
-    names = [f"`{k}`" for k in kinds]
-    zero = wide.select(*[F.coalesce(F.col(n), F.lit(0)).cast("double").alias(f"k{i}") for i, n in enumerate(names)])
+    zero = wide.selectExpr(*[f"cast(coalesce(`{k}`, 0) as double) as k{i}" for i, k in enumerate(kinds)])
     pairs = list(combinations(range(len(kinds)), 2))
 
-    def pearson(i: int, j: int):
-        return F.try_divide(F.covar_pop(f"k{i}", f"k{j}"), F.stddev_pop(f"k{i}") * F.stddev_pop(f"k{j}"))
+    def part(a: str, b: str) -> str:
+        return f"(count(1) * sum({a} * {b}) - sum({a}) * sum({b}))"
 
-    one = zero.agg(F.count(F.lit(1)).alias("n"), *[pearson(i, j).alias(f"r{i}_{j}") for i, j in pairs])
-    rows = [
-        F.struct(F.lit(kinds[i]).alias("kind_a"), F.lit(kinds[j]).alias("kind_b"), F.col(f"r{i}_{j}").alias("corr"))
-        for i, j in pairs
-    ]
-    long = one.select("n", F.inline(F.array(*rows)))
+    def pearson(i: int, j: int) -> str:
+        x, y = f"k{i}", f"k{j}"
+        return f"try_divide({part(x, y)}, sqrt({part(x, x)} * {part(y, y)}))"
+
+    one = zero.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"{pearson(i, j)} as r{i}_{j}") for i, j in pairs])
+    rows = ", ".join(f"'{kinds[i]}', '{kinds[j]}', r{i}_{j}" for i, j in pairs)
+    long = one.select("n", F.expr(f"stack({len(pairs)}, {rows}) as (kind_a, kind_b, corr)"))
     return long.filter(F.col("corr").isNotNull()).select("kind_a", "kind_b", "corr", "n")
 
 

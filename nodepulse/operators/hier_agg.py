@@ -39,20 +39,15 @@ def variables_of(df: DataFrame, groups: list[str]) -> list[str]:
     return [c[: -len("_tot_sq_dev")] for c in df.columns if c.endswith("_tot_sq_dev") and c not in groups]
 
 
-def _wide(col: Column) -> Column:
-    return col.cast("double")
-
-
-def _init_columns(v: str) -> list[Column]:
-    x = _wide(F.col(v))
-    n = F.count(x)
-    spread = F.when(n == 1, F.lit(0.0)).otherwise(F.var_samp(x) * (n - 1))
+def moments(v: str) -> list[Column]:
+    """The five mergeable aggregates of one column."""
+    x = f"cast(`{v}` as double)"
     return [
-        n.alias(f"{v}_count"),
-        F.sum(x).alias(f"{v}_sum"),
-        spread.alias(f"{v}_tot_sq_dev"),
-        F.min(x).alias(f"{v}_min"),
-        F.max(x).alias(f"{v}_max"),
+        F.expr(f"count({x}) as `{v}_count`"),
+        F.expr(f"sum({x}) as `{v}_sum`"),
+        F.expr(f"if(count({x}) = 1, 0D, var_samp({x}) * (count({x}) - 1)) as `{v}_tot_sq_dev`"),
+        F.expr(f"min({x}) as `{v}_min`"),
+        F.expr(f"max({x}) as `{v}_max`"),
     ]
 
 
@@ -71,7 +66,7 @@ def init_agg(
     groups = [*before, time_col, *after]
     values = list(values) if values is not None else value_columns(df, groups)
     binned = df.select(*before, floor_to(time_col, resolution).alias(time_col), *after, *values)
-    return binned.groupBy(*groups).agg(*[c for v in values for c in _init_columns(v)])
+    return binned.groupBy(*groups).agg(*[c for v in values for c in moments(v)])
 
 
 def coarsen_agg(
@@ -92,36 +87,34 @@ def coarsen_agg(
     variables = variables_of(df, groups)
     binned = df.withColumn(time_col, floor_to(time_col, resolution))
     per_group = Window.partitionBy(*groups)
-    means = {
-        f"__{v}_mean": F.try_divide(F.sum(f"{v}_sum").over(per_group), F.sum(f"{v}_count").over(per_group))
-        for v in variables
-    }
-    with_means = binned.withColumns(means)
+    totals = {f"__{v}_{k}": F.sum(f"{v}_{k}").over(per_group) for v in variables for k in ("sum", "count")}
+    with_totals = binned.withColumns(totals)
     aggs = []
     for v in variables:
-        n, s, m2 = F.col(f"{v}_count"), F.col(f"{v}_sum"), F.col(f"{v}_tot_sq_dev")
-        gap = F.try_divide(s, n) - F.col(f"__{v}_mean")
+        gap = f"(try_divide(`{v}_sum`, `{v}_count`) - try_divide(`__{v}_sum`, `__{v}_count`))"
         aggs += [
-            F.sum(n).alias(f"{v}_count"),
-            F.sum(s).alias(f"{v}_sum"),
-            F.sum(m2 + n * gap * gap).alias(f"{v}_tot_sq_dev"),
-            F.min(f"{v}_min").alias(f"{v}_min"),
-            F.max(f"{v}_max").alias(f"{v}_max"),
+            F.expr(f"sum(`{v}_count`) as `{v}_count`"),
+            F.expr(f"sum(`{v}_sum`) as `{v}_sum`"),
+            F.expr(f"sum(`{v}_tot_sq_dev` + `{v}_count` * {gap} * {gap}) as `{v}_tot_sq_dev`"),
+            F.expr(f"min(`{v}_min`) as `{v}_min`"),
+            F.expr(f"max(`{v}_max`) as `{v}_max`"),
         ]
-    return with_means.groupBy(*groups).agg(*aggs)
+    return with_totals.groupBy(*groups).agg(*aggs)
 
 
 def finalize_agg(df: DataFrame, groups: list[str], keep_count: bool = False) -> DataFrame:
     """Mean, sample standard deviation, minimum and maximum; a plain projection."""
-    cols = [F.col(g) for g in groups]
+    cols = [f"`{g}`" for g in groups]
     for v in variables_of(df, groups):
-        n = F.col(f"{v}_count")
-        cols.append(F.try_divide(F.col(f"{v}_sum"), n).alias(f"{v}_mean"))
-        cols.append(F.when(n > 1, F.sqrt(F.col(f"{v}_tot_sq_dev") / (n - 1))).alias(f"{v}_std"))
-        cols += [F.col(f"{v}_min"), F.col(f"{v}_max")]
-        if keep_count:
-            cols.append(n)
-    return df.select(*cols)
+        n = f"`{v}_count`"
+        cols += [
+            f"try_divide(`{v}_sum`, {n}) as `{v}_mean`",
+            f"if({n} > 1, sqrt(`{v}_tot_sq_dev` / ({n} - 1)), null) as `{v}_std`",
+            f"`{v}_min`",
+            f"`{v}_max`",
+        ]
+        cols += [n] if keep_count else []
+    return df.selectExpr(*cols)
 
 
 def in_slices(

@@ -7,8 +7,8 @@ Two situations, two plans:
   :func:`stats_of`.
 * Few groups of any size (a size class, a project, a week: one may hold a third
   of all rows).  :func:`value_ranks` counts equal values first, cuts the value
-  range into buckets holding about equal shares of the data, sums the buckets,
-  and ranks inside a bucket only.  No task ever sees a whole group.
+  range into buckets holding about equal shares of the distinct values, sums the
+  buckets, and ranks inside a bucket only.  No task ever sees a whole group.
 """
 
 from __future__ import annotations
@@ -19,33 +19,36 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 #: Target number of value buckets, and allowed rank error of their limits as a
 #: share of all rows.  A bucket holds at most about (1/BUCKETS + 2*ERROR) of them.
 BUCKETS = 128
 ERROR = 0.002
 
 
-def stats_of(col: str | Column, name: str, kinds, nan_free: bool = True) -> list[Column]:
+def stats_of(col: str, name: str, kinds) -> list[Column]:
     """Aggregates ``kind_name`` of one column.
 
     ``sum`` of nothing is 0, ``size`` counts rows and ``count`` readings;
-    quantiles interpolate between neighbours.
+    quantiles interpolate between neighbours.  All quantiles of a column are
+    taken from one ``percentile``, so its values are held once.
     """
-    x = F.col(col) if isinstance(col, str) else col
-    x = x.cast("double")
-    quantile = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    x = f"cast(`{col}` as double)"
+    quartiles = f"percentile({x}, array(0.25D, 0.5D, 0.75D))"
     make = {
-        "count": lambda: F.count(x),
-        "size": lambda: F.count(F.lit(1)),
-        "sum": lambda: F.coalesce(F.sum(x), F.lit(0.0)),
-        "mean": lambda: F.avg(x),
-        "std": lambda: F.stddev_samp(x),
-        "min": lambda: F.min(x),
-        "max": lambda: F.max(x),
+        "count": f"count({x})",
+        "size": "count(1)",
+        "sum": f"coalesce(sum({x}), 0D)",
+        "mean": f"avg({x})",
+        "std": f"stddev_samp({x})",
+        "min": f"min({x})",
+        "max": f"max({x})",
+        "q25": f"{quartiles}[0]",
+        "q50": f"{quartiles}[1]",
+        "q75": f"{quartiles}[2]",
     }
-    return [
-        (F.percentile(x, quantile[k]) if k in quantile else make[k]()).alias(f"{k}_{name}") for k in kinds
-    ]
+    return [F.expr(f"{make[k]} as `{k}_{name}`") for k in kinds]
 
 
 def bucket_limits(df: DataFrame, col: str, buckets: int = BUCKETS, error: float = ERROR) -> list[float]:
@@ -59,19 +62,18 @@ def bucket_limits(df: DataFrame, col: str, buckets: int = BUCKETS, error: float
     return sorted({v for v in found if v is not None and math.isfinite(v)})
 
 
-def value_ranks(
-    df: DataFrame, keys: list[str], col: str, limits: list[float] | None = None
-) -> DataFrame:
+def value_ranks(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     """Distinct values per group with their place in the sorted group.
 
     Result columns: ``keys``, ``value``, ``n`` (rows with this value), ``before``
-    (rows below it) and ``total`` (rows in the group).  Missing values and
-    missing keys' values take no rank.
+    (rows below it) and ``total`` (rows in the group).  Missing values take no rank.
+
+    The counts are settled, so the input is computed once however often the
+    ranks are read.
     """
     x = df.select(*keys, F.col(col).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    if limits is None:
-        limits = bucket_limits(x, "value")
-    counts = x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
+    limits = bucket_limits(counts, "value")
     if limits:
         splits = [float("-inf"), *limits, float("inf")]
         counts = Bucketizer(splits=splits, inputCol="value", outputCol="__bucket").transform(counts)

@@ -48,7 +48,9 @@ def thermal_bands(
     """
     cores = cores or sensors.mean_of(sensors.GPU_CORE_TEMPS)
     mems = mems or sensors.mean_of(sensors.GPU_MEM_TEMPS)
-    flagged = add_thermal_flags(df.select(*keys, *([host] if host not in keys else []), *cores, *mems), cores, mems, host, low=value_range[0], high=value_range[1])
+    ids = [*keys, *([] if host in keys else [host])]
+    low, high = value_range
+    flagged = add_thermal_flags(df.select(*ids, *cores, *mems), cores, mems, host, low=low, high=high)
     counts = [f"n_{part}_band{k}" for part in ("cores", "mems") for k in range(len(sensors.BAND_CUTS) + 1)]
     return flagged.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("nodes"),
@@ -60,12 +62,9 @@ def thermal_bands(
 
 def comptype_long(df: DataFrame, keys: list[str], groups: dict[str, list[str]]) -> DataFrame:
     """One row per node and sensor: keys, component type, temperature."""
-    pairs = [
-        F.struct(F.lit(kind).alias("comptype"), F.col(c).cast("double").alias("temp"))
-        for kind, cols in groups.items()
-        for c in cols
-    ]
-    return df.select(*keys, F.explode(F.array(*pairs)).alias("__p")).select(*keys, "__p.comptype", "__p.temp")
+    pairs = ", ".join(f"'{kind}', cast(`{c}` as double)" for kind, cols in groups.items() for c in cols)
+    sensors_per_row = sum(len(cols) for cols in groups.values())
+    return df.select(*keys, F.expr(f"stack({sensors_per_row}, {pairs}) as (comptype, temp)"))
 
 
 def comptype_stats(
@@ -88,7 +87,7 @@ def comptype_stats(
     stats = grouped_stats(long, [*keys, "comptype"], [("temp", "temp", COMPTYPE_KINDS)], (), sizes, max_group)
     return stats.groupBy(*keys).agg(
         *[
-            F.max(F.when(F.col("comptype") == kind, F.col(f"{stat}_temp"))).alias(f"{kind}_{stat}")
+            F.expr(f"max(`{stat}_temp`) filter (where comptype = '{kind}') as `{kind}_{stat}`")
             for kind in groups
             for stat in COMPTYPE_KINDS
         ]

@@ -56,6 +56,7 @@ HOST_SQL = (
     "lpad(cast(cast(1 + floor({id} / 8) % 36 as int) as {text}), 2, '0'), 'n', "
     "lpad(cast(cast(1 + floor({id} / 288) % 18 as int) as {text}), 2, '0'))"
 )
+MSB_SQL = "concat('msb', cast(16 + {id} % 4 as {text}))"
 XID_SQL = (
     "case cast(event_id % 8 as int) when 0 then 48 when 1 then 63 when 2 then 74 when 3 then 79 "
     "when 4 then 62 when 5 then 64 when 6 then 31 else 13 end"
@@ -88,7 +89,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def msb_expr(id_col: str) -> Column:
-    return F.concat(F.lit("msb"), (F.lit(16) + F.col(id_col) % 4).cast("string"))
+    return F.expr(MSB_SQL.format(id=id_col, text="string"))
 
 
 def node_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,18 +98,23 @@ def node_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("node_id", host_expr("node_id").alias("hostname"), msb_expr("node_id").alias("msb"))
 
 
-def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sensor readings, one row per event; no join, the host is computed in place."""
-    return events(spark, sf_dir).select(
-        F.col("ts").alias("timestamp"),
-        host_expr("user_id").alias("hostname"),
-        F.col("user_id").alias("node_id"),
-        msb_expr("user_id").alias("msb"),
+def as_telemetry(rows: DataFrame) -> DataFrame:
+    """Events, from a table or a stream, as sensor readings; no join, the host is computed in place."""
+    return rows.selectExpr(
+        "cast(ts as timestamp) as timestamp",
+        f"{HOST_SQL.format(id='user_id', text='string')} as hostname",
+        "user_id as node_id",
+        f"{MSB_SQL.format(id='user_id', text='string')} as msb",
         "event_id",
-        *[F.expr(rule_sql(name)).alias(name) for name in RULES],
+        *[f"{rule_sql(name)} as {name}" for name in RULES],
     )
 
 
+def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sensor readings, one row per event."""
+    return as_telemetry(events(spark, sf_dir))
+
+
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     seconds = F.expr("cast(60 * (30 + floor(value * 10)) as bigint)")
     return (
@@ -172,7 +178,7 @@ def gpu_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cooling(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = events(spark, sf_dir).filter(F.col("event_type") == "view")
-    return views.select(F.col("ts").alias("timestamp"), *[F.expr(f"cast({v} as double)").alias(c) for c, v in PLANT_RULES.items()])
+    return views.selectExpr("ts as timestamp", *[f"cast({v} as double) as {c}" for c, v in PLANT_RULES.items()])
 
 
 def meter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -176,17 +176,19 @@ def metrics_long(spark, sf):
         *_CLASSED,
         METRICS_SQL,
         doubles=["value", "cdf_first", "cdf_last"],
+        digits=9,
+        value=12,
     ),
 )
 def ecdf(spark, sf):
-    return tidy(dist.ecdf(metrics_long(spark, sf), ["node_cat", "metric"], "value"))
+    return tidy(dist.ecdf(metrics_long(spark, sf), ["node_cat", "metric"], "value"), 9, value=12)
 
 
 @query(
     "cdf_80",
     check_sql(
-        """select node_cat, metric, value as value_at, total as n from (select *, row_number() over (partition by node_cat, metric order by value) - 1 as at,
-        count(*) over (partition by node_cat, metric) as total from metrics where value is not null) m where at = floor((total - 1) * 0.8)""",
+        """select node_cat, metric, value as value_at, total as n from (select *, row_number() over (partition by node_cat, metric order by value) - 1 as place,
+        count(*) over (partition by node_cat, metric) as total from metrics where value is not null) m where place = floor((total - 1) * 0.8)""",
         *_CLASSED,
         METRICS_SQL,
         doubles=["value_at"],

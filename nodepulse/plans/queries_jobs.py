@@ -125,9 +125,14 @@ JOB_POWER_SQL = f"""job_power as (select timestamp, allocation_id, {_NODE_COUNTS
 JOB_POWER_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, SPANS_SQL, joined_sql("nodes", "joined"), JOB_POWER_SQL)
 
 
+def job_bounds(spark, sf, per_node: int = 1):
+    """Upper bound of a job's rows at one tick: the stand-in deals ``num_nodes`` node rows to a job."""
+    return fx.jobs(spark, sf).select("allocation_id", (F.col("num_nodes") * per_node).alias("rows"))
+
+
 def job_power_series(spark, sf):
     nodes = fx.nodes(spark, sf, ["input_power", "total_power"])
-    return jobs.job_power_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours")
+    return jobs.job_power_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours", sizes=job_bounds(spark, sf))
 
 
 @query(
@@ -144,7 +149,8 @@ _COMPONENT_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, SPANS_SQL, COMPONENT_SQL, joine
 
 
 def job_component_series(spark, sf):
-    return jobs.job_component_ts(fx.nodes(spark, sf, COMPONENT_SENSORS), fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours")
+    nodes = fx.nodes(spark, sf, COMPONENT_SENSORS)
+    return jobs.job_component_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours", sizes=job_bounds(spark, sf))
 
 
 @query("job_component_ts", check_sql("select * from job_component", *_COMPONENT_CTES, doubles=COMPONENT_DOUBLES))
@@ -411,8 +417,7 @@ def job_comptypes(spark, sf, kinds=None):
     pernode = fx.pernode_jobs(spark, sf)
     joined = intervals.join_jobs_by_time(fx.nodes(spark, sf, values), pernode, fx.HOUR, "6 hours")
     most = max(len(cols) for cols in groups.values())
-    sizes = jobs.job_sizes(pernode, "rows").withColumn("rows", F.col("rows") * most)
-    return thermal.comptype_stats(joined, ["timestamp", "allocation_id"], groups, sizes)
+    return thermal.comptype_stats(joined, ["timestamp", "allocation_id"], groups, job_bounds(spark, sf, most))
 
 
 @query("comptype_job", check_sql(comptype_sql("timestamp, allocation_id"), *JOB_COMPTYPE_CTES, doubles=COMPTYPE_DOUBLES))

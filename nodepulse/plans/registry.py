@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -36,11 +35,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Run], Run]:
 
 def tidy(df: DataFrame, digits: int = 6, **by_column: int) -> DataFrame:
     """Round float columns, so that the last bits of a sum do not count."""
-    return df.select(
+    return df.selectExpr(
         *[
-            (F.round(F.col(f"`{f.name}`").cast("double"), by_column.get(f.name, digits)) + F.lit(0.0)).alias(f.name)
+            f"round(cast(`{f.name}` as double), {by_column.get(f.name, digits)}) + 0D as `{f.name}`"
             if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-            else F.col(f"`{f.name}`")
+            else f"`{f.name}`"
             for f in df.schema
         ]
     )

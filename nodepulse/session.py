@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job relies on.  Sizes stay with the cluster's own defaults.
 SETTINGS = {
@@ -35,6 +35,9 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "nodep
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("NODEPULSE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # Call sites in error messages cost a millisecond per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
@@ -43,6 +46,9 @@ def local_session(cores: str | int = "*", partitions: int = 8, app: str = "nodep
     return configure(spark)
 
 
+_own_folder: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
@@ -52,13 +58,26 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="nodepulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if context.applicationId not in _own_folder:
+        _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="nodepulse-")
+    return _own_folder[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below :func:`shared_folder`."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and keep it in the shared folder.
+
+    For a table that several steps read, where computing it is costly or must
+    give the same rows each time.  It survives the loss of executors.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)

@@ -43,7 +43,7 @@ def write_partitioned(
 
 
 def write_daily_csv(df: DataFrame, path: str, time_col: str = "timestamp", separator: str = " ") -> None:
-    """CSV by day; arrays are written as text."""
+    """CSV by day; arrays are written as text, times with all their microseconds."""
     dated = with_date(df, time_col)
     flat = dated.select(
         *[
@@ -53,7 +53,14 @@ def write_daily_csv(df: DataFrame, path: str, time_col: str = "timestamp", separ
             for f in dated.schema
         ]
     )
-    flat.write.mode("overwrite").option("header", True).option("partitionOverwriteMode", "dynamic").partitionBy("date").csv(path)
+    (
+        flat.write.mode("overwrite")
+        .option("header", True)
+        .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date")
+        .csv(path)
+    )
 
 
 def repartition_by_time(df: DataFrame, resolution: str = "1 minute", time_col: str = "timestamp", partitions: int | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.missing import nan_to_null
 from ..functions.timegrid import as_timestamp, seconds_of
 from ..operators.cluster import POWER_KINDS
-from ..operators.hier_agg import _init_columns
+from ..operators.hier_agg import moments
 from ..operators.order_stats import stats_of
 
 
@@ -42,7 +42,7 @@ def stream_init_agg(
     """Mergeable aggregates per node and bin, as ``init_agg`` gives them."""
     timed = stream.withColumn(time_col, as_timestamp(time_col)).withWatermark(time_col, lateness)
     bins = F.window(time_col, f"{seconds_of(resolution)} seconds")
-    grouped = timed.groupBy(bins.alias("bin"), host).agg(*[c for v in values for c in _init_columns(v)])
+    grouped = timed.groupBy(bins.alias("bin"), host).agg(*[c for v in values for c in moments(v)])
     return grouped.select(F.col("bin.start").alias(time_col), *[c for c in grouped.columns if c != "bin"])
 
 
