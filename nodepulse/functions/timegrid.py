@@ -68,12 +68,20 @@ def round_to(col: Column | str, resolution: str | int) -> Column:
     return F.timestamp_micros(us - rest + F.when(up, F.lit(step)).otherwise(F.lit(0)))
 
 
+def steps_between(first: Column, last: Column, step: int) -> Column:
+    """Whole numbers from ``first`` to ``last`` by ``step``; empty if reversed.
+
+    ``sequence`` refuses reversed ends even in a branch that is not taken.
+    """
+    points = F.sequence(first, F.greatest(first, last), F.lit(step))
+    return F.when(first <= last, points).otherwise(F.array().cast("array<bigint>"))
+
+
 def grid_between(first: Column, last: Column, resolution: str | int) -> Column:
     """Array of grid points from ``first`` to ``last``, both included; empty if reversed."""
     step = micros_of(resolution)
     lo, hi = micros(ceil_to(first, resolution)), micros(floor_to(last, resolution))
-    points = F.transform(F.sequence(lo, hi, F.lit(step)), F.timestamp_micros)
-    return F.when(lo <= hi, points).otherwise(F.array().cast("array<timestamp>"))
+    return F.transform(steps_between(lo, hi, step), F.timestamp_micros)
 
 
 def between_times(col: Column | str, start: datetime | str, end: datetime | str) -> Column:

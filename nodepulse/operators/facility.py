@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import as_timestamp, ceil_to, floor_to, grid_between, micros, micros_of
+from ..functions.timegrid import as_timestamp, ceil_to, floor_to, grid_between, micros, micros_of, steps_between
 
 
 def resample_mean(
@@ -56,10 +56,9 @@ def interpolate_to_grid(
     start = micros("t")
     stop = F.coalesce(micros("following.t") - 1, start)
     first, last = micros(ceil_to("t", resolution)), stop - F.pmod(stop, F.lit(step))
-    points = F.when(first <= last, F.sequence(first, last, F.lit(step))).otherwise(F.array().cast("array<bigint>"))
     share = (F.col("us") - start) / (micros("following.t") - start)
     blended = F.when(F.col("us") == start, F.col("v")).otherwise(F.col("v") + (F.col("following.v") - F.col("v")) * share)
-    ticks = paired.withColumn("us", F.explode(points)).select(
+    ticks = paired.withColumn("us", F.explode(steps_between(first, last, step))).select(
         F.timestamp_micros("us").alias(time_col), "series", blended.alias("v")
     )
     return ticks.groupBy(time_col).agg(*[F.max(F.when(F.col("series") == c, F.col("v"))).alias(c) for c in cols])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import as_timestamp, ceil_to, floor_to, micros_of, round_to
+from ..functions.timegrid import as_timestamp, ceil_to, floor_to, micros_of, round_to, steps_between
 
 
 def explode_buckets(df: DataFrame, begin: str, end: str, bucket: str, out: str = "__bucket") -> DataFrame:
@@ -20,7 +20,7 @@ def explode_buckets(df: DataFrame, begin: str, end: str, bucket: str, out: str =
     step = micros_of(bucket)
     first, last = F.unix_micros(floor_to(begin, bucket)), F.unix_micros(floor_to(end, bucket))
     good = df.filter(as_timestamp(begin) <= as_timestamp(end))
-    return good.withColumn(out, F.explode(F.sequence(first, last, F.lit(step))))
+    return good.withColumn(out, F.explode(steps_between(first, last, step)))
 
 
 def bucket_of(time_col: str | Column, bucket: str) -> Column:
@@ -73,9 +73,8 @@ def expand_job_ticks(pernode: DataFrame, resolution: str, time_col: str = "times
         F.col("node_name").alias("hostname"),
         round_to("begin_time", resolution).alias("__first"),
         round_to("end_time", resolution).alias("__last"),
-    ).filter(F.col("__first") <= F.col("__last"))
-    step = F.lit(micros_of(resolution))
-    at = F.explode(F.sequence(F.unix_micros("__first"), F.unix_micros("__last"), step))
+    )
+    at = F.explode(steps_between(F.unix_micros("__first"), F.unix_micros("__last"), micros_of(resolution)))
     return (
         ticks.withColumn("__us", at)
         .select(F.timestamp_micros("__us").alias(time_col), "hostname", "allocation_id")

@@ -96,5 +96,6 @@ def read_many(spark: SparkSession, pattern: str, schema: T.StructType | str) ->
 
 def date_range(spark: SparkSession, start: str | date, end: str | date) -> DataFrame:
     """Every day from ``start`` to ``end``, both included."""
-    ends = spark.range(1).select(F.lit(_day(start)).alias("a"), F.lit(_day(end)).alias("z"))
-    return ends.filter(F.col("a") <= F.col("z")).select(F.explode(F.expr("sequence(a, z, interval 1 day)")).alias("date"))
+    first, last = _day(start), _day(end)
+    days = max((last - first).days + 1, 0)
+    return spark.range(days).select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date"))
