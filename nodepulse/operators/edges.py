@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.derive import node_class
 from ..functions.sensors import FULL_MACHINE_NODES, NODE_CUTS
+from ..session import settle
 
 EDGE_WATTS = 4_000_000.0
 SPECTRUM_WATTS = 400_000.0
@@ -125,6 +126,27 @@ def _first_other_sign(values: np.ndarray, level: float) -> int:
     return len(values)
 
 
+def _lengths(power: np.ndarray, edges_at, share: float) -> list[int]:
+    """Duration of each edge of one job, in ticks."""
+    begin = power[:-1]
+    lengths = []
+    for i in edges_at:
+        later = begin[i + 1 :]
+        ticks = _first_other_sign(later, share * begin[i])
+        # A crossing at position p ends the stretch after p ticks; no crossing adds one.
+        lengths.append(ticks + 1 if ticks == len(later) else ticks)
+    return lengths
+
+
+def _as_arrays(ticks: DataFrame, cols: list[str]) -> DataFrame:
+    """One row per job with its ticks in order, as an array of structs.
+
+    The ticks are partitioned by job already.  A job's array is as long as the
+    job, never longer than the recorded time.
+    """
+    return ticks.groupBy("allocation_id", "class").agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("ticks"))
+
+
 def edge_durations(
     series: DataFrame,
     watts: float = EDGE_WATTS,
@@ -136,37 +158,32 @@ def edge_durations(
     """How long the power stays on its side of ``share`` times the power before the edge.
 
     The search ends one tick before the job's last.  Each edge looks for its own
-    level, so the search runs per job in numpy, and only for jobs with an edge;
-    the rows arrive already partitioned by job.
+    level, which no window frame can do, so the search runs in numpy: on arrays,
+    many jobs to a call, and only for jobs that have an edge.
     """
     marked = mark_edges(clean_jobs(number_ticks(series, cuts=cuts)), watts, full_size)
-    any_edge = F.max("starts").over(Window.partitionBy("allocation_id"))
-    rows = marked.withColumn("__any", any_edge).filter("__any").select(
-        "allocation_id", "class", "idx", "power", "direction", "starts"
+    mark = F.when(F.col("starts"), F.col("direction")).otherwise(0)
+    jobs = _as_arrays(marked.withColumn("mark", mark), ["idx", "power", "mark"])
+
+    @F.pandas_udf("array<bigint>")
+    def measure(power: pd.Series, edges_at: pd.Series) -> pd.Series:
+        return pd.Series([_lengths(np.asarray(p, float), at, share) for p, at in zip(power, edges_at)])
+
+    edges = F.filter("ticks", lambda t: t["mark"] != 0)
+    measured = (
+        jobs.filter(F.exists("ticks", lambda t: t["mark"] != 0))
+        .select("allocation_id", "class", F.col("ticks.power").alias("power"), edges.alias("edges"))
+        .withColumn("duration", measure("power", F.col("edges.idx")))
     )
-
-    def measure(job: pd.DataFrame) -> pd.DataFrame:
-        job = job.sort_values("idx")
-        power = job["power"].to_numpy(float)
-        begin = power[:-1]
-        found = job[job["starts"]]
-        ticks = [_first_other_sign(begin[i + 1 :], share * begin[i]) for i in found["idx"]]
-        # A crossing at position p ends the stretch after p ticks; no crossing adds one.
-        lengths = [p + 1 if p == len(begin) - i - 1 else p for p, i in zip(ticks, found["idx"])]
-        return pd.DataFrame(
-            {
-                "allocation_id": found["allocation_id"],
-                "class": found["class"],
-                "idx": found["idx"],
-                "type": np.where(found["direction"] > 0, "Rising", "Falling"),
-                "duration": np.array(lengths, dtype="int64"),
-            }
-        )
-
-    durations = rows.groupBy("allocation_id").applyInPandas(
-        measure, "allocation_id bigint, class int, idx int, type string, duration bigint"
+    pairs = F.arrays_zip(F.col("edges.idx").alias("idx"), F.col("edges.mark").alias("mark"), F.col("duration"))
+    return measured.select("allocation_id", "class", F.inline(pairs)).select(
+        "allocation_id",
+        "class",
+        "idx",
+        F.when(F.col("mark") > 0, "Rising").otherwise("Falling").alias("type"),
+        "duration",
+        (F.col("duration") / F.lit(ticks_per_minute)).alias("minutes"),
     )
-    return durations.withColumn("minutes", F.col("duration") / F.lit(ticks_per_minute))
 
 
 def edge_snapshots(
@@ -179,9 +196,10 @@ def edge_snapshots(
     """Changes from ``reach`` ticks before to ``reach + 1`` after the large edges of large jobs.
 
     The threshold is not scaled by job size.  Edges without a full stretch are
-    left out before runs are reduced to their first edge.
+    left out before runs are reduced to their first edge.  The ticks of the large
+    jobs are read twice and so settled.
     """
-    large = clean_jobs(number_ticks(series.filter(F.col(count) > min_nodes)))
+    large = settle(clean_jobs(number_ticks(series.filter(F.col(count) > min_nodes))))
     direction = F.when(F.col("diff") > watts, 1).when(F.col("diff") < -watts, -1).otherwise(0)
     whole = (F.col("idx") >= reach) & (F.col("idx") + reach + 1 < F.col("rows") - 1)
     marked = large.withColumn("direction", F.when(whole, direction).otherwise(0))
@@ -222,6 +240,17 @@ def _spectrum_input(series: DataFrame, watts: float, drop_watts: float, full_siz
     )
 
 
+def _strongest(changes: np.ndarray, top_n: int, tick_seconds: float) -> tuple[list[float], list[float]]:
+    """Frequencies and squared amplitudes of one job, strongest first, without zeros."""
+    strength = np.abs(np.fft.rfft(changes)) ** 2
+    if strength.max() == 0:
+        return [], []
+    freq = np.fft.rfftfreq(len(changes), tick_seconds)
+    ranked = np.lexsort((freq, -np.round(strength / strength.max(), 9)))
+    picked = [k for k in ranked[:top_n] if strength[k] > 0]
+    return list(freq[picked]), list(strength[picked])
+
+
 def job_spectrum(
     series: DataFrame,
     top_n: int = 1,
@@ -237,28 +266,18 @@ def job_spectrum(
     any row leaves the JVM.  Of frequencies equally strong (up to rounding) the
     lowest wins.
     """
-    rows = _spectrum_input(series, watts, drop_watts, full_size, cuts).filter(F.col("rows") - 1 > 2 * top_n)
-
-    def strongest(job: pd.DataFrame) -> pd.DataFrame:
-        changes = job.sort_values("idx")["diff"].to_numpy(float)
-        strength = np.abs(np.fft.rfft(changes)) ** 2
-        freq = np.fft.rfftfreq(len(changes), tick_seconds)
-        top = strength.max()
-        ranked = np.lexsort((freq, -np.round(strength / top, 9))) if top > 0 else []
-        picked = [k for k in ranked[:top_n] if strength[k] > 0]
-        return pd.DataFrame(
-            {
-                "allocation_id": job["allocation_id"].iloc[0],
-                "class": job["class"].iloc[0],
-                "ticks": job["rows"].iloc[0],
-                "freq": freq[picked],
-                "amp": strength[picked],
-            }
-        )
-
-    return rows.groupBy("allocation_id").applyInPandas(
-        strongest, "allocation_id bigint, class int, ticks bigint, freq double, amp double"
-    )
+    kept = _spectrum_input(series, watts, drop_watts, full_size, cuts).filter(F.col("rows") - 1 > 2 * top_n)
+    jobs = _as_arrays(kept, ["idx", "diff"])
+
+    @F.pandas_udf("freq array<double>, amp array<double>")
+    def strongest(changes: pd.Series) -> pd.DataFrame:
+        found = [_strongest(np.asarray(c, float), top_n, tick_seconds) for c in changes]
+        return pd.DataFrame({"freq": [f for f, _ in found], "amp": [a for _, a in found]})
+
+    top = jobs.withColumn("top", strongest("ticks.diff"))
+    pairs = F.arrays_zip(F.col("top.freq").alias("freq"), F.col("top.amp").alias("amp"))
+    ticks = (F.size("ticks") + 1).cast("bigint").alias("ticks")
+    return top.select("allocation_id", "class", ticks, F.inline(pairs))
 
 
 def spectrum_features(spectrum: DataFrame, ticks_per_minute: float = 6.0) -> DataFrame:

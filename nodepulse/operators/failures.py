@@ -9,6 +9,7 @@ from ..functions import sensors
 from ..functions.derive import from_map, pick_by_index, valid_intervals
 from ..functions.places import node_location, nvlink_id, pci_address
 from ..functions.timegrid import round_to
+from ..session import settle
 from .intervals import exactly_one, jobs_at
 from .jobs import with_job_size
 
@@ -164,7 +165,8 @@ def failure_zscores(
         nodes.select("timestamp", "hostname", *temps), ["timestamp", "hostname"]
     )
     at_node = at_node.select(id_col, pick_by_index(temps, gpu_col).alias("temp"))
-    with_temp = base.join(exactly_one(at_node, [id_col]), id_col, "left")
+    # One row per failure, read again below: settled, so the readings are scanned once.
+    with_temp = settle(base.join(exactly_one(at_node, [id_col]), id_col, "left"))
 
     hot = with_temp.filter(F.col("temp").isNotNull()).select(id_col, "hostname", exact_time)
     job = exactly_one(jobs_at(hot, pernode, exact_time, bucket).select(id_col, "allocation_id"), [id_col])

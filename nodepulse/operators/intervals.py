@@ -20,7 +20,9 @@ def explode_buckets(df: DataFrame, begin: str, end: str, bucket: str, out: str =
     step = micros_of(bucket)
     first, last = F.unix_micros(floor_to(begin, bucket)), F.unix_micros(floor_to(end, bucket))
     good = df.filter(as_timestamp(begin) <= as_timestamp(end))
-    return good.withColumn(out, F.explode(steps_between(first, last, step)))
+    # Spark's size estimate does not see the rows that explode adds, so it must
+    # not choose to broadcast this side on the strength of it.
+    return good.withColumn(out, F.explode(steps_between(first, last, step))).hint("merge")
 
 
 def bucket_of(time_col: str | Column, bucket: str) -> Column:
@@ -38,18 +40,23 @@ def join_jobs_by_time(
     """Each node reading with every job that ran on the node at that tick.
 
     The job interval is widened outwards to the grid, and both ends belong to
-    it.  One row per node and job is used even if the job table repeats it.
+    it.  A node and job that the table has several times counts once, from the
+    earliest begin to the latest end.
     """
+    keys = ["allocation_id", "node_name"]
     jobs = (
-        pernode.withColumns(
-            {
-                "__begin": floor_to("begin_time", resolution),
-                "__end": ceil_to("end_time", resolution),
-                "__host": F.col("node_name"),
-            }
+        pernode.groupBy(*keys)
+        .agg(
+            F.min("begin_time").alias("__b"),
+            F.max("end_time").alias("__e"),
+            *[F.min(c).alias(c) for c in carry if c not in keys],
+        )
+        .select(
+            F.col("node_name").alias("__host"),
+            floor_to("__b", resolution).alias("__begin"),
+            ceil_to("__e", resolution).alias("__end"),
+            *carry,
         )
-        .dropDuplicates(["allocation_id", "node_name"])
-        .select("__host", "__begin", "__end", *carry)
     )
     jobs = explode_buckets(jobs, "__begin", "__end", bucket)
     points = telemetry.withColumn("__at", bucket_of(time_col, bucket))

@@ -106,18 +106,21 @@ def first_day_jobs(series: DataFrame, horizon_days: int | None = None, time_col:
     return df
 
 
+def _ran_the_day_before(series: DataFrame, time_col: str) -> DataFrame:
+    """Adds ``date`` and whether the job has rows on the day before; one sort, no self-join."""
+    dated = series.withColumn("date", F.to_date(time_col))
+    yesterday = Window.partitionBy("allocation_id").orderBy(F.unix_date("date")).rangeBetween(-1, -1)
+    return dated.withColumn("__ran", F.count(F.lit(1)).over(yesterday) > 0)
+
+
 def continued_jobs(series: DataFrame, time_col: str = "timestamp") -> DataFrame:
     """Rows of a job on the day after a day it also ran."""
-    dated = series.withColumn("date", F.to_date(time_col))
-    ran = dated.select("allocation_id", F.date_add("date", 1).alias("date")).distinct()
-    return dated.join(ran, ["allocation_id", "date"], "left_semi")
+    return _ran_the_day_before(series, time_col).filter("__ran").drop("__ran")
 
 
 def new_jobs(series: DataFrame, time_col: str = "timestamp") -> DataFrame:
     """Rows of a job on a day it did not run the day before."""
-    dated = series.withColumn("date", F.to_date(time_col))
-    ran = dated.select("allocation_id", F.date_add("date", 1).alias("date")).distinct()
-    return dated.join(ran, ["allocation_id", "date"], "left_anti")
+    return _ran_the_day_before(series, time_col).filter("not __ran").drop("__ran")
 
 
 def job_energy(pernode: DataFrame) -> DataFrame:

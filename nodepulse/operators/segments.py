@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import settle
+
 #: Rows before an edge, rows from the edge on, and ticks an edge may take.
 FRONT, REAR, LAG = 12, 64, 4
 #: Watts per amplitude class, and the classes kept.
@@ -124,8 +126,13 @@ def power_segments(
     classes: tuple[int, int] = CLASSES,
     min_nodes: int = 4626 - 200,
 ) -> DataFrame:
-    """Series to carved, non-overlapping segments."""
-    numbered = number_rows(series, power, nodes, time_col, front, rear, lag)
+    """Series to carved, non-overlapping segments.
+
+    The numbered series, one row per tick, is read for the edges and again for
+    their stretches; it is settled so that it is computed once.
+    """
+    slim = series.select(*dict.fromkeys([time_col, power, nodes, *metrics]))
+    numbered = settle(number_rows(slim, power, nodes, time_col, front, rear, lag))
     edges = find_edges(numbered, power, time_col, front, rear, band, classes, min_nodes)
     return carve_segments(numbered, suppress_overlaps(edges, front, rear), metrics, front, rear, time_col)
 

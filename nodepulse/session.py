@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Rows of job arrays differ in size by far: bound the batch by bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "67108864",
 }
 
 
