@@ -9,4 +9,12 @@ streaming  Structured Streaming forms of the first two aggregation steps
 plans      operators chained into whole jobs, and the registry of checked queries
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# The few pandas functions travel to the executors with their code, so nothing
+# has to be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

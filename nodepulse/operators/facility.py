@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import as_timestamp, ceil_to, floor_to, grid_between, micros, micros_of, steps_between
+from ..functions.timegrid import as_timestamp, floor_to, grid_between, micros, micros_of, steps_between
 
 
 def resample_mean(
@@ -29,37 +29,45 @@ def interpolate_to_grid(
 ) -> DataFrame:
     """Linear interpolation of an irregular series onto the grid.
 
-    Each reading is paired with the next one of its column, and each pair writes
-    the grid points between its two times.  Pairs are found day by day; the pair
-    across midnight takes the first reading of the next day that has any, from a
-    table of one row per day.  Readings at the same time are averaged.
+    Of the readings between two grid points only the first and the last matter,
+    so they are reduced to one row per column and grid cell before anything is
+    sorted.  The last reading of a cell and the first of the next cell that has
+    any then write the grid points between them.  Cells are paired day by day;
+    the pair across midnight looks the next day up in a table of one row per
+    day.  Readings at the same time are averaged.
     """
+    step = micros_of(resolution)
     pairs = [F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("v")) for c in cols]
     long = (
-        df.select(as_timestamp(time_col).alias("t"), F.explode(F.array(*pairs)).alias("p"))
+        df.select(micros(time_col).alias("t"), F.explode(F.array(*pairs)).alias("p"))
         .select("t", "p.series", "p.v")
         .filter(F.col("v").isNotNull())
         .groupBy("series", "t")
         .agg(F.avg("v").alias("v"))
-        .withColumn("day", F.to_date("t"))
+    )
+    cells = (
+        long.groupBy("series", (F.col("t") - F.pmod("t", F.lit(step))).alias("cell"))
+        .agg(F.min(F.struct("t", "v")).alias("first"), F.max(F.struct("t", "v")).alias("last"))
+        .withColumn("day", F.floor(F.col("cell") / F.lit(micros_of("1 day"))))
     )
     # One row per series and day that has readings: bounded by the calendar.
-    days = long.groupBy("series", "day").agg(F.min(F.struct("t", "v")).alias("opening"))
-    after = days.select("series", "day", F.lead("opening").over(Window.partitionBy("series").orderBy("day")).alias("opening_after"))
-    in_day = Window.partitionBy("series", "day").orderBy("t")
+    days = cells.groupBy("series", "day").agg(F.min("first").alias("opening"))
+    by_day = Window.partitionBy("series").orderBy("day")
+    after = days.select("series", "day", F.lead("opening").over(by_day).alias("opening_after"))
+    by_cell = Window.partitionBy("series", "day").orderBy("cell")
     paired = (
-        long.withColumn("following", F.lead(F.struct("t", "v")).over(in_day))
+        cells.withColumn("next", F.lead("first").over(by_cell))
         .join(after, ["series", "day"])
-        .withColumn("following", F.coalesce("following", "opening_after"))
+        .withColumn("next", F.coalesce("next", "opening_after"))
     )
-    step = micros_of(resolution)
-    start = micros("t")
-    stop = F.coalesce(micros("following.t") - 1, start)
-    first, last = micros(ceil_to("t", resolution)), stop - F.pmod(stop, F.lit(step))
-    share = (F.col("us") - start) / (micros("following.t") - start)
-    blended = F.when(F.col("us") == start, F.col("v")).otherwise(F.col("v") + (F.col("following.v") - F.col("v")) * share)
-    ticks = paired.withColumn("us", F.explode(steps_between(first, last, step))).select(
-        F.timestamp_micros("us").alias(time_col), "series", blended.alias("v")
+    own = F.when(F.col("first.t") == F.col("cell"), F.array("cell")).otherwise(F.array().cast("array<bigint>"))
+    stop = F.coalesce(F.col("next.t") - 1, F.col("cell"))
+    between = steps_between(F.col("cell") + F.lit(step), stop - F.pmod(stop, F.lit(step)), step)
+    share = (F.col("us") - F.col("last.t")) / (F.col("next.t") - F.col("last.t"))
+    blended = F.col("last.v") + (F.col("next.v") - F.col("last.v")) * share
+    value = F.when(F.col("us") == F.col("first.t"), F.col("first.v")).otherwise(blended)
+    ticks = paired.withColumn("us", F.explode(F.concat(own, between))).select(
+        F.timestamp_micros("us").alias(time_col), "series", value.alias("v")
     )
     return ticks.groupBy(time_col).agg(*[F.max(F.when(F.col("series") == c, F.col("v"))).alias(c) for c in cols])
 

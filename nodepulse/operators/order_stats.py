@@ -21,10 +21,8 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 
-#: Target number of value buckets, and allowed rank error of their limits as a
-#: share of all rows.  A bucket holds at most about (1/BUCKETS + 2*ERROR) of them.
-BUCKETS = 128
-ERROR = 0.002
+#: Fewest and most value buckets, and distinct values wanted in one.
+BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 128, 8192, 500_000
 
 
 def stats_of(col: str, name: str, kinds) -> list[Column]:
@@ -51,14 +49,16 @@ def stats_of(col: str, name: str, kinds) -> list[Column]:
     return [F.expr(f"{make[k]} as `{k}_{name}`") for k in kinds]
 
 
-def bucket_limits(df: DataFrame, col: str, buckets: int = BUCKETS, error: float = ERROR) -> list[float]:
-    """Values that split ``col`` into about equal shares; at most ``buckets - 1`` numbers.
+def bucket_limits(counts: DataFrame, col: str) -> list[float]:
+    """Values that split the rows of ``counts`` into about equal shares.
 
-    Small enough for the driver whatever the input.  The ranks built on them
-    are exact for any limits; the limits only decide how work is spread.
+    There are more of them for larger inputs, and never more than the driver
+    holds easily.  Ranks built on them are exact for any limits; the limits only
+    decide how the work is spread.
     """
+    buckets = min(max(BUCKETS, counts.count() // BUCKET_ROWS), MOST_BUCKETS)
     shares = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(col, shares, error)
+    found = counts.approxQuantile(col, shares, 1 / (4 * buckets))
     return sorted({v for v in found if v is not None and math.isfinite(v)})
 
 
@@ -80,7 +80,7 @@ def value_ranks(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     else:
         counts = counts.withColumn("__bucket", F.lit(0.0))
 
-    # One row per group and bucket: at most BUCKETS rows of each group.
+    # One row per group and bucket: at most MOST_BUCKETS rows of each group.
     totals = counts.groupBy(*keys, "__bucket").agg(F.sum("n").alias("__rows"))
     in_order = Window.partitionBy(*keys).orderBy("__bucket")
     offsets = totals.select(
