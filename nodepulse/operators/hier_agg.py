@@ -14,6 +14,7 @@ host with far too many rows costs one partial row per task and bin.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -61,12 +62,13 @@ def init_agg(
 ) -> DataFrame:
     """Aggregate raw rows into bins of ``resolution`` per group.
 
-    A bin without a single reading has count 0 and all else missing.
+    A bin without a single reading has count 0 and all else missing.  Rows
+    without a time or a group belong to no bin.
     """
     groups = [*before, time_col, *after]
     values = list(values) if values is not None else value_columns(df, groups)
     binned = df.select(*before, floor_to(time_col, resolution).alias(time_col), *after, *values)
-    return binned.groupBy(*groups).agg(*[c for v in values for c in moments(v)])
+    return binned.dropna(subset=groups).groupBy(*groups).agg(*[c for v in values for c in moments(v)])
 
 
 def coarsen_agg(
@@ -127,13 +129,4 @@ def in_slices(
     are already partitioned by ``groups``, so the joins add no shuffle.
     """
     parts = [step(df, values[i : i + size]) for i in range(0, len(values), size)]
-    result = parts[0]
-    for part in parts[1:]:
-        keys = [F.col(f"l.`{g}`").eqNullSafe(F.col(f"r.`{g}`")) for g in groups]
-        condition = keys[0]
-        for k in keys[1:]:
-            condition = condition & k
-        left, right = result.alias("l"), part.alias("r")
-        extra = [F.col(f"r.`{c}`") for c in part.columns if c not in groups]
-        result = left.join(right, condition).select(*[F.col(f"l.`{c}`") for c in result.columns], *extra)
-    return result
+    return reduce(lambda left, right: left.join(right, groups), parts)

@@ -250,10 +250,10 @@ def spectrum(spark, sf):
 
 @query(
     "job_fft",
-    check_sql("select * from spectrum", *SPECTRUM_CTES, doubles=["freq", "amp"], digits=8, amp=-3),
+    check_sql("select * from spectrum", *SPECTRUM_CTES, doubles=["freq", "amp"], digits=8, amp=-5),
 )
 def job_fft(spark, sf):
-    return tidy(spectrum(spark, sf), 8, amp=-3)
+    return tidy(spectrum(spark, sf), 8, amp=-5)
 
 
 @query(
@@ -263,11 +263,11 @@ def job_fft(spark, sf):
         *SPECTRUM_CTES,
         doubles=["freq", "amp", "amp_log", "minutes"],
         digits=8,
-        amp=-3,
+        amp=-5,
     ),
 )
 def job_fft_features(spark, sf):
-    return tidy(ed.spectrum_features(spectrum(spark, sf)), 8, amp=-3)
+    return tidy(ed.spectrum_features(spectrum(spark, sf)), 8, amp=-5)
 
 
 @query(

@@ -158,12 +158,12 @@ _METRICS = {
     "max_less_mean": "(max_sum_inp - mean_sum_inp) / 1000000",
 }
 METRICS_SQL = "metrics as (" + " union all ".join(
-    f"select node_cat, '{m}' as metric, cast({e} as double) as value from classed" for m, e in _METRICS.items()
+    f"select node_cat, '{m}' as metric, round(cast({e} as double), 12) as value from classed" for m, e in _METRICS.items()
 ) + ")"
 
 
 def metrics_long(spark, sf):
-    df = classed(spark, sf).select("node_cat", *[F.expr(e).cast("double").alias(m) for m, e in _METRICS.items()])
+    df = classed(spark, sf).select("node_cat", *[F.round(F.expr(e).cast("double"), 12).alias(m) for m, e in _METRICS.items()])
     return reshape.melt(df, ["node_cat"], list(_METRICS), "metric")
 
 

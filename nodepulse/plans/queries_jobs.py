@@ -535,9 +535,9 @@ def comparison(spark, sf):
     return facility.meter_vs_summation(fx.meter(spark, sf), board_power(spark, sf), fx.HOUR)
 
 
-@query("meter_diff", check_sql("select * from comparison", *METER_DIFF_CTES, doubles=["summation", "meter", "diff"], digits=8))
+@query("meter_diff", check_sql("select * from comparison", *METER_DIFF_CTES, doubles=["summation", "meter", "diff"], digits=11))
 def meter_diff(spark, sf):
-    return tidy(comparison(spark, sf), 8)
+    return tidy(comparison(spark, sf), 11)
 
 
 @query(

@@ -71,3 +71,16 @@ def test_slices_give_the_same_as_all_at_once(spark):
     assert sliced.columns == whole.columns
     order = ["timestamp", "hostname"]
     assert sliced.orderBy(*order).collect() == whole.orderBy(*order).collect()
+
+
+def test_slices_add_no_shuffle(spark):
+    cols = [f"cast(id % {i} as double) as s{i}" for i in range(2, 11)]
+    df = spark.range(60).selectExpr("timestamp_seconds(id * 7) as timestamp", "concat('h', id % 3) as hostname", *cols)
+    sliced = node_aggregates(df, "1 minute", [f"s{i}" for i in range(2, 11)], slice_size=3)
+    plan = sliced.hint("merge")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_rows_without_host_belong_to_no_bin(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0)], "hostname string, x double").selectExpr("timestamp'2020-01-01' as timestamp", "*")
+    assert [r.x_sum for r in hier_agg.init_agg(df, "1 hour").collect()] == [1.0]
