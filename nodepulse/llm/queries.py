@@ -3,17 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nodepulse.llm import bitpack, packing
+from nodepulse.llm import bitpack, packing, simhash_trie, spotsigs, topk
 from nodepulse.llm.common import read, vocabulary
 from nodepulse.session import scratch_path
 
 
+def op1_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SpotSigs fingerprints of all documents and of their edited texts."""
+    return spotsigs.spotsigs(read(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, each closed by id 1, in sequences of at most 2048 ids."""
     return packing.packed_documents(read(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=1, size=2048)
 
 
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best inner products of every 100th vector with all others."""
+    return topk.top_k(read(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10, scale=1024)
+
+
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as bit-packed ids in files, read back."""
     folder = scratch_path(spark, "tokens")
@@ -21,10 +32,36 @@ def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_token_files(spark, manifest)
 
 
+def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of all documents."""
+    found = simhash_trie.near_components(read(spark, sf_dir, "documents"), limit=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
     "op2_packing": op2_packing,
+    "op3_topk": op3_topk,
     "op7_bit_packing": op7_bit_packing,
+    "op10_simhash_trie": op10_simhash_trie,
 }
 
 #: SQL for the same rows, where SQL can say it.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op3_topk": """
+with v as (
+    select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+    from embeddings
+    where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+s as (
+    select q.vec_id as query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as score
+    from v q join v c on q.vec_id <> c.vec_id
+    where q.vec_id % 100 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, cast(score as bigint) as score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+where rank <= 10
+""",
+}
