@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from nodepulse.session import scratch_path
 
@@ -41,3 +45,45 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the runs of equal neighbours in ``keys``."""
     starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
     return starts, np.diff(np.r_[starts, len(keys)])
+
+
+def with_text_columns(
+    df: DataFrame, made: dict[str, pa.DataType], schema: str, start: Callable[[], Callable], text_col: str = "text"
+) -> DataFrame:
+    """``df`` and the columns ``made``, computed from the column ``text_col``.
+
+    ``start`` is called once in a task and returns a function of a list of texts
+    that returns the new columns in their order; ``schema`` declares them.
+    Other columns pass through as they are, but for those of a new one's name,
+    which it replaces.
+    """
+    df = df.drop(*made)
+    at, names, types = df.columns.index(text_col), df.columns, list(made.values())
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = start()
+        for batch in batches:
+            for a in range(0, batch.num_rows, 1000):
+                part = batch.slice(a, 1000)
+                new = work(part.column(at).to_pylist())
+                arrays = [*part.columns, *[pa.array(x, t) for x, t in zip(new, types, strict=True)]]
+                yield pa.RecordBatch.from_arrays(arrays, names=[*names, *made])
+
+    old = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(tasks, f"{old}, {schema}")
+
+
+def share_of(rows: DataFrame, group: str, most: int, *mixed: str) -> DataFrame:
+    """At most ``most`` rows of each value of ``group``, drawn by a hash of the columns ``mixed``.
+
+    A hash threshold from the group's count leaves about as many rows as needed
+    before any are ranked, so no group meets in one task.
+    """
+    size = rows.groupBy(group).agg(F.count("*").alias("n"))  # one row for each value, few
+    rate = {r[group]: min(1.0, 1.2 * most / r["n"] + 1e-9) for r in size.collect()}
+    bound = F.lit(0.0)
+    for value, share in rate.items():
+        bound = F.when(F.col(group) == F.lit(value), share).otherwise(bound)
+    drawn = rows.withColumn("__mix", F.xxhash64(*mixed)).where(F.pmod("__mix", F.lit(1 << 30)) < bound * (1 << 30))
+    place = F.row_number().over(Window.partitionBy(group).orderBy("__mix"))
+    return drawn.withColumn("__place", place).where(F.col("__place") <= most).drop("__mix", "__place")

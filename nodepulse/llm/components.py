@@ -7,23 +7,30 @@ components, and a few rounds leave one star for each, around its smallest node.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nodepulse.llm.common import kept
 
 
+def _pairs(*columns: tuple[str, str]) -> list[Column]:
+    """Each row gives one (a, b) for each pair of column names.
+
+    Written as one explode, not as a union: what follows groups by ``a`` or ``b``.
+    """
+    made = F.explode(F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in columns])).alias("p")
+    return [made]
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """One step over links (a, b) with a > b."""
     if large:
-        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = links.select(*_pairs(("a", "b"), ("b", "a"))).select("p.a", "p.b")
         lowest = both.groupBy("a").agg(F.least("a", F.min("b")).alias("low"))
         out = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
     else:
         lowest = links.groupBy("a").agg(F.min("b").alias("low"))
-        out = links.join(lowest, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(
-            lowest.select("a", F.col("low").alias("b"))
-        )
+        out = links.join(lowest, "a").select(*_pairs(("b", "low"), ("a", "low"))).select("p.a", "p.b")
     return out.where("a > b").distinct()
 
 
@@ -42,6 +49,4 @@ def star_components(links: DataFrame) -> DataFrame:
         if now == seen:
             break
         seen = now
-    return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-        links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    )
+    return links.select(*_pairs(("a", "b"), ("b", "b"))).selectExpr("p.a as node", "p.b as root").distinct()

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodepulse.llm import bitpack, packing, simhash_trie, spotsigs, topk
-from nodepulse.llm.common import read, vocabulary
+from nodepulse.llm import bitpack, lang_mix, packing, reply_trees, simhash_trie, spotsigs, topk, toxic_crf
+from nodepulse.llm.common import read, remainder, vocabulary
 from nodepulse.session import scratch_path
 
 
@@ -25,6 +25,34 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read(spark, sf_dir, "embeddings"), "vec_id % 100 = 0", k=10, scale=1024)
 
 
+def op4_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; three quarters of them, by a hash of the id, teach."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    model = lang_mix.train(docs.where(~held_out))
+    out = lang_mix.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that speaks in control strings, formatted and read back."""
+    own = "</s>[INST] ok [/INST]"
+    more = spark.sql(f"select * from values (-1L, 0L, 'user', '{own}'), (-1L, 1L, 'assistant', '{own}') t(conv_id, turn, role, text)")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    out = reply_trees.conversations(reply_trees.linear(rows))
+    said = reply_trees.turns_of(F.col("formatted"))
+    out = out.withColumn("turns", said).withColumn("learned", reply_trees.loss_text(F.col("formatted"), F.col("loss")))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.char_length("learned").cast("long").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as bit-packed ids in files, read back."""
     folder = scratch_path(spark, "tokens")
@@ -32,6 +60,15 @@ def op7_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitpack.read_token_files(spark, manifest)
 
 
+def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents; four fifths of the labels, by a hash of the id, teach."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxic_crf.train(docs, read(spark, sf_dir, "labels").where(~held_out))
+    out = toxic_crf.predict(docs.withColumn("held_out", held_out), model)
+    return out.select("doc_id", "held_out", "score", "predicted", "spans")
+
+
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of all documents."""
     found = simhash_trie.near_components(read(spark, sf_dir, "documents"), limit=4)
@@ -42,12 +79,34 @@ QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_packing": op2_packing,
     "op3_topk": op3_topk,
+    "op4_language_mix": op4_language_mix,
+    "op6_reply_trees": op6_reply_trees,
     "op7_bit_packing": op7_bit_packing,
+    "op8_toxic_crf": op8_toxic_crf,
     "op10_simhash_trie": op10_simhash_trie,
 }
 
 #: SQL for the same rows, where SQL can say it.
 SQL: dict[str, str] = {
+    "op6_reply_trees": """
+with c as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select * from (values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+),
+e as (
+    select *, regexp_replace(replace(text, chr(92), repeat(chr(92), 2)), '<([|]|/?s>|</?SYS>>)', '<' || chr(92) || chr(92) || '\\1', 'g') as half
+    from c
+),
+f as (
+    select *, length(regexp_replace(half, '\\[(/?INST\\])', '[' || chr(92) || chr(92) || '\\1', 'g')) as n from e
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       sum(length(role) + n + 24)::bigint as formatted_chars
+from f group by conv_id
+""",
     "op3_topk": """
 with v as (
     select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
