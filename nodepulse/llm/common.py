@@ -48,14 +48,14 @@ def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def with_text_columns(
-    df: DataFrame, made: dict[str, pa.DataType], schema: str, start: Callable[[], Callable], text_col: str = "text"
+    df: DataFrame, made: dict[str, pa.DataType], schema: str, start: Callable[[], Callable], text_col: str = "text", keep: bool = True
 ) -> DataFrame:
     """``df`` and the columns ``made``, computed from the column ``text_col``.
 
     ``start`` is called once in a task and returns a function of a list of texts
     that returns the new columns in their order; ``schema`` declares them.
     Other columns pass through as they are, but for those of a new one's name,
-    which it replaces.
+    which it replaces; ``text_col`` goes unless ``keep``.
     """
     df = df.drop(*made)
     at, names, types = df.columns.index(text_col), df.columns, list(made.values())
@@ -66,11 +66,13 @@ def with_text_columns(
             for a in range(0, batch.num_rows, 1000):
                 part = batch.slice(a, 1000)
                 new = work(part.column(at).to_pylist())
-                arrays = [*part.columns, *[pa.array(x, t) for x, t in zip(new, types, strict=True)]]
+                old = [c for k, c in enumerate(part.columns) if keep or k != at]
+                arrays = [*old, *[pa.array(x, t) for x, t in zip(new, types, strict=True)]]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*names, *made])
 
-    old = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(tasks, f"{old}, {schema}")
+    names = [n for n in names if keep or n != text_col]
+    old = "".join(f"`{n}` {df.schema[n].dataType.simpleString()}, " for n in names)
+    return df.mapInArrow(tasks, old + schema)
 
 
 def share_of(rows: DataFrame, group: str, most: int, *mixed: str) -> DataFrame:

@@ -8,8 +8,8 @@ gradient steps on the likelihood.  Forward and backward sums give each word's
 marginal.  A text's score is a logistic function of its highest marginal, their
 sum and the number of words; words whose marginal is one half or more are its offending spans.
 
-A chain is a run of at most ``CHAIN`` words.  Training takes at most
-``per_label`` texts of each label, drawn by a hash from those of at most
+A chain is a run of at most ``CHAIN`` words.  Training takes a
+bounded number of texts of each label, drawn by a hash from those of at most
 ``CHARS`` characters; scoring reads all texts, whole.
 
 Cases: a null or empty text has the score of one without any toxic word; labels
@@ -34,12 +34,12 @@ from nodepulse.llm.common import share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a chain, buckets of features, characters of a training text, gradient steps, words kept in memory.
-CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 10_000, 60, 800_000
+CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 10_000, 40, 800_000
 #: Toxic texts that a word's form must occur in, at least and as a part of all, and the least share of toxic
 #: texts among those with it, were both labels equally frequent.
 TOXIC_TEXTS, TOXIC_PART, TOXIC_SHARE = 3, 0.008, 0.9
 #: What a clean text with a form weighs against a toxic one.
-CLEAN_COST = 20
+CLEAN_COST = 5
 
 
 def forms(word: str) -> list[str]:
@@ -115,12 +115,12 @@ class ToxicModel:
         least = max(TOXIC_TEXTS, TOXIC_PART * total[1])
         bad = {f for f, n in seen[1].items() if n >= least and not f.endswith("$") and share(f) >= TOXIC_SHARE}
         # Many forms go along with each toxic word.  Those are taken that explain most texts no other form explains
-        # yet, less what they cost in clean ones; of equal forms the longest.
+        # yet, less what they cost in clean ones; of equal forms a whole word, or the longest.
         left = [{f for x in set(w) for f in forms(x)} & bad for w, y in zip(words, labels, strict=True) if y]
         cost = {f: CLEAN_COST * seen[0][f] * total[1] / total[0] for f in bad}
         good: set[str] = set()
         while explained := Counter(f for h in left for f in h):
-            form = max(explained, key=lambda f: (explained[f] - cost[f], len(f), f))
+            form = max(explained, key=lambda f: (explained[f] - cost[f], f[0] == "=", len(f), f))
             if explained[form] - cost[form] < least:
                 break
             good.add(form)
@@ -206,12 +206,16 @@ class ToxicModel:
         return score, (score >= 0.5).astype(int), spans
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 1000) -> ToxicModel:
-    """Model from texts and ``labels`` (doc_id, toxic); at most ``per_label`` texts of each label reach the driver."""
-    known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic")
-    drawn = share_of(known, "toxic", 2 * per_label, "doc_id")  # at most 4 x per_label rows of two integers
-    rows = docs.where(f"char_length(text) <= {CHARS}").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    got = sorted((r["toxic"], r["text"]) for r in share_of(rows, "toxic", per_label, "doc_id", "text").toLocalIterator())
+def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 3000) -> ToxicModel:
+    """Model from texts and ``labels`` (doc_id, toxic); at most ``toxic`` and ``clean`` texts reach the driver."""
+    known = labels.where("doc_id is not null").select("doc_id", "toxic")
+    texts = docs.where(f"char_length(text) <= {CHARS}").select("doc_id", "text")
+    got = []
+    for label, most in ((1, toxic), (0, clean)):
+        # Some texts are too long or absent: twice as many ids are drawn, two integers each.
+        drawn = share_of(known.where(F.col("toxic") == label), "toxic", 2 * most, "doc_id")
+        rows = share_of(texts.join(F.broadcast(drawn), "doc_id"), "toxic", most, "doc_id", "text")
+        got += sorted((label, r["text"]) for r in rows.toLocalIterator())
     model = ToxicModel()
     if got:
         model.fit([t for _, t in got], [y for y, _ in got])
@@ -232,5 +236,6 @@ def predict(docs: DataFrame, model: ToxicModel) -> DataFrame:
             store.update({"of": token, "known": {}})
         return lambda texts: own.predict(texts, store["known"])
 
-    made = {"score": pa.float64(), "predicted": pa.int32(), "spans": pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))}
+    span = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
+    made = {"score": pa.float64(), "predicted": pa.int32(), "spans": pa.list_(span)}
     return with_text_columns(docs, made, "score double, predicted int, spans array<struct<start:int,stop:int>>", start)
