@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nodepulse.llm import bitpack, lang_mix, packing, reply_trees, simhash_trie, spotsigs, topk, toxic_crf
+from nodepulse.llm import (
+    bitpack,
+    html_blocks,
+    lang_mix,
+    packing,
+    reply_trees,
+    simhash_trie,
+    spotsigs,
+    suffix_pieces,
+    topk,
+    toxic_crf,
+)
 from nodepulse.llm.common import read, remainder, vocabulary
 from nodepulse.session import scratch_path
 
@@ -34,6 +45,13 @@ def op4_language_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of a byte-pair SentencePiece vocabulary, and decoded again."""
+    path = vocabulary("piece_bpe_32k.model")
+    ids = suffix_pieces.encoded(read(spark, sf_dir, "documents").select("doc_id", "text"), path, keep=False)
+    return suffix_pieces.decoded(ids, path).drop("text")
+
+
 def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that speaks in control strings, formatted and read back."""
     own = "</s>[INST] ok [/INST]"
@@ -69,6 +87,12 @@ def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted", "spans")
 
 
+def op9_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_blocks.main_text(pages, html_blocks.train(pages))
+
+
 def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of all documents."""
     found = simhash_trie.near_components(read(spark, sf_dir, "documents"), limit=4)
@@ -80,9 +104,11 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_topk": op3_topk,
     "op4_language_mix": op4_language_mix,
+    "op5_suffix_pieces": op5_suffix_pieces,
     "op6_reply_trees": op6_reply_trees,
     "op7_bit_packing": op7_bit_packing,
     "op8_toxic_crf": op8_toxic_crf,
+    "op9_html_blocks": op9_html_blocks,
     "op10_simhash_trie": op10_simhash_trie,
 }
 
