@@ -194,7 +194,9 @@ def near_links(prints: DataFrame, limit: int = 4) -> DataFrame:
     pairs = nodes.withColumn("mask", F.expr(masks)).selectExpr(
         "node", "raw", "least(node, node ^ mask) as low", "greatest(node, node ^ mask) as high"
     )
-    return pairs.groupBy("low", "high").applyInPandas(join, "a long, b long")
+    # A pair of nodes is few bytes and much work: their number, not their size, deals them out.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(parts, "low", "high").groupBy("low", "high").applyInPandas(join, "a long, b long")
 
 
 def near_components(docs: DataFrame, limit: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -220,8 +222,9 @@ def representatives(docs: DataFrame, limit: int = 4) -> DataFrame:
     Of several rows with that id one stays.  Rows without an id stay: none of
     them can stand for a group.
     """
-    keep = near_components(docs, limit).where("component_id = doc_id").select("doc_id").distinct()
-    order = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    known = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").withColumn("__place", order)
-    known = known.where("__place = 1").drop("__place").select(docs.columns)
-    return known.unionByName(docs.where("doc_id is null"))
+    plain = docs.toDF(*[c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(docs.columns)])
+    keep = near_components(plain, limit).where("component_id = doc_id").select("doc_id").distinct()
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    known = plain.where("doc_id is not null").join(keep, "doc_id", "left_semi").withColumn("place", place)
+    known = known.where("place = 1").select(plain.columns)
+    return known.unionByName(plain.where("doc_id is null")).toDF(*docs.columns)

@@ -75,7 +75,7 @@ class Pieces:
         rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
         order, known = np.argsort(rank, kind="stable"), 1
         while known < self.longest:
-            next_ = np.r_[rank[known:], np.zeros(min(known, len(rank)), np.int64)]
+            next_ = np.r_[rank[known:], np.full(min(known, len(rank)), len(rank) + 1)]  # past the end sorts last, as a break does
             key = rank * (len(rank) + 2) + next_
             order = np.argsort(key, kind="stable")
             sorted_ = key[order]

@@ -9,7 +9,7 @@ score, which cannot hold the k-th of all, and hands on at most k ties of its own
 
 Vectors are scored with those of the same number of components.  Scores are
 integers; they are computed as doubles while those are exact, else as 64-bit
-integers.
+integers; beyond 2**61 they end in an error, not in a wrong result.
 
 Cases: a vector that is null, empty, or holds a null or non-finite component
 takes no part; a query is not its own candidate, nor is any row of its id; rows
@@ -107,7 +107,7 @@ def top_k(
         .withColumn("query_no", F.monotonically_increasing_id())
         .withColumn("low", -reach)
         .withColumn("high", reach + 1)
-        .withColumn("width", F.greatest(F.lit(1), F.ceil((2 * reach + 1) / BINS)).cast("long"))
+        .withColumn("width", F.expr(f"(high - low + {BINS - 1}) div {BINS}"))
         .withColumn("above", F.lit(0).cast("long")),
         "queries",
     )
@@ -145,7 +145,7 @@ def top_k(
             "query_no", "vec_id", "dim", "v",
             F.expr("if(hit is null, low, low + hit.bin * width)").alias("low"),
             F.expr("if(hit is null, high, low + (hit.bin + 1) * width)").alias("high"),
-            F.expr(f"if(hit is null or width = 1, 1L, cast(ceil(width / {BINS}) as long))").alias("width"),
+            F.expr(f"if(hit is null or width = 1, width, (width + {BINS - 1}) div {BINS})").alias("width"),
             F.expr("coalesce(hit.over, above)").alias("above"),
             F.expr("hit is not null and width > 1").alias("more"),
         )

@@ -34,7 +34,7 @@ from nodepulse.llm.common import share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a chain, buckets of features, characters of a training text, gradient steps, words kept in memory.
-CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 10_000, 40, 800_000
+CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 6_000, 40, 800_000
 #: Toxic texts that a word's form must occur in, at least and as a part of all, and the least share of toxic
 #: texts among those with it, were both labels equally frequent.
 TOXIC_TEXTS, TOXIC_PART, TOXIC_SHARE = 3, 0.008, 0.9
@@ -74,50 +74,54 @@ class ToxicModel:
     def word_weight(self, word: str) -> float:
         return self.bias + sum(self.weights[_bucket(f)] for f in forms(word))
 
-    def marginals(self, emit: np.ndarray, pairs: bool = False):
-        """Probability of the toxic state in each place of a grid of toxic-state scores."""
-        up, move = np.exp(np.clip(emit, -30, 30)), np.exp(self.moves)
+    def marginals(self, emit: np.ndarray, real: np.ndarray | None = None, kind: type = np.float32):
+        """Probability of the toxic state in each place of a grid of toxic-state scores.
+
+        With ``real``, which tells the places that hold words, also the expected number of each change of state.
+        """
+        up, move = np.exp(np.clip(emit, -30, 30)).astype(kind), np.exp(self.moves).astype(kind)
         n, length = emit.shape
-        fore, back = np.empty((length, 2, n)), np.ones((length, 2, n))
-        state = np.stack([np.ones(n), up[:, 0]])
+        fore, back = np.empty((length, 2, n), kind), np.ones((length, 2, n), kind)
+        state = np.stack([np.ones(n, kind), up[:, 0]])
         fore[0] = state / state.sum(0)
         for t in range(1, length):
             state = move.T @ fore[t - 1]
             state[1] *= up[:, t]
             fore[t] = state / state.sum(0)
+        changes = np.zeros((2, 2))
         for t in range(length - 2, -1, -1):
-            state = back[t + 1].copy()
-            state[1] *= up[:, t + 1]
-            state = move @ state
+            right = back[t + 1].copy()
+            right[1] *= up[:, t + 1]
+            if real is not None:
+                joint = fore[t][:, None] * move[:, :, None] * right[None]
+                changes += (joint / joint.sum((0, 1)) * real[:, t + 1]).sum(2)
+            state = move @ right
             back[t] = state / state.sum(0)
         both = fore * back
         p = (both[:, 1] / both.sum(1)).T
-        if not pairs:
-            return p
-        right = back[1:].copy()
-        right[:, 1] *= up[:, 1:].T
-        joint = fore[:-1, :, None] * move[None, :, :, None] * right[:, None]
-        joint /= joint.sum((1, 2), keepdims=True)
-        return p, joint
+        return p if real is None else (p, changes)
 
     def fit(self, texts: list[str], labels: list[int]) -> None:
         """Learn from texts and their labels."""
-        words = [WORD.findall(t.lower()) for t in texts]
-        seen = [Counter(), Counter()]
-        for w, y in zip(words, labels, strict=True):
-            seen[y].update({f for x in set(w) for f in forms(x)})
-        total = [max(1, labels.count(0)), max(1, labels.count(1))]
-
-        def share(f: str) -> float:
-            toxic, clean = seen[1][f] / total[1], seen[0][f] / total[0]
-            return toxic / (toxic + clean)
-
+        number: dict[str, int] = {}
+        numbers = [np.array([number.setdefault(x, len(number)) for x in WORD.findall(t.lower())], np.int32) for t in texts]
+        kinds, total = list(number), [max(1, labels.count(0)), max(1, labels.count(1))]
         least = max(TOXIC_TEXTS, TOXIC_PART * total[1])
-        bad = {f for f, n in seen[1].items() if n >= least and not f.endswith("$") and share(f) >= TOXIC_SHARE}
+        held = [np.unique(n).tolist() for n in numbers]
+        toxic = Counter()
+        for own, y in zip(held, labels, strict=True):
+            if y:
+                toxic.update({f for k in own for f in forms(kinds[k]) if not f.endswith("$")})
+        toxic = {f: n for f, n in toxic.items() if n >= least}
+        clean = Counter()  # of those forms only
+        for own, y in zip(held, labels, strict=True):
+            if not y:
+                clean.update({f for k in own for f in forms(kinds[k]) if f in toxic})
+        bad = {f for f, n in toxic.items() if n / total[1] >= TOXIC_SHARE * (n / total[1] + clean[f] / total[0])}
         # Many forms go along with each toxic word.  Those are taken that explain most texts no other form explains
         # yet, less what they cost in clean ones; of equal forms a whole word, or the longest.
-        left = [{f for x in set(w) for f in forms(x)} & bad for w, y in zip(words, labels, strict=True) if y]
-        cost = {f: CLEAN_COST * seen[0][f] * total[1] / total[0] for f in bad}
+        left = [{f for k in own for f in forms(kinds[k]) if f in bad} for own, y in zip(held, labels, strict=True) if y]
+        cost = {f: CLEAN_COST * clean[f] * total[1] / total[0] for f in bad}
         good: set[str] = set()
         while explained := Counter(f for h in left for f in h):
             form = max(explained, key=lambda f: (explained[f] - cost[f], f[0] == "=", len(f), f))
@@ -125,14 +129,11 @@ class ToxicModel:
                 break
             good.add(form)
             left = [h for h in left if form not in h]
-        kinds = sorted({x for w in words for x in w})
-        number = {x: k for k, x in enumerate(kinds)}
-        toxic_kind = np.array([any(f in good for f in forms(x)) for x in kinds], bool)
-        lists = [[_bucket(f) for f in forms(x)] for x in kinds]
-        owner = np.repeat(np.arange(len(kinds)), [len(x) for x in lists])
-        buckets = np.array([b for x in lists for b in x], np.int64)
-        sizes = [len(w) for w in words]
-        which = np.array([number[x] for w in words for x in w], np.int64)
+        toxic_kind = np.fromiter((any(f in good for f in forms(x)) for x in kinds), bool, len(kinds))
+        owner = np.repeat(np.arange(len(kinds), dtype=np.int32), np.fromiter((len(forms(x)) for x in kinds), np.int32, len(kinds)))
+        buckets = np.fromiter((_bucket(f) for x in kinds for f in forms(x)), np.int32, len(owner))
+        sizes = [len(n) for n in numbers]
+        which = np.concatenate([np.zeros(0, np.int32), *numbers])
         if not len(which):
             return
         gold = toxic_kind[which] & np.repeat(np.array(labels, bool), sizes)
@@ -154,11 +155,10 @@ class ToxicModel:
         for k in range(1, STEPS + 1):
             kind = self.bias + np.bincount(owner, self.weights[buckets], len(kinds))
             emit, _ = _grid(kind[which], sizes, -30.0)
-            p, joint = self.marginals(emit, pairs=True)
+            p, expected = self.marginals(emit, real)
             miss = (y - p).ravel()[at]
             by_kind = np.bincount(which, miss, len(kinds))
             slope = np.bincount(buckets, by_kind[owner], BUCKETS) - 0.05 * self.weights
-            expected = (joint * real[:, 1:].T[:, None, None, :]).sum((0, 3))
             self.weights = move("w", self.weights, slope / n_words, k)
             self.bias = move("b", self.bias, miss.sum() / n_words, k)
             self.moves = move("m", self.moves, (seen_moves - expected - 0.5 * self.moves) / n_words, k)
