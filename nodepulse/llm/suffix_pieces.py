@@ -33,8 +33,8 @@ from nodepulse.llm.byte_bpe import worker_store
 from nodepulse.llm.common import with_text_columns
 
 SPACE = "\u2581"
-#: Units kept in memory; characters beyond which a unit is relaxed by itself; no edge.
-KEPT_UNITS, LONG, NONE = 600_000, 48, np.iinfo(np.int32).max
+#: Units kept in memory; characters indexed at once; characters beyond which a unit is relaxed by itself; no edge.
+KEPT_UNITS, AT_ONCE, LONG, NONE = 500_000, 300_000, 48, np.iinfo(np.int32).max
 _UNIT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _BREAK = np.uint32(0xFFFFFFFF)
 
@@ -110,11 +110,11 @@ class Pieces:
         order = self.suffixes(codes)
         low, high = self.ranges(codes, order)
         count = high - low
-        piece = np.repeat(np.arange(len(count)), count)
+        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
         at = order[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(piece))]
         key = at * (self.longest + 1) + self.lengths[piece]
         by_place = np.argsort(key, kind="stable")
-        return key[by_place], piece[by_place].astype(np.int32)
+        return key[by_place], piece[by_place]
 
     # -- relaxing ---------------------------------------------------------
 
@@ -241,7 +241,10 @@ class Pieces:
         if len(known) > KEPT_UNITS:
             known.clear()
         new = list({u for p in parts for u in p if u not in known})
-        known.update(zip(new, self.encode_units([SPACE + u for u in new]), strict=True))
+        ends = np.cumsum([len(u) + 2 for u in new])
+        cuts = [0, *np.flatnonzero(np.diff(ends // AT_ONCE)) + 1, len(new)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            known.update(zip(new[a:b], self.encode_units([SPACE + u for u in new[a:b]]), strict=True))
         return [b"".join([known[u] for u in p]) for p in parts]
 
     def decode(self, ids: bytes) -> str:
