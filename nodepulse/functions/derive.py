@@ -112,10 +112,10 @@ def pick_by_index(cols: list[str], index: Column | str) -> Column:
 def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """Replace a code by its description, or keep the code where there is none.
 
-    ``dim`` holds one row per code.  Whether it is sent to every executor is
-    left to Spark, which knows its size.
+    ``dim`` holds one row per code; of several the smallest description counts.
+    Whether it is sent to every executor is left to Spark, which knows its size.
     """
-    pairs = dim.select(F.col(key), F.col(value).alias("__value")).dropDuplicates([key])
+    pairs = dim.groupBy(key).agg(F.min(value).alias("__value"))
     return df.join(pairs, key, "left").withColumn(out, F.coalesce("__value", F.col(key))).drop("__value")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 BOARD_CABINETS = {
     "msb16": [("h", 9, 36), ("g", 1, 36)],
     "msb17": [("f", 1, 36), ("e", 1, 13), ("e", 25, 36), ("d", 1, 3)],
-    "msb19": [("d", 4, 17), ("d", 19, 32), ("d", 34, 36), ("c", 1, 12), ("c", 25, 36), ("b", 1, 8)],
+    "msb19": [("d", 4, 17), ("d", 19, 32), ("d", 34, 36), ("c", 1, 13), ("c", 25, 36), ("b", 1, 8)],
     "msb20": [("b", 9, 36), ("a", 1, 36)],
 }
 NODES_PER_CABINET = 18

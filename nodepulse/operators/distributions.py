@@ -272,10 +272,14 @@ def corr_significance(corr: DataFrame, alpha: float = 0.05 / 13 / 14) -> DataFra
 
     @F.pandas_udf("double")
     def p_of(t: pd.Series, freedom: pd.Series) -> pd.Series:
-        return pd.Series(_upper_tail(t.to_numpy(float), freedom.to_numpy(float)))
+        t, freedom = t.to_numpy(float), freedom.to_numpy(float)
+        out = np.full(len(t), np.nan)
+        out[freedom > 0] = _upper_tail(t[freedom > 0], freedom[freedom > 0])
+        return pd.Series(out)
 
     r = F.col("corr")
     t = F.when(F.abs(r) < 1, r * F.sqrt((F.col("n") - 2) / (1 - r * r)))
     with_t = corr.withColumn("t", t)
     p = F.when(F.col("t").isNull(), F.lit(0.0)).otherwise(p_of(F.coalesce("t", F.lit(0.0)), (F.col("n") - 2).cast("double")))
+    p = F.when(F.col("n") > 2, p)  # two nodes always lie on a line: no p-value
     return with_t.withColumn("p_value", p).withColumn("significant", F.col("p_value") < alpha)

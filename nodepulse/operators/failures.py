@@ -125,6 +125,17 @@ def top_projects(rates: DataFrame, n: int = 15) -> DataFrame:
     return rates.join(best.select("account"), "account", "left_semi")
 
 
+def sheet_letters(place: Column) -> Column:
+    """A to Z, then AA, AB and so on, for numbers from 1."""
+    digits = F.lit("")
+    for power in range(6):  # six letters number 300 million
+        # Numbers of at least power + 1 letters begin at 1 + 26 + ... + 26**power.
+        first = sum(26**k for k in range(power + 1))
+        letter = F.char(F.pmod(F.floor((place - first) / 26**power), F.lit(26)).cast("long") + 65)
+        digits = F.concat(F.when(place >= first, letter).otherwise(F.lit("")), digits)
+    return digits
+
+
 def project_labels(accounts: DataFrame, domains: DataFrame) -> DataFrame:
     """Neutral project names: domain description and a letter, in account order.
 
@@ -132,10 +143,10 @@ def project_labels(accounts: DataFrame, domains: DataFrame) -> DataFrame:
     """
     distinct = accounts.select("account").distinct().withColumn("domain", F.substring("account", 1, 3))
     named = distinct.join(domains, "domain", "left")
-    place = F.dense_rank().over(Window.partitionBy("domain").orderBy("account"))
+    place = F.dense_rank().over(Window.partitionBy("domain").orderBy("account")).cast("long")
     return named.select(
         "account",
-        F.concat(F.coalesce("description", "domain"), F.lit(" "), F.char(place + 64)).alias("label"),
+        F.concat(F.coalesce("description", "domain"), F.lit(" "), sheet_letters(place)).alias("label"),
     )
 
 

@@ -13,8 +13,6 @@ host with far too many rows costs one partial row per task and bin.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,16 +115,3 @@ def finalize_agg(df: DataFrame, groups: list[str], keep_count: bool = False) ->
         ]
         cols += [n] if keep_count else []
     return df.selectExpr(*cols)
-
-
-def in_slices(
-    df: DataFrame, groups: list[str], values: list[str], step: Callable[[DataFrame, list[str]], DataFrame], size: int = 20
-) -> DataFrame:
-    """Run ``step`` on ``size`` sensors at a time and join the parts on ``groups``.
-
-    All 117 sensors at once give 585 aggregate columns, too many for one
-    generated function.  Each slice reads only its own columns, and the parts
-    are already partitioned by ``groups``, so the joins add no shuffle.
-    """
-    parts = [step(df, values[i : i + size]) for i in range(0, len(values), size)]
-    return reduce(lambda left, right: left.join(right, groups), parts)

@@ -36,14 +36,16 @@ def join_jobs_by_time(
     bucket: str = "1 hour",
     time_col: str = "timestamp",
     carry: list[str] = ("allocation_id", "node_name", "num_nodes"),
+    ends: str = "outward",
 ) -> DataFrame:
     """Each node reading with every job that ran on the node at that tick.
 
-    The job interval is widened outwards to the grid, and both ends belong to
-    it.  A node and job that the table has several times counts once, from the
+    The job interval is widened ``outward`` to the grid, or its ends go to the
+    ``nearest`` tick; both ends belong to it.  A node and job that the table has several times counts once, from the
     earliest begin to the latest end.
     """
     keys = ["allocation_id", "node_name"]
+    to_begin, to_end = {"outward": (floor_to, ceil_to), "nearest": (round_to, round_to)}[ends]
     jobs = (
         pernode.groupBy(*keys)
         .agg(
@@ -53,8 +55,8 @@ def join_jobs_by_time(
         )
         .select(
             F.col("node_name").alias("__host"),
-            floor_to("__b", resolution).alias("__begin"),
-            ceil_to("__e", resolution).alias("__end"),
+            to_begin("__b", resolution).alias("__begin"),
+            to_end("__e", resolution).alias("__end"),
             *carry,
         )
     )
@@ -85,6 +87,8 @@ def expand_job_ticks(pernode: DataFrame, resolution: str, time_col: str = "times
     return (
         ticks.withColumn("__us", at)
         .select(F.timestamp_micros("__us").alias(time_col), "hostname", "allocation_id")
+        # Spark's size estimate does not see the rows that explode adds.
+        .hint("merge")
     )
 
 
@@ -101,13 +105,14 @@ def jobs_at(
     host: str = "hostname",
     carry: list[str] = ("allocation_id",),
 ) -> DataFrame:
-    """Jobs on the event's node whose interval (begin, end] holds the event."""
-    jobs = pernode.select(
-        F.col("node_name").alias("__host"),
-        as_timestamp("begin_time").alias("__begin"),
-        as_timestamp("end_time").alias("__end"),
-        *carry,
-    ).dropDuplicates(["__host", *carry])
+    """Jobs on the event's node whose interval (begin, end] holds the event.
+
+    A node and job that the table has several times counts once, from the
+    earliest begin to the latest end.
+    """
+    jobs = pernode.groupBy(F.col("node_name").alias("__host"), *carry).agg(
+        F.min(as_timestamp("begin_time")).alias("__begin"), F.max(as_timestamp("end_time")).alias("__end")
+    )
     jobs = explode_buckets(jobs, "__begin", "__end", bucket)
     points = events.withColumn("__at", bucket_of(time_col, bucket))
     hit = (

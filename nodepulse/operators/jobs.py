@@ -1,8 +1,6 @@
 """Power and energy of jobs.
 
-A job at a tick has at most one row per node it holds, so the number of its node
-rows bounds the group; that small table decides how quantiles are computed.  ``sizes``
-(allocation_id, rows) may give such a bound from elsewhere.
+A job at a tick has at most one row per node it holds, which bounds the group.
 
 The series have one row per (timestamp, allocation_id); a job therefore has at
 most as many rows as the recorded time has ticks, whatever the machine's size.
@@ -17,7 +15,7 @@ from ..functions.derive import account_domain, add_component_power
 from ..functions.timegrid import seconds_between
 from .cluster import COMPONENT_SPECS, POWER_KINDS, missing_sums
 from .intervals import join_jobs_by_time
-from .order_stats import MAX_GROUP, grouped_stats
+from .order_stats import grouped_stats
 
 
 def _node_counts() -> list:
@@ -34,15 +32,12 @@ def job_power_ts(
     resolution: str = "10 seconds",
     bucket: str = "1 hour",
     time_col: str = "timestamp",
-    max_group: int | None = MAX_GROUP,
-    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Input and total power statistics of each job at each tick."""
     slim = nodes.select(time_col, "hostname", "input_power_mean", "total_power_mean")
     joined = join_jobs_by_time(slim, pernode, resolution, bucket, time_col)
     specs = [("input_power_mean", "inp", POWER_KINDS), ("total_power_mean", "top", POWER_KINDS)]
-    sizes = job_sizes(pernode, "rows") if sizes is None else sizes
-    return grouped_stats(joined, [time_col, "allocation_id"], specs, _node_counts(), sizes, max_group)
+    return grouped_stats(joined, [time_col, "allocation_id"], specs, _node_counts())
 
 
 def job_component_ts(
@@ -51,15 +46,12 @@ def job_component_ts(
     resolution: str = "10 seconds",
     bucket: str = "1 hour",
     time_col: str = "timestamp",
-    max_group: int | None = MAX_GROUP,
-    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """CPU and GPU power statistics of each job at each tick."""
     slim = add_component_power(nodes).select(time_col, "hostname", "cpu_power", "cpu_nan", "gpu_power", "gpu_nan")
     joined = join_jobs_by_time(slim, pernode, resolution, bucket, time_col)
-    sizes = job_sizes(pernode, "rows") if sizes is None else sizes
     extra = [*_node_counts(), *missing_sums()]
-    return grouped_stats(joined, [time_col, "allocation_id"], COMPONENT_SPECS, extra, sizes, max_group)
+    return grouped_stats(joined, [time_col, "allocation_id"], COMPONENT_SPECS, extra)
 
 
 def job_power_summary(series: DataFrame, time_col: str = "timestamp") -> DataFrame:

@@ -135,50 +135,14 @@ def value_at_share(ranks: DataFrame, keys: list[str], share: float, out: str = "
     return ranks.filter(hit).select(*keys, F.col("value").alias(out), F.col("total").alias("n"))
 
 
-#: Rows above which a group's exact quantiles are not left to a single task.
-MAX_GROUP = 2_000_000
-
-_QUANTILE_KINDS = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
-
-
 def grouped_stats(
-    df: DataFrame,
-    keys: list[str],
-    specs: list[tuple[str, str, tuple[str, ...]]],
-    extra: list[Column] = (),
-    sizes: DataFrame | None = None,
-    max_group: int | None = MAX_GROUP,
+    df: DataFrame, keys: list[str], specs: list[tuple[str, str, tuple[str, ...]]], extra: list[Column] = ()
 ) -> DataFrame:
     """Statistics ``kind_name`` of several columns per group, quantiles included.
 
-    ``specs`` lists (column, name, kinds).  A group's size is looked up first:
-    ``sizes`` has an upper bound ``rows`` per value of some of the keys (counted
-    from ``df`` when not given; pass a cheaper table where there is one).
-    Groups within ``max_group`` rows take one ordinary ``groupBy``.  Should any
-    be larger, those and only those get their quantiles from
-    :func:`value_ranks`; there can be no more of them than rows / max_group.
-    ``max_group=None`` says that the caller knows the bound.
+    ``specs`` lists (column, name, kinds).  One ``groupBy`` for groups that have
+    a bound by their nature: a tick of the machine or of a job has at most a row
+    for each node, or one for each sensor of each node.  For groups without such
+    a bound use :func:`exact_quantiles`.
     """
-    every = [c for col, name, kinds in specs for c in stats_of(col, name, kinds)]
-    direct = lambda part: part.groupBy(*keys).agg(*extra, *every)
-    if max_group is None:
-        return direct(df)
-    if sizes is None:
-        sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    on = [c for c in sizes.columns if c != "rows"]
-    large = sizes.filter(F.col("rows") > max_group).select(*on)
-    if large.isEmpty():
-        return direct(df)
-    small_part = direct(df.join(large, on, "left_anti"))
-    rest = df.join(large, on, "left_semi")
-    moments = [
-        c
-        for col, name, kinds in specs
-        for c in stats_of(col, name, tuple(k for k in kinds if k not in _QUANTILE_KINDS))
-    ]
-    result = rest.groupBy(*keys).agg(*extra, *moments)
-    for col, name, kinds in specs:
-        probs = {f"{k}_{name}": _QUANTILE_KINDS[k] for k in kinds if k in _QUANTILE_KINDS}
-        if probs:
-            result = result.join(exact_quantiles(rest, keys, col, probs), keys, "left")
-    return small_part.unionByName(result)
+    return df.groupBy(*keys).agg(*extra, *[c for col, name, kinds in specs for c in stats_of(col, name, kinds)])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import sensors
 from ..functions.bands import band_counts, hot_mask
 from ..functions.missing import any_null
-from .order_stats import MAX_GROUP, grouped_stats
+from .order_stats import grouped_stats
 
 COMPTYPE_KINDS = ("mean", "std", "min", "max", "q25", "q50", "q75", "size", "count")
 
@@ -67,24 +67,16 @@ def comptype_long(df: DataFrame, keys: list[str], groups: dict[str, list[str]])
     return df.select(*keys, F.expr(f"stack({sensors_per_row}, {pairs}) as (comptype, temp)"))
 
 
-def comptype_stats(
-    df: DataFrame,
-    keys: list[str],
-    groups: dict[str, list[str]] | None = None,
-    sizes: DataFrame | None = None,
-    max_group: int | None = MAX_GROUP,
-) -> DataFrame:
+def comptype_stats(df: DataFrame, keys: list[str], groups: dict[str, list[str]] | None = None) -> DataFrame:
     """Statistics of all temperatures of each component type, ``type_kind`` columns.
 
     One pass over the long form for all types; turning the four types into
-    columns afterwards touches only the result.
+    columns afterwards touches only the result.  A group has at most a row for
+    each sensor of a type on each node.
     """
     groups = groups or {kind: sensors.mean_of(cols) for kind, cols in sensors.COMPONENT_TYPES.items()}
     long = comptype_long(df, keys, groups)
-    if sizes is None and max_group is not None:
-        most = max(len(cols) for cols in groups.values())
-        sizes = df.groupBy(*keys).agg((F.count(F.lit(1)) * most).alias("rows"))
-    stats = grouped_stats(long, [*keys, "comptype"], [("temp", "temp", COMPTYPE_KINDS)], (), sizes, max_group)
+    stats = grouped_stats(long, [*keys, "comptype"], [("temp", "temp", COMPTYPE_KINDS)])
     return stats.groupBy(*keys).agg(
         *[
             F.expr(f"max(`{stat}_temp`) filter (where comptype = '{kind}') as `{kind}_{stat}`")

@@ -24,18 +24,13 @@ def load_readings(raw: DataFrame) -> DataFrame:
 
 
 def node_aggregates(
-    readings: DataFrame, resolution: str = "10 seconds", values: list[str] | None = None, slice_size: int | None = 20
+    readings: DataFrame, resolution: str = "10 seconds", values: list[str] | None = None
 ) -> DataFrame:
     """Readings to mean, std, min and max per node and tick."""
     groups = ["timestamp", "hostname"]
     values = values or hier_agg.value_columns(readings, groups)
 
-    def step(df: DataFrame, part: list[str]) -> DataFrame:
-        return hier_agg.finalize_agg(hier_agg.init_agg(df, resolution, values=part), groups)
-
-    if slice_size is None or len(values) <= slice_size:
-        return step(readings, values)
-    return hier_agg.in_slices(readings, groups, values, step, slice_size)
+    return hier_agg.finalize_agg(hier_agg.init_agg(readings, resolution, values=values), groups)
 
 
 def cluster_power(nodes: DataFrame) -> DataFrame:
@@ -64,7 +59,7 @@ def cluster_thermal(nodes: DataFrame, plant: DataFrame) -> DataFrame:
 
 def job_thermal(nodes: DataFrame, pernode: DataFrame, plant: DataFrame, resolution: str = "10 seconds") -> DataFrame:
     """Band counts of each job; limits are open at both ends here."""
-    joined = join_jobs_by_time(nodes, pernode, resolution)
+    joined = join_jobs_by_time(nodes, pernode, resolution, ends="nearest")
     bands = thermal_bands(joined, ["timestamp", "allocation_id"], value_range=sensors.JOB_BAND_RANGE)
     return with_facility(bands, plant)
 
@@ -74,7 +69,7 @@ def cluster_comptypes(nodes: DataFrame, plant: DataFrame) -> DataFrame:
 
 
 def job_comptypes(nodes: DataFrame, pernode: DataFrame, plant: DataFrame, resolution: str = "10 seconds") -> DataFrame:
-    joined = join_jobs_by_time(nodes, pernode, resolution)
+    joined = join_jobs_by_time(nodes, pernode, resolution, ends="nearest")
     return with_facility(comptype_stats(joined, ["timestamp", "allocation_id"]), plant)
 
 

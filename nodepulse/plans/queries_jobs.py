@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import sensors
+from ..functions import places, sensors
 from ..functions.derive import compute_nodes_only, node_hours
 from ..operators import cluster, facility, intervals, jobs, reshape, thermal
 from . import fixtures as fx
@@ -57,6 +57,9 @@ TICKS_SQL = """ticks as (
     from pernode) r where b <= e)"""
 
 
+TICKED_SQL = "ticked as (select n.*, t.allocation_id from nodes n join ticks t on t.timestamp = n.timestamp and t.hostname = n.hostname)"
+
+
 def _ticks(spark, sf):
     return intervals.expand_job_ticks(fx.pernode_jobs(spark, sf), fx.HOUR)
 
@@ -125,14 +128,9 @@ JOB_POWER_SQL = f"""job_power as (select timestamp, allocation_id, {_NODE_COUNTS
 JOB_POWER_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, SPANS_SQL, joined_sql("nodes", "joined"), JOB_POWER_SQL)
 
 
-def job_bounds(spark, sf, per_node: int = 1):
-    """Upper bound of a job's rows at one tick: the stand-in deals ``num_nodes`` node rows to a job."""
-    return fx.jobs(spark, sf).select("allocation_id", (F.col("num_nodes") * per_node).alias("rows"))
-
-
 def job_power_series(spark, sf):
     nodes = fx.nodes(spark, sf, ["input_power", "total_power"])
-    return jobs.job_power_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours", sizes=job_bounds(spark, sf))
+    return jobs.job_power_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours")
 
 
 @query(
@@ -150,7 +148,7 @@ _COMPONENT_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, SPANS_SQL, COMPONENT_SQL, joine
 
 def job_component_series(spark, sf):
     nodes = fx.nodes(spark, sf, COMPONENT_SENSORS)
-    return jobs.job_component_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours", sizes=job_bounds(spark, sf))
+    return jobs.job_component_ts(nodes, fx.pernode_jobs(spark, sf), fx.HOUR, "6 hours")
 
 
 @query("job_component_ts", check_sql("select * from job_component", *_COMPONENT_CTES, doubles=COMPONENT_DOUBLES))
@@ -369,12 +367,13 @@ def thermal_bands_cluster(spark, sf):
         fx.NODES_SQL,
         fx.PERNODE_SQL,
         TICKS_SQL,
-        "ticked as (select n.*, t.allocation_id from nodes n join ticks t on t.timestamp = n.timestamp and t.hostname = n.hostname)",
+        TICKED_SQL,
         flags_sql("ticked", "timestamp, allocation_id", None, None),
     ),
 )
 def thermal_bands_job(spark, sf):
-    joined = intervals.join_ticks(fx.nodes(spark, sf, _TEMPS), _ticks(spark, sf))
+    pernode = fx.pernode_jobs(spark, sf)
+    joined = intervals.join_jobs_by_time(fx.nodes(spark, sf, _TEMPS), pernode, fx.HOUR, "6 hours", ends="nearest")
     bands = thermal.thermal_bands(joined, ["timestamp", "allocation_id"], value_range=sensors.JOB_BAND_RANGE)
     return _joined_masks(bands)
 
@@ -408,16 +407,19 @@ def comptype_cluster(spark, sf):
     return tidy(thermal.comptype_stats(fx.nodes(spark, sf, COMPTYPE_SENSORS), ["timestamp"], fx.COMPTYPES))
 
 
-JOB_COMPTYPE_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, SPANS_SQL, joined_sql("nodes", "joined"), long_sql("joined", "timestamp, allocation_id"))
+JOB_COMPTYPE_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, TICKS_SQL, TICKED_SQL, long_sql("ticked", "timestamp, allocation_id"))
 
 
-def job_comptypes(spark, sf, kinds=None):
+def job_comptypes(spark, sf, kinds=None, at=None):
+    """Component statistics of jobs, only at the ticks of ``at`` (timestamp) where that is given."""
     groups = {k: v for k, v in fx.COMPTYPES.items() if kinds is None or k in kinds}
     values = [c.removesuffix("_mean") for cols in groups.values() for c in cols]
     pernode = fx.pernode_jobs(spark, sf)
-    joined = intervals.join_jobs_by_time(fx.nodes(spark, sf, values), pernode, fx.HOUR, "6 hours")
-    most = max(len(cols) for cols in groups.values())
-    return thermal.comptype_stats(joined, ["timestamp", "allocation_id"], groups, job_bounds(spark, sf, most))
+    nodes = fx.nodes(spark, sf, values)
+    if at is not None:
+        nodes = nodes.join(at, ["timestamp"], "left_semi")
+    joined = intervals.join_jobs_by_time(nodes, pernode, fx.HOUR, "6 hours", ends="nearest")
+    return thermal.comptype_stats(joined, ["timestamp", "allocation_id"], groups)
 
 
 @query("comptype_job", check_sql(comptype_sql("timestamp, allocation_id"), *JOB_COMPTYPE_CTES, doubles=COMPTYPE_DOUBLES))
@@ -506,6 +508,33 @@ def msb_power(spark, sf):
     return tidy(board_power(spark, sf))
 
 
+# The cabinets of each board once more, as SQL, to check the floor map against.
+FLOOR_SQL = """floor as (select hostname, case
+    when r = 'g' or (r = 'h' and c between 9 and 36) then 'msb16'
+    when r = 'f' or (r = 'e' and (c between 1 and 13 or c between 25 and 36)) or (r = 'd' and c between 1 and 3) then 'msb17'
+    when (r = 'd' and (c between 4 and 17 or c between 19 and 32 or c between 34 and 36))
+      or (r = 'c' and (c between 1 and 13 or c between 25 and 36)) or (r = 'b' and c between 1 and 8) then 'msb19'
+    when r = 'a' or (r = 'b' and c between 9 and 36) then 'msb20' end as msb
+  from (select distinct hostname, hostname[1] as r, cast(hostname[2:3] as int) as c, cast(hostname[5:6] as int) as n from node_dim) d
+  where n between 1 and 18)"""
+
+
+@query(
+    "msb_power_on_floor",
+    check_sql(
+        """select timestamp, f.msb, count(n.hostname) as hosts, coalesce(sum(total_power_mean), 0) as total_power,
+        coalesce(sum(input_power_mean), 0) as input_power from nodes n join floor f on f.hostname = n.hostname and f.msb is not null group by all""",
+        fx.NODES_SQL,
+        FLOOR_SQL,
+        doubles=["total_power", "input_power"],
+    ),
+)
+def msb_power_on_floor(spark, sf):
+    """Board power with the boards of the real floor map; hosts that no board feeds are left out."""
+    nodes = fx.nodes(spark, sf, ["input_power", "total_power"])
+    return tidy(facility.msb_power(nodes, places.floor_map(spark)))
+
+
 _SIX = "time_bucket(interval '6 hours', timestamp, timestamp '1970-01-01')"
 
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nodepulse.functions import bands, derive, missing, places, sensors, timegrid
+from nodepulse.operators import failures
 
 
 def one(df, col):
@@ -105,7 +106,7 @@ def test_floor_map_has_each_node_once(spark):
     floor = places.floor_map(spark)
     per_board = {r.msb: r["count"] for r in floor.groupBy("msb").count().collect()}
     assert floor.select("hostname").distinct().count() == sum(per_board.values())
-    assert per_board == {"msb16": 64 * 18, "msb17": 64 * 18, "msb19": 63 * 18, "msb20": 64 * 18}
+    assert per_board == {"msb16": 64 * 18, "msb17": 64 * 18, "msb19": 64 * 18, "msb20": 64 * 18}
 
 
 def test_dotted_names(spark):
@@ -115,3 +116,22 @@ def test_dotted_names(spark):
 
 def test_core_13_is_absent():
     assert len(sensors.CPU_CORE_TEMPS) == 46 and "p0_core13_temp" not in sensors.CPU_CORE_TEMPS
+
+
+def test_labels_go_on_after_z(spark):
+    df = spark.range(1, 20_000).select("id", failures.sheet_letters(F.col("id")).alias("s"))
+    got = {r.id: r.s for r in df.collect()}
+    assert [got[k] for k in (1, 26, 27, 52, 53, 702, 703, 704, 18_278, 18_279)] == ["A", "Z", "AA", "AZ", "BA", "ZZ", "AAA", "AAB", "ZZZ", "AAAA"]
+    assert len(set(got.values())) == len(got)
+
+
+def test_lookup_takes_one_description(spark):
+    dim = spark.createDataFrame([("a", "second"), ("a", "first"), ("b", None)], "k string, v string")
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    assert sorted((r.k, r.o) for r in derive.lookup(df, dim, "k", "v", "o").collect()) == [("a", "first"), ("b", "b"), ("c", "c")]
+
+
+def test_local_time_over_a_clock_change(spark):
+    df = spark.sql("select explode(array(timestamp'2020-03-08 01:30:00', timestamp'2020-03-08 03:30:00', timestamp'2020-11-01 00:30:00', timestamp'2020-11-01 02:30:00')) as t")
+    got = [str(r[0]) for r in df.select(timegrid.local_to_utc("t", "America/New_York").alias("u").cast("string")).collect()]
+    assert got == ["2020-03-08 06:30:00", "2020-03-08 07:30:00", "2020-11-01 04:30:00", "2020-11-01 07:30:00"]

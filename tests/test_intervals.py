@@ -79,3 +79,26 @@ def test_days_of_long_jobs(spark, rows):
     day = "cast(day(timestamp) as int)"
     assert rows(jobs.continued_jobs(df).selectExpr("allocation_id", day)) == [(1, 2), (1, 3)]
     assert rows(jobs.new_jobs(df).selectExpr("allocation_id", day)) == [(1, 1), (1, 5), (2, 3)]
+
+
+def test_repeated_node_and_job_count_once_over_all_their_time(spark):
+    rows = [(1, "h", 0, 10), (1, "h", 20, 30), (2, "h", 100, 110)]
+    for order in (rows, rows[::-1]):
+        pernode = spark.createDataFrame(order, "allocation_id long, node_name string, b long, e long").selectExpr(
+            "*", "timestamp_seconds(b) as begin_time", "timestamp_seconds(e) as end_time"
+        )
+        events = spark.range(40).selectExpr("id as event_id", "'h' as hostname", "timestamp_seconds(id) as exact")
+        got = intervals.jobs_at(events, pernode, "exact").select("event_id", "allocation_id").collect()
+        assert sorted((r.event_id, r.allocation_id) for r in got) == [(k, 1) for k in range(1, 31)]
+
+
+def test_job_ends_outward_and_nearest(spark):
+    pernode = spark.sql("select 1L as allocation_id, 'h' as node_name, 1 as num_nodes, timestamp_seconds(14) as begin_time, timestamp_seconds(36) as end_time")
+    points = spark.range(0, 80, 10).selectExpr("timestamp_seconds(id) as timestamp", "'h' as hostname", "id")
+    for ends, want in (("outward", [10, 20, 30, 40]), ("nearest", [10, 20, 30, 40])):
+        assert sorted(r.id for r in intervals.join_jobs_by_time(points, pernode, "10 seconds", ends=ends).collect()) == want
+    pernode = spark.sql("select 1L as allocation_id, 'h' as node_name, 1 as num_nodes, timestamp_seconds(16) as begin_time, timestamp_seconds(34) as end_time")
+    for ends, want in (("outward", [10, 20, 30, 40]), ("nearest", [20, 30])):
+        assert sorted(r.id for r in intervals.join_jobs_by_time(points, pernode, "10 seconds", ends=ends).collect()) == want
+    ticks = intervals.expand_job_ticks(pernode, "10 seconds")
+    assert intervals.join_ticks(points, ticks).count() == 2

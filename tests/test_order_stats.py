@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from nodepulse.operators import cluster, distributions, order_stats
+from nodepulse.operators import cluster, distributions, jobs, order_stats, thermal
 
 
 @pytest.fixture(scope="module")
@@ -51,14 +51,34 @@ def test_value_at_share(frame, skewed):
     assert got == {k: sorted(v)[int((len(v) - 1) * 0.8)] for k, v in groups(skewed).items()}
 
 
-@pytest.mark.parametrize("limit", [None, 10, 2000, 10**9])
-def test_large_groups_give_the_same_statistics(frame, limit):
-    specs = [("v", "v", cluster.POWER_KINDS)]
-    want = {r.k: r.asDict() for r in order_stats.grouped_stats(frame, ["k"], specs, max_group=None).collect()}
-    got = {r.k: r.asDict() for r in order_stats.grouped_stats(frame, ["k"], specs, max_group=limit).collect()}
-    assert set(got) == set(want)
-    for k in want:
-        assert got[k] == pytest.approx(want[k])
+def test_grouped_statistics(frame, skewed):
+    got = {r.k: r for r in order_stats.grouped_stats(frame, ["k"], [("v", "v", cluster.POWER_KINDS)]).collect()}
+    for k, values in groups(skewed).items():
+        assert got[k].q50_v == pytest.approx(np.quantile(values, 0.5))
+        assert got[k].sum_v == pytest.approx(sum(values))
+
+
+def test_building_series_runs_nothing(spark):
+    """No Spark job runs while the plan of a series is built."""
+    nodes = spark.range(10).selectExpr(
+        "timestamp_seconds(id) as timestamp", "'h' as hostname", *[f"double(id) as {c}" for c in ("input_power_mean", "total_power_mean", "ps0_input_power_mean", "ps1_input_power_mean")]
+    )
+    pernode = spark.range(2).selectExpr("id as allocation_id", "'h' as node_name", "1 as num_nodes", "timestamp_seconds(0) as begin_time", "timestamp_seconds(5) as end_time")
+    tracker, group = spark.sparkContext.statusTracker(), "series"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        cluster.cluster_power_ts(nodes)
+        jobs.job_power_ts(nodes, pernode)
+        thermal.comptype_stats(nodes, ["timestamp"], {"x": ["input_power_mean", "total_power_mean"]})
+        assert tracker.getJobIdsForGroup(group) == []
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_two_nodes_have_no_p_value(spark):
+    counts = [("a", "x", 1), ("b", "x", 2), ("a", "y", 3), ("b", "y", 1)]
+    corr = distributions.corr_matrix(spark.createDataFrame(counts, "h string, kind string, n bigint"), "h", "kind", "n", ["x", "y"])
+    assert {r.p_value for r in distributions.corr_significance(corr).collect()} == {None}
 
 
 def test_box_whiskers(frame, skewed):

@@ -70,13 +70,22 @@ def test_schemas_widen(spark):
     assert len(raw) == 4 + 107 and len(loaded) == 3 + 117
     lossless, final = schemas.lossless_schema(loaded), schemas.final_schema(loaded)
     assert len(lossless) == 2 + 117 * 5 and len(final) == 2 + 117 * 4
-    assert lossless["gpu0_core_temp_sum"].dataType == T.ShortType()
-    assert lossless["p0_power_sum"].dataType == T.IntegerType()
+    assert lossless["gpu0_core_temp_sum"].dataType == T.LongType()
+    assert lossless["p0_power_sum"].dataType == lossless["p0_power_count"].dataType == T.LongType()
     assert lossless["ps0_input_voltage_sum"].dataType == T.DoubleType()
     assert lossless["ps0_input_voltage_min"].dataType == T.FloatType()
     assert final["p0_power_mean"].dataType == T.FloatType()
 
 
+def test_long_bins_fit_their_types(spark):
+    """400 readings of 90 degrees in one bin."""
+    rows = spark.range(400).selectExpr("timestamp_seconds(id) as timestamp", "'h' as hostname", "cast(90 as tinyint) as gpu0_core_temp")
+    base = schemas.loaded_schema()
+    base = T.StructType([f for f in base if f.name in rows.columns])
+    got = schemas.apply_schema(init_agg(rows, "1 hour"), schemas.lossless_schema(base)).first()
+    assert (got.gpu0_core_temp_sum, got.gpu0_core_temp_count) == (36_000, 400)
+
+
 def test_full_width_readings_load(spark):
     fields = schemas.raw_schema()
     row = tuple(
