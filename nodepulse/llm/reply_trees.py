@@ -59,12 +59,12 @@ def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     up = kept(there.selectExpr("a.tree", "a.node", "b.node as parent", "score", "1L as depth"), "replies")
     reach, open_ = [up], up.where("parent is not null").count()
     while open_:
-        up = kept(
-            _beside(up, up, F.expr("a.parent = b.node"), "left").selectExpr(
-                "a.tree", "a.node", "b.parent", "a.score + coalesce(b.score, 0) as score", "a.depth + coalesce(b.depth, 0) as depth"
-            ),
-            "replies",
+        # Only messages whose pointer has not passed the root yet go on.
+        step = _beside(up.where("parent is not null"), up, F.expr("a.parent = b.node"), "left")
+        step = step.selectExpr(
+            "a.tree", "a.node", "b.parent", "a.score + coalesce(b.score, 0) as score", "a.depth + coalesce(b.depth, 0) as depth"
         )
+        up = kept(step.unionByName(up.where("parent is null")), "replies")
         now = up.where("parent is not null").count()
         if now == open_:  # only loops are left
             break
