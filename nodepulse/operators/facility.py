@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timegrid import as_timestamp, floor_to, grid_between, micros, micros_of, steps_between
+from ..functions.timegrid import as_timestamp, floor_to, micros, micros_of, steps_between
+
+
+#: Bins written from one row.
+GRID_RUN = 10_000
 
 
 def resample_mean(
@@ -14,13 +18,20 @@ def resample_mean(
     """Mean per bin, with a row for every bin between the first and the last.
 
     Bins without rows come out with missing means.  The bins are written from
-    the ends of each key's own range, one short row per key.
+    the ends of each key's own range, in runs of ``GRID_RUN``.
     """
     keys = list(keys)
     binned = df.select(*keys, floor_to(time_col, resolution).alias(time_col), *cols)
     means = binned.groupBy(*keys, time_col).agg(*[F.avg(c).alias(c) for c in cols])
-    spans = binned.groupBy(*keys).agg(F.min(time_col).alias("__a"), F.max(time_col).alias("__z"))
-    grid = spans.select(*keys, F.explode(grid_between(F.col("__a"), F.col("__z"), resolution)).alias(time_col))
+    spans = means.groupBy(*keys).agg(F.min(time_col).alias("__a"), F.max(time_col).alias("__z"))
+    step = micros_of(resolution)
+    first, last = F.unix_micros("__a"), F.unix_micros("__z")
+    runs = spans.filter(F.col("__a").isNotNull()).select(
+        *keys, last.alias("__last"), F.explode(steps_between(first, last, step * GRID_RUN)).alias("__run")
+    )
+    end = F.least(F.col("__last"), F.col("__run") + F.lit(step * (GRID_RUN - 1)))
+    ticks = F.explode(steps_between(F.col("__run"), end, step)).alias("__us")
+    grid = runs.select(*keys, ticks).select(*keys, F.timestamp_micros("__us").alias(time_col))
     return grid.join(means, [*keys, time_col], "left")
 
 

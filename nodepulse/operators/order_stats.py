@@ -6,24 +6,18 @@ Two situations, two plans:
   built-in exact ``percentile`` is one aggregate among others; see
   :func:`stats_of`.
 * Few groups of any size (a size class, a project, a week: one may hold a third
-  of all rows).  :func:`value_ranks` counts equal values first, cuts the value
-  range into buckets holding about equal shares of the distinct values, sums the
-  buckets, and ranks inside a bucket only.  No task ever sees a whole group.
+  of all rows).  :func:`value_ranks` counts equal values first, deals the counts
+  out by ranges of (keys, value), sums the parts, and ranks inside a part only.
+  How many parts there are is the cluster's own setting; no task sees a group.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
 
-#: Fewest and most value buckets, and distinct values wanted in one.
-BUCKETS, MOST_BUCKETS, BUCKET_ROWS = 128, 8192, 500_000
-
 
 def stats_of(col: str, name: str, kinds) -> list[Column]:
     """Aggregates ``kind_name`` of one column.
@@ -49,53 +43,56 @@ def stats_of(col: str, name: str, kinds) -> list[Column]:
     return [F.expr(f"{make[k]} as `{k}_{name}`") for k in kinds]
 
 
-def bucket_limits(counts: DataFrame, col: str) -> list[float]:
-    """Values that split the rows of ``counts`` into about equal shares.
-
-    There are more of them for larger inputs, and never more than the driver
-    holds easily.  Ranks built on them are exact for any limits; the limits only
-    decide how the work is spread.
-    """
-    buckets = min(max(BUCKETS, counts.count() // BUCKET_ROWS), MOST_BUCKETS)
-    shares = [i / buckets for i in range(1, buckets)]
-    found = counts.approxQuantile(col, shares, 1 / (4 * buckets))
-    return sorted({v for v in found if v is not None and math.isfinite(v)})
+def _same(keys: list[str], left: str, right: str) -> Column:
+    """Join condition on ``keys`` and the part."""
+    condition = F.col(f"{left}.__part") == F.col(f"{right}.__part")
+    for k in keys:
+        condition = condition & F.col(f"{left}.`{k}`").eqNullSafe(F.col(f"{right}.`{k}`"))
+    return condition
 
 
 def value_ranks(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     """Distinct values per group with their place in the sorted group.
 
     Result columns: ``keys``, ``value``, ``n`` (rows with this value), ``before``
-    (rows below it) and ``total`` (rows in the group).  Missing values take no rank.
+    (rows below it), ``total`` (rows in the group) and ``__part``, the range
+    partition.  Missing values take no rank.
 
-    The counts are settled, so the input is computed once however often the
-    ranks are read.
+    The dealt counts are settled: which range is which partition is decided
+    once, and the input is computed once however often the ranks are read.
     """
     x = df.select(*keys, F.col(col).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    counts = settle(x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n")))
-    limits = bucket_limits(counts, "value")
-    if limits:
-        splits = [float("-inf"), *limits, float("inf")]
-        counts = Bucketizer(splits=splits, inputCol="value", outputCol="__bucket").transform(counts)
-    else:
-        counts = counts.withColumn("__bucket", F.lit(0.0))
-
-    # One row per group and bucket: at most MOST_BUCKETS rows of each group.
-    totals = counts.groupBy(*keys, "__bucket").agg(F.sum("n").alias("__rows"))
-    in_order = Window.partitionBy(*keys).orderBy("__bucket")
+    counts = x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    dealt = settle(counts.repartitionByRange(*keys, "value").withColumn("__part", F.spark_partition_id()))
+
+    # One row per group and part.
+    totals = dealt.groupBy(*keys, "__part").agg(F.sum("n").alias("__rows"))
+    in_order = Window.partitionBy(*keys).orderBy("__part")
     offsets = totals.select(
         *keys,
-        "__bucket",
+        "__part",
         F.coalesce(F.sum("__rows").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__offset"),
         F.sum("__rows").over(Window.partitionBy(*keys)).alias("total"),
     )
-    inside = Window.partitionBy(*keys, "__bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*keys, "__part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("n").over(inside), F.lit(0))
-    condition = F.col("c.__bucket") == F.col("o.__bucket")
+    joined = dealt.alias("c").join(offsets.alias("o"), _same(keys, "c", "o")).select("c.*", "o.__offset", "o.total")
+    return joined.select(*keys, "value", "n", (F.col("__offset") + below).alias("before"), "total", "__part")
+
+
+def with_group_values(ranks: DataFrame, keys: list[str], found: DataFrame) -> DataFrame:
+    """Ranks with the columns of ``found`` (one row per group), joined on group and part.
+
+    ``found`` is first written once for each part of its group, so the ranks are
+    not dealt out by the group alone.
+    """
+    parts = ranks.select(*keys, "__part").distinct()
+    condition = F.lit(True)
     for k in keys:
-        condition = condition & F.col(f"c.`{k}`").eqNullSafe(F.col(f"o.`{k}`"))
-    joined = counts.alias("c").join(offsets.alias("o"), condition).select("c.*", "o.__offset", "o.total")
-    return joined.select(*keys, "value", "n", (F.col("__offset") + below).alias("before"), "total")
+        condition = condition & F.col(f"p.`{k}`").eqNullSafe(F.col(f"f.`{k}`"))
+    new = [c for c in found.columns if c not in keys]
+    spread = parts.alias("p").join(found.alias("f"), condition).select("p.*", *[f"f.`{c}`" for c in new])
+    return ranks.alias("r").join(spread.alias("s"), _same(keys, "r", "s")).select("r.*", *[f"s.`{c}`" for c in new])
 
 
 def quantiles_from_ranks(ranks: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -55,7 +57,7 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, from ``spark.checkpoint.dir``.
 
     Only a local master may run without that setting; it then gets a folder of
-    its own under the temporary directory.
+    its own under the temporary directory, which is removed when Python ends.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -64,7 +66,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
     if context.applicationId not in _own_folder:
-        _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="nodepulse-")
+        own = _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="nodepulse-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
     return _own_folder[context.applicationId]
 
 
