@@ -11,7 +11,6 @@ from ..functions import sensors
 from ..functions.derive import add_node_maxima, add_node_sums
 from ..functions.missing import nan_to_null
 from ..operators import hier_agg
-from ..operators.cluster import cluster_component_ts, cluster_power_ts
 from ..operators.intervals import join_jobs_by_time, with_facility
 from ..operators.jobs import job_component_summary, job_component_ts, job_power_summary, job_power_ts
 from ..operators.segments import power_segments, segment_profile
@@ -33,14 +32,6 @@ def node_aggregates(
     return hier_agg.finalize_agg(hier_agg.init_agg(readings, resolution, values=values), groups)
 
 
-def cluster_power(nodes: DataFrame) -> DataFrame:
-    return cluster_power_ts(nodes)
-
-
-def cluster_components(nodes: DataFrame) -> DataFrame:
-    return cluster_component_ts(nodes)
-
-
 def job_power(nodes: DataFrame, pernode: DataFrame, resolution: str = "10 seconds") -> tuple[DataFrame, DataFrame]:
     """Series and summary of every job."""
     series = job_power_ts(nodes, pernode, resolution)
@@ -52,9 +43,11 @@ def job_components(nodes: DataFrame, pernode: DataFrame, resolution: str = "10 s
     return series, job_component_summary(series)
 
 
-def cluster_thermal(nodes: DataFrame, plant: DataFrame) -> DataFrame:
+def cluster_thermal(
+    nodes: DataFrame, plant: DataFrame, cores: list[str] | None = None, mems: list[str] | None = None
+) -> DataFrame:
     """Band counts of the machine with the cooling plant beside them."""
-    return with_facility(thermal_bands(nodes, ["timestamp"]), plant)
+    return with_facility(thermal_bands(nodes, ["timestamp"], cores, mems), plant)
 
 
 def job_thermal(nodes: DataFrame, pernode: DataFrame, plant: DataFrame, resolution: str = "10 seconds") -> DataFrame:
@@ -64,16 +57,24 @@ def job_thermal(nodes: DataFrame, pernode: DataFrame, plant: DataFrame, resoluti
     return with_facility(bands, plant)
 
 
-def cluster_comptypes(nodes: DataFrame, plant: DataFrame) -> DataFrame:
-    return with_facility(comptype_stats(nodes, ["timestamp"]), plant)
+def cluster_comptypes(nodes: DataFrame, plant: DataFrame, groups: dict[str, list[str]] | None = None) -> DataFrame:
+    """Component statistics of the machine with the cooling plant beside them."""
+    return with_facility(comptype_stats(nodes, ["timestamp"], groups), plant)
 
 
-def job_comptypes(nodes: DataFrame, pernode: DataFrame, plant: DataFrame, resolution: str = "10 seconds") -> DataFrame:
+def job_comptypes(
+    nodes: DataFrame,
+    pernode: DataFrame,
+    plant: DataFrame,
+    resolution: str = "10 seconds",
+    groups: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """Component statistics of each job with the cooling plant beside them."""
     joined = join_jobs_by_time(nodes, pernode, resolution, ends="nearest")
-    return with_facility(comptype_stats(joined, ["timestamp", "allocation_id"]), plant)
+    return with_facility(comptype_stats(joined, ["timestamp", "allocation_id"], groups), plant)
 
 
-def power_dynamics(power: DataFrame, thermal: DataFrame, metrics: list[str]) -> DataFrame:
-    """Profile of all metrics around the edges of the machine's power."""
+def power_dynamics(power: DataFrame, thermal: DataFrame, metrics: list[str], **limits) -> DataFrame:
+    """Profile of all metrics around the edges of the machine's power; ``limits`` go to :func:`power_segments`."""
     series = power.join(thermal, "timestamp")
-    return segment_profile(power_segments(series, metrics), metrics)
+    return segment_profile(power_segments(series, metrics, **limits), metrics)

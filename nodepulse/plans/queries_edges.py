@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import edges as ed
 from ..operators import segments as sg
 from . import fixtures as fx
+from . import jobs as whole
 from .queries_jobs import JOB_POWER_CTES, job_power_series
 from .queries_nodes import CLUSTER_SQL, class_sql, cluster_series
 from .registry import check_sql, query, tidy
@@ -81,24 +82,32 @@ def power_segments(spark, sf):
     return tidy(_dated(carved(spark, sf)))
 
 
-@query(
-    "segment_profile",
-    _check_recursive(
-        'select type, amplitude_class, "offset", count(*) as n, '
-        + ", ".join(
-            f"avg({m}) as {m}_mean, avg({m}) - 1.96 * stddev_samp({m}) / sqrt(count({m})) as {m}_low, "
-            f"avg({m}) + 1.96 * stddev_samp({m}) / sqrt(count({m})) as {m}_high"
-            for m in _METRICS
-        )
-        + " from segments group by all",
-        [f"{m}_{k}" for m in _METRICS for k in ("mean", "low", "high")],
-        digits=5,
-    ),
+_PROFILE_SQL = _check_recursive(
+    'select type, amplitude_class, "offset", count(*) as n, '
+    + ", ".join(
+        f"avg({m}) as {m}_mean, avg({m}) - 1.96 * stddev_samp({m}) / sqrt(count({m})) as {m}_low, "
+        f"avg({m}) + 1.96 * stddev_samp({m}) / sqrt(count({m})) as {m}_high"
+        for m in _METRICS
+    )
+    + " from segments group by all",
+    [f"{m}_{k}" for m in _METRICS for k in ("mean", "low", "high")],
+    digits=5,
 )
+
+
+@query("segment_profile", _PROFILE_SQL)
 def segment_profile(spark, sf):
     return tidy(sg.segment_profile(carved(spark, sf), _METRICS), 5)
 
 
+@query("whole_power_dynamics", _PROFILE_SQL)
+def whole_power_dynamics(spark, sf):
+    """The whole job, with the series given as two tables."""
+    series = cluster_series(spark, sf)
+    power, other = series.select("timestamp", "sum_inp", "count_inp"), series.select("timestamp", "mean_top")
+    return tidy(whole.power_dynamics(power, other, _METRICS, **_PARAMS), 5)
+
+
 @query(
     "segment_counts",
     _check_recursive(

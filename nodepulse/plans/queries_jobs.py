@@ -18,6 +18,7 @@ from .queries_nodes import (
     stats_doubles,
     stats_sql,
 )
+from . import jobs as whole
 from .registry import check_sql, query, tidy
 
 _HOUR_FLOOR = "date_trunc('hour', begin_time)"
@@ -469,6 +470,89 @@ def cep_join(spark, sf):
     return tidy(_joined_masks(intervals.with_facility(bands, plant)), 5)
 
 
+# ---- whole jobs, from node aggregates to stored results
+
+
+def _plant(spark, sf):
+    return facility.interpolate_to_grid(fx.cooling(spark, sf), fx.HOUR, _PLANT)
+
+
+def _with_plant(select: str) -> str:
+    return f"select b.*, {', '.join(f'p.{c}' for c in _PLANT)} from ({select}) b left join plant p on p.timestamp = b.timestamp"
+
+
+_PLANT_CTES = (fx.COOLING_SQL, interpolated_sql("plant", 3600))
+
+
+@query("whole_job_power", check_sql("select * from job_summary", *JOB_POWER_CTES, SUMMARY_SQL, doubles=_SUMMARY_DOUBLES))
+def whole_job_power(spark, sf):
+    nodes = fx.nodes(spark, sf, ["input_power", "total_power"])
+    return tidy(whole.job_power(nodes, fx.pernode_jobs(spark, sf), fx.HOUR)[1])
+
+
+@query(
+    "whole_job_components",
+    check_sql(
+        "select * from component_summary",
+        *COMPONENT_SUMMARY_CTES,
+        doubles=[f"{k}_{p}_pwr" for k in ("mean_mean", "max_mean", "min_mean", "max_max") for p in ("cpu", "gpu")],
+        digits=8,
+    ),
+)
+def whole_job_components(spark, sf):
+    nodes = fx.nodes(spark, sf, COMPONENT_SENSORS)
+    return tidy(whole.job_components(nodes, fx.pernode_jobs(spark, sf), fx.HOUR)[1], 8)
+
+
+@query(
+    "whole_job_thermal",
+    check_sql(
+        _with_plant(bands_sql("timestamp, allocation_id")),
+        fx.NODES_SQL,
+        fx.PERNODE_SQL,
+        TICKS_SQL,
+        TICKED_SQL,
+        flags_sql("ticked", "timestamp, allocation_id", None, None),
+        *_PLANT_CTES,
+        doubles=_PLANT,
+        digits=5,
+    ),
+)
+def whole_job_thermal(spark, sf):
+    out = whole.job_thermal(fx.nodes(spark, sf, _TEMPS), fx.pernode_jobs(spark, sf), _plant(spark, sf), fx.HOUR)
+    return tidy(_joined_masks(out), 5)
+
+
+@query(
+    "whole_cluster_thermal",
+    check_sql(_with_plant(bands_sql("timestamp")), fx.NODES_SQL, flags_sql("nodes", "timestamp", 0, 150), *_PLANT_CTES, doubles=_PLANT, digits=5),
+)
+def whole_cluster_thermal(spark, sf):
+    return tidy(_joined_masks(whole.cluster_thermal(fx.nodes(spark, sf, _TEMPS), _plant(spark, sf))), 5)
+
+
+@query(
+    "whole_cluster_comptypes",
+    check_sql(
+        _with_plant(comptype_sql("timestamp")), fx.NODES_SQL, long_sql("nodes", "timestamp"), *_PLANT_CTES,
+        doubles=[*COMPTYPE_DOUBLES, *_PLANT], digits=5,
+    ),
+)
+def whole_cluster_comptypes(spark, sf):
+    return tidy(whole.cluster_comptypes(fx.nodes(spark, sf, COMPTYPE_SENSORS), _plant(spark, sf), fx.COMPTYPES), 5)
+
+
+@query(
+    "whole_job_comptypes",
+    check_sql(
+        _with_plant(comptype_sql("timestamp, allocation_id")), *JOB_COMPTYPE_CTES, *_PLANT_CTES, doubles=[*COMPTYPE_DOUBLES, *_PLANT], digits=5
+    ),
+)
+def whole_job_comptypes(spark, sf):
+    nodes = fx.nodes(spark, sf, COMPTYPE_SENSORS)
+    return tidy(whole.job_comptypes(nodes, fx.pernode_jobs(spark, sf), _plant(spark, sf), fx.HOUR, fx.COMPTYPES), 5)
+
+
 def resampled_sql(name: str, table: str, bucket: str, cols: list[str], keys: str = "") -> str:
     key_list = f"{keys}, " if keys else ""
     grid = f"""(select {key_list}unnest(generate_series(min({bucket}), max({bucket}), interval '{name[1]}')) as timestamp from {table} {'group by ' + keys if keys else ''})"""

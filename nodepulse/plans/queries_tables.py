@@ -139,6 +139,26 @@ def typed_aggregates(spark, sf):
     return tidy(readers.read_table(spark, path).select("timestamp", "hostname", *counts, *others))
 
 
+@query(
+    "corrupt_files_skipped",
+    check_sql(
+        "select date_trunc('hour', timestamp) as hour, count(*) as n, cast(sum(event_id) as bigint) as ids from telemetry group by 1",
+        fx.TELEMETRY_SQL,
+    ),
+)
+def corrupt_files_skipped(spark, sf):
+    """A stored table with damaged files among its own: those are passed over, the rest is whole."""
+    path = scratch_path(spark, "damaged")
+    rows = fx.telemetry(spark, sf).select("timestamp", "event_id")
+    rows.write.parquet(path)
+    # Text where parquet is expected, one file for each kind of event.
+    fx.events(spark, sf).select("event_type").distinct().write.mode("append").text(path)
+    table = readers.read_table(spark, path, schema=rows.schema, ignore_corrupt=True)
+    return table.groupBy(F.date_trunc("hour", "timestamp").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids")
+    )
+
+
 @query(
     "pending_days",
     "select cast(d as varchar) as date from (select distinct cast(ts as date) as d from events) x where d >= date '2024-01-19'",
