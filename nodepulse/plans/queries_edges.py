@@ -242,27 +242,45 @@ def edge_extremes(spark, sf):
 
 
 _SPECTRUM = {"watts": 500.0, "full_size": fx.MACHINE, "cuts": fx.CUTS}
-# Every frequency of every job by its definition: quadratic, for the check only.
-SPECTRUM_SQL = f"""changes as (select * from (select *, max(abs(diff)) over (partition by allocation_id) as largest from clean) c
-  where largest >= 500.0 * nodes / {fx.MACHINE} and diff is not null and rows - 1 > 2),
+
+
+def spectrum_sql(top_n: int) -> str:
+    """Every frequency of every job by its definition: quadratic, for the check only."""
+    return f"""changes as (select * from (select *, max(abs(diff)) over (partition by allocation_id) as largest from clean) c
+  where largest >= 500.0 * nodes / {fx.MACHINE} and diff is not null and rows - 1 > {2 * top_n}),
 waves as (select allocation_id, class, rows, k, sum(diff * cos(2 * pi() * k * idx / (rows - 1))) as re, sum(diff * sin(2 * pi() * k * idx / (rows - 1))) as im
   from (select *, unnest(generate_series(0, (rows - 1) // 2)) as k from changes) x group by all),
 strengths as (select *, re * re + im * im as amp, max(re * re + im * im) over (partition by allocation_id) as top from waves),
 spectrum as (select allocation_id, class, rows as ticks, k / ((rows - 1) * 10.0) as freq, amp from (
-  select *, row_number() over (partition by allocation_id order by round(amp / top, 9) desc, k) as place from strengths where top > 0) s where place = 1)"""
-SPECTRUM_CTES = (*_JOB_CTES, SPECTRUM_SQL)
+  select *, row_number() over (partition by allocation_id order by round(amp / top, 9) desc, k) as place from strengths where top > 0) s where place <= {top_n} and amp > 0)"""
+
+
+SPECTRUM_CTES = (*_JOB_CTES, spectrum_sql(1))
+
 
+def spectrum(spark, sf, top_n: int = 1):
+    return ed.job_spectrum(job_power_series(spark, sf), top_n, **_SPECTRUM)
 
-def spectrum(spark, sf):
-    return ed.job_spectrum(job_power_series(spark, sf), **_SPECTRUM)
+
+# Amplitudes span many powers of ten: their logarithms are compared.
+_LOGGED = "allocation_id, class, ticks, freq, log10(amp) as amp_log10"
 
 
 @query(
     "job_fft",
-    check_sql("select * from spectrum", *SPECTRUM_CTES, doubles=["freq", "amp"], digits=8, amp=-5),
+    check_sql(f"select {_LOGGED} from spectrum", *SPECTRUM_CTES, doubles=["freq", "amp_log10"], digits=8),
 )
 def job_fft(spark, sf):
-    return tidy(spectrum(spark, sf), 8, amp=-5)
+    return tidy(spectrum(spark, sf).selectExpr(*_LOGGED.split(", ")), 8)
+
+
+@query(
+    "job_fft_top3",
+    check_sql(f"select {_LOGGED} from spectrum", *_JOB_CTES, spectrum_sql(3), doubles=["freq", "amp_log10"], digits=6),
+)
+def job_fft_top3(spark, sf):
+    """The three strongest frequencies of each job."""
+    return tidy(spectrum(spark, sf, 3).selectExpr(*_LOGGED.split(", ")), 6)
 
 
 @query(
