@@ -34,7 +34,7 @@ from nodepulse.llm.common import share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a chain, buckets of features, characters of a training text, gradient steps, words kept in memory.
-CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 6_000, 40, 800_000
+CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 6_000, 40, 400_000
 #: Toxic texts that a word's form must occur in, at least and as a part of all, and the least share of toxic
 #: texts among those with it, were both labels equally frequent.
 TOXIC_TEXTS, TOXIC_PART, TOXIC_SHARE = 3, 0.008, 0.9
