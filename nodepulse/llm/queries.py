@@ -57,7 +57,7 @@ def op6_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = "</s>[INST] ok [/INST]"
     more = spark.sql(f"select * from values (-1L, 0L, 'user', '{own}'), (-1L, 1L, 'assistant', '{own}') t(conv_id, turn, role, text)")
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
-    out = reply_trees.conversations(reply_trees.linear(rows))
+    out = reply_trees.conversations(reply_trees.linear(rows), unique=True)
     said = reply_trees.turns_of(F.col("formatted"))
     out = out.withColumn("turns", said).withColumn("learned", reply_trees.loss_text(F.col("formatted"), F.col("loss")))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")

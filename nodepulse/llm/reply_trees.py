@@ -82,14 +82,19 @@ def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     return path
 
 
-def conversations(messages: DataFrame, keep: int = 1, train_on: str = "assistant") -> DataFrame:
+def conversations(messages: DataFrame, keep: int = 1, train_on: str = "assistant", unique: bool = False) -> DataFrame:
     """(tree, branch, formatted, loss): one conversation for each chosen branch.
 
     ``messages`` has tree, node, parent, role, text and score.  ``loss`` holds
     (start, length) in code points of the texts whose role is ``train_on``.
+    ``unique`` says that no id repeats in a tree; then paths are found without
+    moving any text.
     """
-    least = F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "parent", "score"))
-    one = messages.groupBy("tree", "node").agg(least.alias("m")).select("tree", "node", "m.*")
+    said = [F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")]
+    one = messages.select("tree", "node", "parent", "score", *said)
+    if not unique:
+        least = F.min(F.struct("role", "text", "parent", "score")).alias("m")
+        one = one.groupBy("tree", "node").agg(least).select("tree", "node", "m.*")
     path = branches(one, keep)
     rows = _beside(path, one, F.expr("a.node = b.node")).selectExpr("a.tree", "a.branch", "a.depth", "b.role", "b.text")
     rows = rows.withColumn("head", F.concat(F.lit(OPEN), role_line(F.col("role")), F.lit("\n"))).withColumn("body", escape(F.col("text")))
@@ -129,14 +134,13 @@ def loss_text(formatted: Column, loss: Column) -> Column:
 
 
 def linear(rows: DataFrame) -> DataFrame:
-    """Messages of ``conversations`` rows: each turn replies to the one before it; a turn's score is its length."""
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    node = F.row_number().over(order).cast("long")
-    return rows.select(
-        F.col("conv_id").alias("tree"),
-        node.alias("node"),
-        F.nullif(node - 1, F.lit(0)).alias("parent"),
-        "role",
-        "text",
-        F.coalesce(F.char_length("text"), F.lit(0)).alias("score"),
-    )
+    """Messages of ``conversations`` rows: each turn replies to the one before it; a turn's score is its length.
+
+    Rows of one turn follow each other by role and a hash of the text.
+    """
+    rows = rows.select(
+        F.col("conv_id").alias("tree"), "turn", "role", "text", F.coalesce(F.char_length("text"), F.lit(0)).alias("score"),
+        F.xxhash64("text").alias("tie"),
+    )
+    node = F.row_number().over(Window.partitionBy("tree").orderBy("turn", "role", "tie")).cast("long")
+    return rows.select("tree", node.alias("node"), F.nullif(node - 1, F.lit(0)).alias("parent"), "role", "text", "score")
