@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,12 +40,6 @@ def remainder(key: str, of: int):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % of
 
 
-def runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and lengths of the runs of equal neighbours in ``keys``."""
-    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
-    return starts, np.diff(np.r_[starts, len(keys)])
-
-
 def with_text_columns(
     df: DataFrame, made: dict[str, pa.DataType], schema: str, start: Callable[[], Callable], text_col: str = "text", keep: bool = True
 ) -> DataFrame:
