@@ -35,18 +35,25 @@ from nodepulse.llm.components import star_components
 AT_ONCE, SMALL, NODE = 1 << 16, 32, 50_000
 
 
-def fingerprint(text: str, words: int = 4) -> int:
-    """Unsigned 64-bit fingerprint of ``text``."""
+def window_hashes(text: str, words: int) -> np.ndarray:
+    """Hash of each window of ``words`` words of ``text``; none for a text without words."""
     parts = text.encode("utf-8", "replace").lower().split()
     if not parts:
-        return 0
+        return np.zeros(0, "<u8")
     line = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.r_[0, ends[:-1] + 1]
     last = ends[words - 1 :] if len(parts) >= words else ends[-1:]
-    hashes = np.array(
+    return np.array(
         [xxhash.xxh64_intdigest(line[a:b], 42) for a, b in zip(starts.tolist(), last.tolist(), strict=False)], "<u8"
     )
+
+
+def fingerprint(text: str, words: int = 4) -> int:
+    """Unsigned 64-bit fingerprint of ``text``."""
+    hashes = window_hashes(text, words)
+    if not len(hashes):
+        return 0
     set_ = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")

@@ -1,0 +1,70 @@
+"""The near-duplicate stage against brute force at five-word likeness 0.8."""
+
+import random
+
+import corpus_pipeline
+import numpy as np
+from cases import documents
+
+from nodepulse.llm import shingle_links, simhash_trie
+from nodepulse.llm.common import read
+
+
+def plain(text):
+    words = (text or "").encode().lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def like(a, b):
+    return 5 * len(a & b) >= 4 * len(a | b)
+
+
+def planted():
+    """Texts, copies with a few words changed at both sides of 0.8, and chains of such copies."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(60):
+        text = [f"w{rng.randrange(5000)}" for _ in range(rng.choice((6, 40, 200)))]
+        for _ in range(rng.randint(1, 4)):
+            rows.append((len(rows) + 1, " ".join(text), "en"))
+            text = list(text)
+            for _ in range(max(1, len(text) * rng.choice((1, 2, 3, 4)) // 100)):
+                text[rng.randrange(len(text))] = f"x{rng.randrange(5000)}"
+    return rows
+
+
+def brute(rows):
+    """Smallest id of each group."""
+    sets = [plain(t) for _, t, _ in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if label[i] != label[j] and like(sets[i], sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return {rows[k][0] for k in set(label)}
+
+
+def test_stage_is_brute_force(spark, tables):
+    given = [(100_000 + r.doc_id, r.text, r.lang) for r in read(spark, tables, "documents").limit(150).collect()]
+    rows = planted() + given + [(None, given[0][1], "en"), (900_000, None, None), (900_001, " ", None)]
+    docs = documents(spark, rows)
+    got = corpus_pipeline.near_duplicates(spark, docs, tables)
+    assert got.columns == docs.columns
+    ids = [r.doc_id for r in got.collect()]
+    assert len(ids) == len(set(ids))
+    assert set(ids) - {None} == brute([r for r in rows if r[0] is not None])
+    assert None in ids
+    # Pairs that the fingerprints miss at 4 bits are among them.
+    prints = [simhash_trie.fingerprint(t) for _, t, _ in planted()]
+    sets = [plain(t) for _, t, _ in planted()]
+    pairs = [(i, j) for i in range(len(sets)) for j in range(i) if like(sets[i], sets[j])]
+    assert sum((prints[i] ^ prints[j]).bit_count() > 4 for i, j in pairs) >= 10
+
+
+def test_bands_find_pairs_at_the_bound():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        own = rng.integers(0, 1 << 63, 180, dtype=np.uint64)
+        a, b = np.unique(own[:162]), np.unique(own[18:])  # 144 of 180 in common: 0.8
+        assert (shingle_links.bands_of(a) == shingle_links.bands_of(b)).any()
