@@ -9,6 +9,12 @@ sets so found the one with the highest penalised likelihood (half of log words
 for each language beyond the first) is the text's set.  The prediction is the
 set's largest part, the score its proportion.
 
+Proportions say nothing of whether a text is in a learned language at all.  Its
+fit does: the mean log-likelihood of its n-grams, each word under the language
+that suits it best.  ``least`` is the bound learned from the labelled texts: in
+FOLDS parts, each judged by a model of the others, it lies BELOW times as far
+under their median fit as the fit that one in a hundred falls short of.
+
 Training takes at most ``per_language`` whole texts of each language, drawn by a
 hash of id and text from those of at most ``CHARS`` characters; prediction reads
 all texts, whole.
@@ -33,6 +39,8 @@ from nodepulse.llm.common import share_of, with_text_columns
 WORD = re.compile(r"[^\W\d_]+")
 #: Buckets of n-grams, longest n-gram, characters of a training text, rounds of expectation-maximisation.
 BUCKETS, LONGEST, CHARS, ROUNDS = 1 << 18, 3, 10_000, 12
+#: Parts of the training texts for the bound of the fit; see the module's text.
+FOLDS, BELOW = 4, 3
 #: Words of a batch handled at once.
 WORDS_AT_ONCE = 400_000
 
@@ -62,7 +70,7 @@ class LanguageModel:
     """N-gram log-likelihoods of each language."""
 
     def __init__(self, texts: list[str], langs: list[str]):
-        self.langs = sorted(set(langs))
+        self.langs, self.least = sorted(set(langs)), -np.inf
         counts = np.full((len(self.langs), BUCKETS), 0.05)
         for lang, text in zip(langs, texts, strict=True):
             words = WORD.findall(text.lower())
@@ -113,10 +121,14 @@ class LanguageModel:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
         """Language and score of each text."""
+        return self.judged(texts)[:2]
+
+    def judged(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and fit of each text; one without a letter fits nothing."""
         found = [WORD.findall(t.lower()) if t else [] for t in texts]
         found = [w if any(map(str.isalpha, w)) else [] for w in found]
         some = [k for k, w in enumerate(found) if w and self.langs]
-        langs, scores = ["und"] * len(texts), np.zeros(len(texts))
+        langs, scores, fits = ["und"] * len(texts), np.zeros(len(texts)), np.full(len(texts), -np.inf)
         at = 0
         while at < len(some):
             group, words = [], []
@@ -125,29 +137,50 @@ class LanguageModel:
                 words += found[some[at]]
                 at += 1
             number, unique = pd.factorize(np.array(words, object))
-            logs = self.word_logs(list(unique))[number]
+            own = self.word_logs(list(unique))
+            logs = own[number]
+            grams = np.bincount(gram_buckets(list(unique))[1], minlength=len(unique))[number]
             starts = np.cumsum([0, *[len(found[k]) for k in group]])[:-1]
             pick, share = self.mixtures(logs, starts)
-            for k, p, s in zip(group, pick, share, strict=True):
-                langs[k], scores[k] = self.langs[p], s
-        return langs, np.clip(scores, 0, 1)
-
-
-def train(labelled: DataFrame, per_language: int = 800) -> LanguageModel:
-    """Model from rows (doc_id, text, lang); at most ``per_language`` texts of each language reach the driver."""
+            fit = LONGEST * np.add.reduceat(logs.max(axis=1), starts) / np.add.reduceat(grams, starts)
+            for k, p, s, f in zip(group, pick, share, fit, strict=True):
+                langs[k], scores[k], fits[k] = self.langs[p], s, f
+        return langs, np.clip(scores, 0, 1), fits
+
+
+def least_fit(texts: list[str], langs: list[str]) -> float:
+    """The fit under which a text is in none of the languages; see the module's text."""
+    fits = []
+    for fold in range(FOLDS):
+        others = [k for k in range(len(texts)) if k % FOLDS != fold]
+        model = LanguageModel([texts[k] for k in others], [langs[k] for k in others])
+        fits += model.judged(texts[fold::FOLDS])[2].tolist()
+    fits = np.array([f for f in fits if np.isfinite(f)])
+    if not len(fits):
+        return -np.inf
+    middle = np.median(fits)
+    return float(middle - BELOW * (middle - np.quantile(fits, 0.01, method="lower")))
+
+
+def train(labelled: DataFrame, per_language: int = 800, bound: bool = False) -> LanguageModel:
+    """Model, with the bound of the fit if asked for, from rows (doc_id, text, lang); at most ``per_language`` texts of each language reach the driver."""
     rows = labelled.where(f"lang is not null and char_length(text) <= {CHARS}").select("doc_id", "lang", "text")
     got = sorted((r["lang"], r["text"]) for r in share_of(rows, "lang", per_language, "doc_id", "text").toLocalIterator())
-    return LanguageModel([t for _, t in got], [g for g, _ in got])
+    langs, texts = [g for g, _ in got], [t for _, t in got]
+    model = LanguageModel(texts, langs)
+    if bound:
+        model.least = least_fit(texts, langs)
+    return model
 
 
-def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """``docs`` with lang_pred and score, from the column ``text``."""
+def predict(docs: DataFrame, model: LanguageModel, fit: bool = False) -> DataFrame:
+    """``docs`` with lang_pred and score, and ``fit`` if asked for, from the column ``text``."""
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs))  # bounded by BUCKETS x languages
 
     def start():
         own = LanguageModel.__new__(LanguageModel)
         own.langs, own.logs = shared.value
-        return own.predict
+        return own.judged if fit else own.predict
 
-    made = {"lang_pred": pa.string(), "score": pa.float64()}
-    return with_text_columns(docs, made, "lang_pred string, score double", start)
+    made = {"lang_pred": pa.string(), "score": pa.float64()} | ({"fit": pa.float64()} if fit else {})
+    return with_text_columns(docs, made, "lang_pred string, score double" + (", fit double" if fit else ""), start)
