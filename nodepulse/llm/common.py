@@ -68,11 +68,28 @@ def with_text_columns(
     return df.mapInArrow(tasks, old + schema)
 
 
-def share_of(rows: DataFrame, group: str, most: int, *mixed: str) -> DataFrame:
+def excerpt(column: str, most: int, pieces: int = 10):
+    """A text of at most ``most`` characters whole, else ``pieces`` windows of it, of whole words where there are gaps.
+
+    Each lies in a stretch of its own of the text, at a place drawn by a hash, so that all parts can be met.
+    """
+    size, text = most // pieces, F.col(column)
+    stretch = F.floor(F.char_length(text) / pieces).cast("int")
+
+    def window(k):
+        first = k * stretch + F.pmod(F.xxhash64(text, k), stretch - size + 1).cast("int") + 1
+        return F.regexp_replace(F.substring(text, first, F.lit(size)), r"^\S*\s+|\s+\S*$", "")
+
+    windows = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), window), " ")
+    return F.when(F.char_length(text) <= most, text).otherwise(windows)
+
+
+def share_of(rows: DataFrame, group: str, most: int, *mixed: str, work: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """At most ``most`` rows of each value of ``group``, drawn by a hash of the columns ``mixed``.
 
     A hash threshold from the group's count leaves about as many rows as needed
-    before any are ranked, so no group meets in one task.
+    before any are ranked, so no group meets in one task.  ``work`` is done on
+    those rows; it keeps ``group`` and ``__mix``.
     """
     size = rows.groupBy(group).agg(F.count("*").alias("n"))  # one row for each value, few
     rate = {r[group]: min(1.0, 1.2 * most / r["n"] + 1e-9) for r in size.collect()}
@@ -80,5 +97,6 @@ def share_of(rows: DataFrame, group: str, most: int, *mixed: str) -> DataFrame:
     for value, share in rate.items():
         bound = F.when(F.col(group) == F.lit(value), share).otherwise(bound)
     drawn = rows.withColumn("__mix", F.xxhash64(*mixed)).where(F.pmod("__mix", F.lit(1 << 30)) < bound * (1 << 30))
+    drawn = work(drawn) if work else drawn
     place = F.row_number().over(Window.partitionBy(group).orderBy("__mix"))
     return drawn.withColumn("__place", place).where(F.col("__place") <= most).drop("__mix", "__place")

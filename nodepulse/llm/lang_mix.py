@@ -15,9 +15,9 @@ that suits it best.  ``least`` is the bound learned from the labelled texts: in
 FOLDS parts, each judged by a model of the others, it lies BELOW times as far
 under their median fit as the fit that one in a hundred falls short of.
 
-Training takes at most ``per_language`` whole texts of each language, drawn by a
-hash of id and text from those of at most ``CHARS`` characters; prediction reads
-all texts, whole.
+Training takes at most ``per_language`` texts of each language, drawn by a hash of
+id and text from those of any length; of one of over ``CHARS`` characters it takes
+windows from all its parts.  Prediction reads all texts, whole.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; without
 training rows every text is ``und``; ties go to the language first in the
@@ -34,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from nodepulse.llm.common import share_of, with_text_columns
+from nodepulse.llm.common import excerpt, share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Buckets of n-grams, longest n-gram, characters of a training text, rounds of expectation-maximisation.
@@ -164,8 +164,9 @@ def least_fit(texts: list[str], langs: list[str]) -> float:
 
 def train(labelled: DataFrame, per_language: int = 800, bound: bool = False) -> LanguageModel:
     """Model, with the bound of the fit if asked for, from rows (doc_id, text, lang); at most ``per_language`` texts of each language reach the driver."""
-    rows = labelled.where(f"lang is not null and char_length(text) <= {CHARS}").select("doc_id", "lang", "text")
-    got = sorted((r["lang"], r["text"]) for r in share_of(rows, "lang", per_language, "doc_id", "text").toLocalIterator())
+    rows = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    drawn = share_of(rows, "lang", per_language, "doc_id", "text", work=lambda d: d.withColumn("text", excerpt("text", CHARS)))
+    got = sorted((r["lang"], r["text"]) for r in drawn.toLocalIterator())
     langs, texts = [g for g, _ in got], [t for _, t in got]
     model = LanguageModel(texts, langs)
     if bound:

@@ -9,8 +9,9 @@ marginal.  A text's score is a logistic function of its highest marginal, their
 sum and the number of words; words whose marginal is one half or more are its offending spans.
 
 A chain is a run of at most ``CHAIN`` words.  Training takes a
-bounded number of texts of each label, drawn by a hash from those of at most
-``CHARS`` characters; scoring reads all texts, whole.
+bounded number of texts of each label, drawn by a hash from those of any length;
+of one of over ``CHARS`` characters it takes windows from all its parts.  Scoring
+reads all texts, whole.
 
 Cases: a null or empty text has the score of one without any toxic word; labels
 other than 0 and 1, or for unknown documents, teach nothing; without training
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nodepulse.llm.byte_bpe import worker_store
-from nodepulse.llm.common import share_of, with_text_columns
+from nodepulse.llm.common import excerpt, share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Words in a chain, buckets of features, characters of a training text, gradient steps, words kept in memory.
@@ -208,13 +209,14 @@ class ToxicModel:
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = 1000, clean: int = 3000) -> ToxicModel:
     """Model from texts and ``labels`` (doc_id, toxic); at most ``toxic`` and ``clean`` texts reach the driver."""
-    known = labels.where("doc_id is not null").select("doc_id", "toxic")
-    texts = docs.where(f"char_length(text) <= {CHARS}").select("doc_id", "text")
+    texts = docs.where("text is not null").select("doc_id", "text")
+    known = labels.where("doc_id is not null").select("doc_id", "toxic").join(texts.select("doc_id"), "doc_id", "left_semi")
     got = []
     for label, most in ((1, toxic), (0, clean)):
-        # Some texts are too long or absent: twice as many ids are drawn, two integers each.
+        # Twice as many ids as texts, two integers each.
         drawn = share_of(known.where(F.col("toxic") == label), "toxic", 2 * most, "doc_id")
-        rows = share_of(texts.join(F.broadcast(drawn), "doc_id"), "toxic", most, "doc_id", "text")
+        cut = lambda d: d.withColumn("text", excerpt("text", CHARS))
+        rows = share_of(texts.join(F.broadcast(drawn), "doc_id"), "toxic", most, "doc_id", "text", work=cut)
         got += sorted((label, r["text"]) for r in rows.toLocalIterator())
     model = ToxicModel()
     if got:
