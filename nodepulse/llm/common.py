@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,6 +42,17 @@ def remainder(key: str, of: int):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % of
 
 
+def slices(batch: pa.RecordBatch, at: int, limit: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of about ``limit`` bytes in its string column number ``at``; a longer text is a part alone."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first, before = 0, 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield batch.slice(first, last - first)
+        first, before = last, int(ends[last - 1])
+
+
 def with_text_columns(
     df: DataFrame, made: dict[str, pa.DataType], schema: str, start: Callable[[], Callable], text_col: str = "text", keep: bool = True
 ) -> DataFrame:
@@ -56,8 +69,7 @@ def with_text_columns(
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
+            for part in slices(batch, at):
                 new = work(part.column(at).to_pylist())
                 old = [c for k, c in enumerate(part.columns) if keep or k != at]
                 arrays = [*old, *[pa.array(x, t) for x, t in zip(new, types, strict=True)]]

@@ -9,13 +9,16 @@ from nodepulse.llm import (
     bitpack,
     html_blocks,
     lang_mix,
+    markov_secrets,
     packing,
     reply_trees,
     simhash_trie,
     spotsigs,
     suffix_pieces,
+    term_pipeline,
     topk,
     toxic_crf,
+    whitening,
 )
 from nodepulse.llm.common import read, remainder, vocabulary
 from nodepulse.session import scratch_path
@@ -99,6 +102,29 @@ def op10_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each benchmark item."""
+    return term_pipeline.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of all documents: counts and places of the patterns' spans, and all spans."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = markov_secrets.secrets(docs, markov_secrets.train(docs)).drop("text")
+
+    def places(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    kinds = [F.expr(f"cast(size(filter(secrets, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k in ("assign", "access", "hex")]
+    return out.select("doc_id", *kinds, F.sha2(places(base), 256).alias("base_sha256"), places(F.col("secrets")).alias("spans"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Up to 32 whitened components of all vectors."""
+    return whitening.whitened(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), most=32, scale=64, plus=1_000_000)
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_packing": op2_packing,
@@ -110,6 +136,9 @@ QUERIES = {
     "op8_toxic_crf": op8_toxic_crf,
     "op9_html_blocks": op9_html_blocks,
     "op10_simhash_trie": op10_simhash_trie,
+    "op11_term_pipeline": op11_term_pipeline,
+    "op12_markov_secrets": op12_markov_secrets,
+    "op13_whitening": op13_whitening,
 }
 
 #: SQL for the same rows, where SQL can say it.
@@ -148,5 +177,33 @@ s as (
 select query_id, cast(rank as integer) as rank, vec_id, cast(score as bigint) as score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
 where rank <= 10
+""",
+    "op11_term_pipeline": r"""
+with d as (
+    select row_number() over () as d, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t
+    from documents
+),
+whole as (select count(*) filter (len(t) > 0)::bigint as n, sum(len(t))::bigint as l from d),
+tf as (select d, doc_id, term, len(t)::bigint as n, count(*)::bigint as tf from (select d, doc_id, t, unnest(t) as term from d) group by all),
+asked as (
+    select item_id, term, count(*)::bigint as times from (
+        select item_id,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+        from benchmark
+    ) where item_id is not null group by all
+),
+weight as (
+    select term, cast(floor(1000 * ln((2 * whole.n + 2) / (2 * df + 1))) as bigint) as w
+    from (select term, count(*) as df from tf group by term), whole
+),
+scored as (
+    select item_id, d, doc_id, sum(times * w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (100 - 25 + (25 * tf.n * whole.n) // whole.l)))) as score
+    from asked join weight using (term) join tf using (term), whole
+    group by item_id, d, doc_id
+)
+select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scored where score > 0)
+where rank <= 20
 """,
 }
