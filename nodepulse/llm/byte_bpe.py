@@ -15,15 +15,18 @@ import types
 import numpy as np
 
 #: Chunks kept in a worker's memory; when it is full it is emptied.
-KEPT_CHUNKS = 600_000
+KEPT_CHUNKS = 400_000
 
 _SPACE_RUN = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
-def worker_store() -> dict:
-    """A dict that outlives a task, as long as its Python worker does."""
-    return sys.modules.setdefault("_nodepulse_llm_store", types.ModuleType("_nodepulse_llm_store")).__dict__
+def worker_store(owner: str) -> dict:
+    """A dict that outlives a task, as long as its Python worker does and no other owner asks for one."""
+    module = sys.modules.setdefault("_nodepulse_llm_store", types.ModuleType("_nodepulse_llm_store"))
+    if getattr(module, "owner", None) != owner:
+        module.owner, module.kept = owner, {}
+    return module.kept
 
 
 def load(path: str):
@@ -53,7 +56,7 @@ class ByteBpe:
     """
 
     def __init__(self, path: str):
-        store = worker_store()
+        store = worker_store("byte pairs")
         if path not in store:
             tokenizer = load(path)
             opens = np.zeros(tokenizer.get_vocab_size(), bool)

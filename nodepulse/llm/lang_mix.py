@@ -34,6 +34,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from nodepulse.llm.byte_bpe import worker_store
 from nodepulse.llm.common import excerpt, share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -179,6 +180,7 @@ def predict(docs: DataFrame, model: LanguageModel, fit: bool = False) -> DataFra
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs))  # bounded by BUCKETS x languages
 
     def start():
+        worker_store("languages")  # frees what another operator has left
         own = LanguageModel.__new__(LanguageModel)
         own.langs, own.logs = shared.value
         return own.judged if fit else own.predict

@@ -24,11 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nodepulse.llm.common import kept
+from nodepulse.llm.byte_bpe import worker_store
+from nodepulse.llm.common import kept, slices
 from nodepulse.llm.components import star_components
 
 #: Node pairs handled at once, pairs of leaves compared directly, fingerprints in a node as aimed at.
@@ -62,16 +64,17 @@ def fingerprint(text: str, words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row, fp as signed 64-bit integer."""
+    """(doc_id, fp, said) of every row: fp as signed 64-bit integer, said a hash that tells texts of one id apart."""
 
-    def tasks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_store("fingerprints")  # frees what another operator has left
         for batch in batches:
-            got = np.array([fingerprint(t if isinstance(t, str) else "") for t in batch["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": got.view(np.int64)})
+            for part in slices(batch, 1):
+                got = np.array([fingerprint(t or "") for t in part.column(1).to_pylist()], np.uint64)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got.view(np.int64)), part.column(2)], names=["doc_id", "fp", "said"])
 
-    return docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text").mapInPandas(
-        tasks, "doc_id long, fp long"
-    )
+    rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text", f"xxhash64(`{text_col}`) as said")
+    return rows.mapInArrow(tasks, "doc_id long, fp long, said long")
 
 
 class TrieJoin:
@@ -206,6 +209,14 @@ def near_links(prints: DataFrame, limit: int = 4) -> DataFrame:
     return pairs.repartition(parts, "low", "high").groupBy("low", "high").applyInPandas(join, "a long, b long")
 
 
+def _classes(prints: DataFrame, limit: int) -> DataFrame:
+    """(fp, root, first) of every fingerprint: root names its group, first is the smallest doc_id with that fingerprint."""
+    roots = star_components(near_links(prints, limit))
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    member = first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return kept(member, "members")
+
+
 def near_components(docs: DataFrame, limit: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row; see the module's text.
 
@@ -213,25 +224,26 @@ def near_components(docs: DataFrame, limit: int = 4, id_col: str = "doc_id", tex
     on it that adaptive execution splits where one fingerprint is frequent.
     """
     prints = kept(fingerprints(docs, id_col, text_col), "simhash")
-    roots = star_components(near_links(prints, limit))
-    first = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    member = kept(
-        first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "members"
-    )
+    member = _classes(prints, limit)
     named = member.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = member.join(named, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
 def representatives(docs: DataFrame, limit: int = 4) -> DataFrame:
-    """Rows of ``docs`` (all its columns) without near-duplicates: the smallest doc_id of each group stays.
+    """One row of ``docs`` (all its columns) of each group, that of the smallest doc_id.
 
-    Of several rows with that id one stays.  Rows without an id stay: none of
-    them can stand for a group.
+    Of several texts with that id the one of the smaller hash stays, of several
+    such rows any one.  Rows without an id come after all others of their group,
+    so one stays only where the group has no id at all.
     """
     plain = docs.toDF(*[c if c in ("doc_id", "text") else f"c{k}" for k, c in enumerate(docs.columns)])
-    keep = near_components(plain, limit).where("component_id = doc_id").select("doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    known = plain.where("doc_id is not null").join(keep, "doc_id", "left_semi").withColumn("place", place)
-    known = known.where("place = 1").select(plain.columns)
-    return known.unionByName(plain.where("doc_id is null")).toDF(*docs.columns)
+    plain = plain.withColumn("key", F.col("doc_id").cast("long")).withColumn("said", F.xxhash64("text"))
+    prints = kept(fingerprints(plain), "simhash")
+    rooted = prints.join(_classes(prints, limit).select("fp", "root"), "fp")
+    best = rooted.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "said")).alias("best"))
+    best = best.select(F.col("best.doc_id").alias("best_id"), F.col("best.said").alias("best_said"))
+    # Rows alike in both are one before any of them meet.
+    rows = plain.dropDuplicates(["key", "said"])
+    left = rows.join(best, F.col("key").eqNullSafe(F.col("best_id")) & (F.col("said") == F.col("best_said")), "left_semi")
+    return left.drop("key", "said").toDF(*docs.columns)

@@ -255,7 +255,7 @@ class Pieces:
 
 def pieces(path: str) -> tuple[Pieces, dict[str, bytes]]:
     """The vocabulary in ``path`` and the units known to this worker."""
-    store = worker_store()
+    store = worker_store("pieces")
     if path not in store:
         store[path] = (Pieces(path), {})
     return store[path]

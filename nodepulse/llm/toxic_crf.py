@@ -8,7 +8,8 @@ gradient steps on the likelihood.  Forward and backward sums give each word's
 marginal.  A text's score is a logistic function of its highest marginal, their
 sum and the number of words; words whose marginal is one half or more are its offending spans.
 
-A chain is a run of at most ``CHAIN`` words.  Training takes a
+A chain is a whole text, however long.  Its sums are taken in rows of ``ROW``
+words at once, which are joined afterwards.  Training takes a
 bounded number of texts of each label, drawn by a hash from those of any length;
 of one of over ``CHARS`` characters it takes windows from all its parts.  Scoring
 reads all texts, whole.
@@ -34,8 +35,9 @@ from nodepulse.llm.byte_bpe import worker_store
 from nodepulse.llm.common import excerpt, share_of, with_text_columns
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Words in a chain, buckets of features, characters of a training text, gradient steps, words kept in memory.
-CHAIN, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 1 << 17, 6_000, 40, 400_000
+#: Words in a row of sums, rows summed up at once, buckets of features, characters of a training text, gradient steps,
+#: words kept in memory.
+ROW, ROWS_AT_ONCE, BUCKETS, CHARS, STEPS, KEPT_WORDS = 64, 2048, 1 << 17, 6_000, 40, 200_000
 #: Toxic texts that a word's form must occur in, at least and as a part of all, and the least share of toxic
 #: texts among those with it, were both labels equally frequent.
 TOXIC_TEXTS, TOXIC_PART, TOXIC_SHARE = 3, 0.008, 0.9
@@ -52,15 +54,15 @@ def _bucket(form: str) -> int:
     return zlib.crc32(form.encode("utf-8", "replace")) % BUCKETS
 
 
-def _grid(values: np.ndarray, sizes: list[int], fill: float) -> tuple[np.ndarray, np.ndarray]:
-    """Values of documents laid out as chains (a row each), and the index of each value in the grid."""
-    chains = -(-np.array(sizes, np.int64) // CHAIN)
-    first = np.cumsum(chains) - chains
+def _grid(values: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values of texts laid out in rows of ``ROW`` places, the index of each value there, and the rows of each text."""
+    rows = -(-np.array(sizes, np.int64) // ROW)
+    first = np.cumsum(rows) - rows
     within = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = (np.repeat(first, sizes) + within // CHAIN) * CHAIN + within % CHAIN
-    grid = np.full(int(chains.sum()) * CHAIN, fill)
+    at = np.repeat(first, sizes) * ROW + within
+    grid = np.full(int(rows.sum()) * ROW, np.nan)
     grid[at] = values
-    return grid.reshape(-1, CHAIN), at
+    return grid.reshape(-1, ROW), at, rows
 
 
 class ToxicModel:
@@ -75,32 +77,73 @@ class ToxicModel:
     def word_weight(self, word: str) -> float:
         return self.bias + sum(self.weights[_bucket(f)] for f in forms(word))
 
-    def marginals(self, emit: np.ndarray, real: np.ndarray | None = None, kind: type = np.float32):
-        """Probability of the toxic state in each place of a grid of toxic-state scores.
+    def marginals(self, emit: np.ndarray, rows: np.ndarray, kind: type = np.float32) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of the toxic state in each place, and the expected number of each change of state.
 
-        With ``real``, which tells the places that hold words, also the expected number of each change of state.
+        ``emit`` has the toxic state's scores, a text in as many rows as ``rows`` says, and nan where no word is.
         """
-        up, move = np.exp(np.clip(emit, -30, 30)).astype(kind), np.exp(self.moves).astype(kind)
+        p, changes = np.zeros(emit.shape, kind), np.zeros((2, 2))
+        ends = np.cumsum(rows)
+        text = row = 0
+        while text < len(rows):
+            last = max(text + 1, int(np.searchsorted(ends, row + ROWS_AT_ONCE, "right")))
+            stop = int(ends[last - 1])
+            if stop > row:
+                p[row:stop], more = self._sums(emit[row:stop], rows[text:last], kind)
+                changes += more
+            text, row = last, stop
+        return p, changes
+
+    def _sums(self, emit: np.ndarray, rows: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """``marginals`` of some whole texts.
+
+        All rows are summed up at once, each from both states that it can be entered in and to both states of its last
+        place; then the texts' rows are joined one after the other, which gives the weights of those.
+        """
+        real = ~np.isnan(emit)
+        up = np.where(real, np.exp(np.clip(np.nan_to_num(emit), -30, 30)), 0).astype(kind)
+        weight = np.stack([np.ones_like(up), up])  # state, row, place
+        move = np.exp(self.moves).astype(kind)
         n, length = emit.shape
-        fore, back = np.empty((length, 2, n), kind), np.ones((length, 2, n), kind)
-        state = np.stack([np.ones(n, kind), up[:, 0]])
-        fore[0] = state / state.sum(0)
+        rows = rows[rows > 0]
+        first = np.cumsum(rows) - rows
+        # place, state, state that the row is entered in (before its own first word), row
+        fore = np.empty((length, 2, 2, n), kind)
+        state = np.eye(2, dtype=kind)[:, :, None] * weight[:, None, :, 0]
+        fore[0] = state / state.sum((0, 1))
         for t in range(1, length):
-            state = move.T @ fore[t - 1]
-            state[1] *= up[:, t]
-            fore[t] = state / state.sum(0)
-        changes = np.zeros((2, 2))
+            state = (move.T @ fore[t - 1].reshape(2, -1)).reshape(2, 2, n) * weight[:, None, :, t]
+            fore[t] = state / state.sum((0, 1))
+        # place, state, state of the row's last place, row
+        back = np.empty((length, 2, 2, n), kind)
+        own = back[-1] = np.broadcast_to(np.eye(2, dtype=kind)[:, :, None], (2, 2, n))
         for t in range(length - 2, -1, -1):
-            right = back[t + 1].copy()
-            right[1] *= up[:, t + 1]
-            if real is not None:
-                joint = fore[t][:, None] * move[:, :, None] * right[None]
-                changes += (joint / joint.sum((0, 1)) * real[:, t + 1]).sum(2)
-            state = move @ right
-            back[t] = state / state.sum(0)
+            state = (move @ (back[t + 1] * weight[:, None, :, t + 1]).reshape(2, -1)).reshape(2, 2, n)
+            back[t] = np.where(real[:, t + 1], state / state.sum((0, 1)), own)
+        enter, leave = np.full((2, n), 0.5, kind), np.full((2, n), 0.5, kind)
+        most = int(rows.max(initial=0))
+        for k in range(1, most):
+            at = first[rows > k] + k
+            state = move.T @ (fore[-1, :, :, at - 1] * enter[:, at - 1].T[:, None, :]).sum(2).T
+            enter[:, at] = state / state.sum(0)
+        for k in range(most - 1, 0, -1):
+            at = first[rows > k] + k
+            state = move @ (weight[:, at, 0] * (back[0, :, :, at] * leave[:, at].T[:, None, :]).sum(2).T)
+            leave[:, at - 1] = state / state.sum(0)
+        fore, back = (fore * enter[None, None]).sum(2), (back * leave[None, None]).sum(2)
         both = fore * back
-        p = (both[:, 1] / both.sum(1)).T
-        return p if real is None else (p, changes)
+        p = np.where(real, (both[:, 1] / both.sum(1)).T, 0)
+        right = back * np.moveaxis(weight, 2, 0)
+        inner = np.ones(n, bool)
+        inner[first] = False
+        inner = np.flatnonzero(inner)
+        changes = np.zeros((2, 2))
+        pairs = [(fore[:-1], right[1:], real[:, 1:].T), (fore[-1:][..., inner - 1], right[:1][..., inner], real[inner, 0])]
+        for before, after, counts in pairs:
+            joint = before[:, :, None] * move[:, :, None] * after[:, None]
+            total = joint.sum((1, 2))
+            changes += (joint * (counts / np.where(total > 0, total, 1))[:, None, None]).sum((0, 3))
+        return p, changes
 
     def fit(self, texts: list[str], labels: list[int]) -> None:
         """Learn from texts and their labels."""
@@ -138,12 +181,9 @@ class ToxicModel:
         if not len(which):
             return
         gold = toxic_kind[which] & np.repeat(np.array(labels, bool), sizes)
-        real, at = _grid(np.ones(len(which)), sizes, 0.0)
-        real = real > 0
-        y = np.zeros(real.size)
-        y[at] = gold
-        y = y.reshape(real.shape)
-        seen_moves = np.array([[((y[:, :-1] == a) & (y[:, 1:] == b) & real[:, 1:]).sum() for b in (0, 1)] for a in (0, 1)], float)
+        text = np.repeat(np.arange(len(sizes)), sizes)
+        same = text[1:] == text[:-1]
+        seen_moves = np.array([[((gold[:-1] == a) & (gold[1:] == b) & same).sum() for b in (0, 1)] for a in (0, 1)], float)
         steps: dict[str, tuple] = {}
         n_words = len(which)
 
@@ -155,15 +195,16 @@ class ToxicModel:
 
         for k in range(1, STEPS + 1):
             kind = self.bias + np.bincount(owner, self.weights[buckets], len(kinds))
-            emit, _ = _grid(kind[which], sizes, -30.0)
-            p, expected = self.marginals(emit, real)
-            miss = (y - p).ravel()[at]
+            emit, at, rows = _grid(kind[which], sizes)
+            p, expected = self.marginals(emit, rows)
+            p = p.ravel()[at]
+            miss = gold - p
             by_kind = np.bincount(which, miss, len(kinds))
             slope = np.bincount(buckets, by_kind[owner], BUCKETS) - 0.05 * self.weights
             self.weights = move("w", self.weights, slope / n_words, k)
             self.bias = move("b", self.bias, miss.sum() / n_words, k)
             self.moves = move("m", self.moves, (seen_moves - expected - 0.5 * self.moves) / n_words, k)
-        x = self._inputs(p.ravel()[at], sizes)
+        x = self._inputs(p, sizes)
         target, w = np.array(labels, float), np.zeros(4)
         for _ in range(25):  # Newton steps of a logistic regression
             q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -193,8 +234,8 @@ class ToxicModel:
                 known[x] = self.word_weight(x)
         sizes = [len(w) for w in words]
         values = np.fromiter((known[x] for w in words for x in w), float, sum(sizes))
-        grid, at = _grid(values, sizes, -30.0)
-        p = self.marginals(grid).ravel()[at] if len(values) else values
+        grid, at, rows = _grid(values, sizes)
+        p = self.marginals(grid, rows)[0].ravel()[at]
         score = 1 / (1 + np.exp(-np.clip(self._inputs(p, sizes) @ self.score, -30, 30)))
         spans: list[list[dict]] = [[] for _ in texts]
         hit = np.flatnonzero(p >= 0.5)
@@ -232,11 +273,8 @@ def predict(docs: DataFrame, model: ToxicModel) -> DataFrame:
     def start():
         own = ToxicModel()
         own.__dict__.update(shared.value)
-        store = worker_store().setdefault("toxic words", {})
-        if store.get("of") != token:
-            store.clear()
-            store.update({"of": token, "known": {}})
-        return lambda texts: own.predict(texts, store["known"])
+        store = worker_store(f"toxic words {token}")
+        return lambda texts: own.predict(texts, store)
 
     span = pa.struct([("start", pa.int32()), ("stop", pa.int32())])
     made = {"score": pa.float64(), "predicted": pa.int32(), "spans": pa.list_(span)}

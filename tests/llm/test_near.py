@@ -91,7 +91,17 @@ def test_near_components(spark):
     kept = simhash_trie.representatives(documents(spark, rows))
     assert kept.columns == documents(spark, rows).columns
     left = [r.doc_id for r in kept.collect()]
-    assert sorted(left, key=str) == sorted({first[k] for k in set(label)} - {None} | {None}, key=str)
+    assert sorted(left, key=str) == sorted((first[k] for k in set(label)), key=str)
+
+
+def test_one_row_of_each_group_where_ids_repeat(spark):
+    far = [f"text {k} of its own with words like w{k * 7} w{k * 11} w{k * 13} and w{k * 17} at the end" for k in range(4)]
+    rows = [(3, far[0], "a"), (5, far[0], "b"), (5, far[1], "c"), (5, far[1], "c"), (5, far[2], "d"), (None, far[2], "e"), (None, far[3], "f"), (None, far[3], "g")]
+    got = simhash_trie.representatives(spark.createDataFrame(rows, "doc_id long, text string, said string"))
+    assert got.columns == ["doc_id", "text", "said"]
+    got = sorted((r.text, r.doc_id, r.said) for r in got.collect())
+    assert [g[:2] for g in got] == [(far[0], 3), (far[1], 5), (far[2], 5), (far[3], None)]
+    assert [g[2] for g in got][:3] == ["a", "c", "d"]
 
 
 def test_no_documents(spark):

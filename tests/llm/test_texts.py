@@ -104,13 +104,50 @@ def test_toxic_spans():
             assert any(re.match("grumpf|zogger.", text[s["start"] : s["stop"]]) for s in found)
 
 
+def plain_marginals(emit, moves):
+    """Toxic marginals and expected changes of one chain, by sums of logarithms place by place."""
+    score = np.stack([np.zeros(len(emit)), emit], 1)
+    fore, back = score.copy(), np.zeros_like(score)
+    for t in range(1, len(emit)):
+        fore[t] += np.logaddexp(*(fore[t - 1] + moves.T).T)
+    for t in range(len(emit) - 2, -1, -1):
+        back[t] = np.logaddexp(*(moves + score[t + 1] + back[t + 1]).T)
+    total = np.logaddexp(*fore[-1])
+    changes = sum(np.exp(fore[t][:, None] + moves + score[t + 1] + back[t + 1] - total) for t in range(len(emit) - 1))
+    return np.exp(fore + back - total)[:, 1], changes
+
+
+@pytest.mark.parametrize("kind", [np.float64, np.float32])
+def test_chains_are_whole_texts(kind, monkeypatch):
+    monkeypatch.setattr(toxic_crf, "ROWS_AT_ONCE", 9)
+    rng = np.random.default_rng(2)
+    model = toxic_crf.ToxicModel()
+    model.moves = rng.normal(0, 2, (2, 2))
+    sizes = [1000, 0, 1, 63, 64, 65, 128, 129, 700, 3]
+    values = rng.normal(-1, 3, sum(sizes))
+    grid, at, rows = toxic_crf._grid(values, sizes)
+    p, changes = model.marginals(grid, rows, kind)
+    plain = [plain_marginals(v, model.moves) for v in np.split(values, np.cumsum(sizes)[:-1]) if len(v)]
+    close = 1e-9 if kind is np.float64 else 2e-4
+    assert p.ravel()[at] == pytest.approx(np.concatenate([m for m, _ in plain]), abs=close)
+    assert changes == pytest.approx(sum(c for _, c in plain), rel=close)
+
+
+def test_a_word_in_front_changes_nothing_far_away():
+    texts, labels = toy()
+    model = toxic_crf.ToxicModel()
+    model.fit(texts, labels)
+    text = " ".join(texts[:40])
+    (_, _, (before, after)) = model.predict([text, "house " + text], {})
+    assert before and [(s["start"] + 6, s["stop"] + 6) for s in before] == [(s["start"], s["stop"]) for s in after]
+
+
 def test_marginals_are_those_of_all_paths():
     rng = np.random.default_rng(0)
     model = toxic_crf.ToxicModel()
     model.moves = rng.normal(0, 1, (2, 2))
     emit = rng.normal(0, 2, (3, 7))
-    real = np.ones(emit.shape, bool)
-    got, changes = model.marginals(emit, real, np.float64)
+    got, changes = model.marginals(emit, np.array([1, 1, 1]), np.float64)
     expected = np.zeros((2, 2))
     for row in range(3):
         weight, on, both = 0.0, np.zeros(7), np.zeros((6, 2, 2))
