@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sensors
 from ..functions.bands import band_counts, hot_mask
 from ..functions.missing import any_null
-from .order_stats import grouped_stats
 
 COMPTYPE_KINDS = ("mean", "std", "min", "max", "q25", "q50", "q75", "size", "count")
+#: Temperature that deviations are summed up around.
+MIDDLE = 50
 
 
 def add_thermal_flags(
@@ -60,27 +66,81 @@ def thermal_bands(
     )
 
 
-def comptype_long(df: DataFrame, keys: list[str], groups: dict[str, list[str]]) -> DataFrame:
-    """One row per node and sensor: keys, component type, temperature."""
-    pairs = ", ".join(f"'{kind}', cast(`{c}` as double)" for kind, cols in groups.items() for c in cols)
-    sensors_per_row = sum(len(cols) for cols in groups.values())
-    return df.select(*keys, F.expr(f"stack({sensors_per_row}, {pairs}) as (comptype, temp)"))
+def counted_values(df: DataFrame, keys: list[str], groups: dict[str, list[str]]) -> DataFrame:
+    """How often each temperature occurs: ``keys``, ``comptype``, ``temp`` (missing ones too) and ``n``.
+
+    A state that merges by putting tables together: days, or the two halves of a
+    day, may be counted apart.  Each Arrow batch is counted by numpy, so a
+    reading never becomes a row for each of its sensors; nodes of one tick have
+    mostly the same few hundred temperatures.
+    """
+    columns = [c for cols in groups.values() for c in cols]
+    rows = df.select(*keys, *[F.col(f"`{c}`").cast("double").alias(f"__{i}") for i, c in enumerate(columns)])
+    ends = np.cumsum([len(keys), *[len(cols) for cols in groups.values()]]).tolist()
+    parts = list(zip(groups, ends, ends[1:], strict=False))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, first = _group_numbers(batch, len(keys))
+            for kind, a, b in parts:
+                temps = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(a, b)])
+                values, number = np.unique(temps, return_inverse=True)
+                pairs = np.repeat(place, b - a) * len(values) + number.ravel()
+                pairs, n = np.unique(pairs, return_counts=True)
+                group, value = np.divmod(pairs, max(1, len(values)))
+                at = pa.array(first[group])
+                made = [pa.array([kind] * len(n), pa.string()), pa.array(values[value], from_pandas=True), pa.array(n, pa.int64())]
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(at) for k in range(len(keys))], *made], names=names)
+
+    names = [*keys, "comptype", "temp", "n"]
+    types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema[: len(keys)])
+    return rows.mapInArrow(count, types + "comptype string, temp double, n long")
+
+
+def _group_numbers(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each row's group by the first ``width`` columns, and the first row of each group."""
+    code = np.zeros(batch.num_rows, np.int64)
+    for k in range(width):
+        own = pc.dictionary_encode(batch.column(k), null_encoding="encode")
+        # Numbers stay below the square of the batch's rows.
+        code = np.unique(code, return_inverse=True)[1] * (len(own.dictionary) + 1) + own.indices.to_numpy(zero_copy_only=False)
+    _, first, place = np.unique(code, return_index=True, return_inverse=True)
+    return place, first
+
+
+def stats_of_counts(state: DataFrame, keys: list[str], kinds: list[str]) -> DataFrame:
+    """``type_kind`` statistics of each group from (any number of) tables of :func:`counted_values`.
+
+    Deviations are summed up around a fixed temperature, so that partial sums
+    add and the square of the mean cancels little.
+    """
+    cols = []
+    for kind in kinds:
+        own = f"filter (where comptype = '{kind}')"
+        n = f"sum(if(temp is null, 0L, n)) {own}"
+        off = f"(sum((temp - {MIDDLE}D) * n) {own})"
+        squares = f"(sum((temp - {MIDDLE}D) * (temp - {MIDDLE}D) * n) {own})"
+        quartiles = f"percentile(temp, array(0.25D, 0.5D, 0.75D), n) {own}"
+        make = {
+            "mean": f"{MIDDLE}D + try_divide({off}, {n})",
+            "std": f"sqrt(try_divide(greatest({squares} - try_divide({off} * {off}, {n}), 0D), {n} - 1))",
+            "min": f"min(temp) {own}",
+            "max": f"max(temp) {own}",
+            "q25": f"({quartiles})[0]",
+            "q50": f"({quartiles})[1]",
+            "q75": f"({quartiles})[2]",
+            "size": f"sum(n) {own}",
+            "count": n,
+        }
+        cols += [F.expr(f"{make[k]} as `{kind}_{k}`") for k in COMPTYPE_KINDS]
+    return state.groupBy(*keys).agg(*cols)
 
 
 def comptype_stats(df: DataFrame, keys: list[str], groups: dict[str, list[str]] | None = None) -> DataFrame:
     """Statistics of all temperatures of each component type, ``type_kind`` columns.
 
-    One pass over the long form for all types; turning the four types into
-    columns afterwards touches only the result.  A group has at most a row for
-    each sensor of a type on each node.
+    One pass and one shuffle, of partial counts.  A group has at most as many
+    different temperatures as readings of a tick.
     """
     groups = groups or {kind: sensors.mean_of(cols) for kind, cols in sensors.COMPONENT_TYPES.items()}
-    long = comptype_long(df, keys, groups)
-    stats = grouped_stats(long, [*keys, "comptype"], [("temp", "temp", COMPTYPE_KINDS)])
-    return stats.groupBy(*keys).agg(
-        *[
-            F.expr(f"max(`{stat}_temp`) filter (where comptype = '{kind}') as `{kind}_{stat}`")
-            for kind in groups
-            for stat in COMPTYPE_KINDS
-        ]
-    )
+    return stats_of_counts(counted_values(df, keys, groups), keys, list(groups))

@@ -15,22 +15,29 @@ from ..functions.timegrid import as_timestamp
 from ..session import configure
 from .jobs import load_readings, node_aggregates
 
-#: Sensors of the stand-in: (every how many readings one is missing, value).
+def _rules(names: list[str], value: str, gaps: dict[int, int]) -> dict[str, tuple[int | None, str]]:
+    """One rule for each of ``names``; ``value`` may use its place k, ``gaps`` says how often which are missing."""
+    return {name: (gaps.get(k), value.format(k=k)) for k, name in enumerate(names)}
+
+
+#: All sensors of a node: (every how many readings one is missing, value).
 RULES: dict[str, tuple[int | None, str]] = {
     "ps0_input_power": (11, "floor(value * 20)"),
     "ps1_input_power": (13, "floor(value * 20) + event_id % 7"),
     "total_power": (None, "floor(value * 38) + event_id % 5"),
     "p0_power": (17, "floor(value * 3)"),
     "p1_power": (34, "floor(value * 2)"),
-    "p0_io_power": (None, "10 + event_id % 9"),
-    "p1_io_power": (21, "10 + event_id % 8"),
-    "p0_mem_power": (None, "20 + event_id % 11"),
-    "p1_mem_power": (15, "20 + event_id % 12"),
-    **{name: (38 if k % 2 else 19, f"floor(value) + {k}") for k, name in enumerate(sensors.GPU_POWERS)},
-    **{name: (23 if k == 0 else None, f"60 + (event_id * 7 + {13 * k}) % 40") for k, name in enumerate(sensors.GPU_CORE_TEMPS)},
-    **{name: (29 if k == 0 else None, f"55 + (event_id * 11 + {9 * k}) % 40") for k, name in enumerate(sensors.GPU_MEM_TEMPS)},
-    **{name: (31 if k == 1 else None, f"30 + (event_id * 5 + {7 * k}) % 30") for k, name in enumerate(sensors.DIMM_TEMPS[:4])},
-    **{f"p{s}_core{c}_temp": (37 if s else None, f"40 + (event_id * 3 + {5 * s + 11 * c}) % 50") for s in (0, 1) for c in (0, 1)},
+    **_rules(sensors.IO_POWERS, "10 + event_id % (9 - {k})", {1: 21}),
+    **_rules(sensors.MEM_POWERS, "20 + event_id % (11 + {k})", {1: 15}),
+    **_rules(["io_power", "fan_disk_power"], "60 + event_id % (15 + {k})", {1: 41}),
+    **_rules(sensors.GPU_POWERS, "floor(value) + {k}", {k: 38 if k % 2 else 19 for k in range(6)}),
+    **_rules(sensors.GPU_CORE_TEMPS, "60 + (event_id * 7 + 13 * {k}) % 40", {0: 23}),
+    **_rules(sensors.GPU_MEM_TEMPS, "55 + (event_id * 11 + 9 * {k}) % 40", {0: 29}),
+    **_rules(sensors.DIMM_TEMPS, "30 + (event_id * 5 + 7 * {k}) % 30", {1: 31, 9: 43}),
+    **_rules(sensors.CPU_CORE_TEMPS, "40 + (event_id * 3 + 11 * {k}) % 50", {k: 37 for k in range(23, 46, 2)}),
+    **_rules(sensors.REGULATOR_TEMPS, "35 + (event_id * 13 + 3 * {k}) % 25", {4: 47}),
+    **_rules(sensors.OTHER_TEMPS, "18 + (event_id + 5 * {k}) % 12", {0: 53}),
+    **_rules(sensors.SUPPLY_FLOATS, "floor(value * 8) / 8 + {k}", {5: 59}),
 }
 
 #: Component types with the sensors that the stand-in has.
