@@ -7,20 +7,23 @@
 ``tot_sq_dev`` is the sum of squared deviations from the bin's own mean.  With
 it two bins can be merged without going back to the raw rows.
 
-``init_agg`` is one ``groupBy`` whose partial step runs before the shuffle, so a
-host with far too many rows costs one partial row per task and bin.
+All reduce rows before the only shuffle, so a host with far too many rows costs
+one partial row per task and bin.  Few columns are a plain ``groupBy``; more than
+``PLAIN``, and merges, are matrices, see :mod:`.moments`.
 """
 
 from __future__ import annotations
 
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timegrid import floor_to
+from .moments import KINDS, reduced
 
-KINDS = ("count", "sum", "tot_sq_dev", "min", "max")
+#: Columns whose five aggregates still fit generated code.
+PLAIN = 16
 FINAL_KINDS = ("mean", "std", "min", "max")
 
 
@@ -66,7 +69,10 @@ def init_agg(
     groups = [*before, time_col, *after]
     values = list(values) if values is not None else value_columns(df, groups)
     binned = df.select(*before, floor_to(time_col, resolution).alias(time_col), *after, *values)
-    return binned.dropna(subset=groups).groupBy(*groups).agg(*[c for v in values for c in moments(v)])
+    binned = binned.dropna(subset=groups)
+    if len(values) > PLAIN:
+        return reduced(binned, groups, values, merge=False)
+    return binned.groupBy(*groups).agg(*[c for v in values for c in moments(v)])
 
 
 def coarsen_agg(
@@ -78,28 +84,11 @@ def coarsen_agg(
 ) -> DataFrame:
     """Merge bins into coarser ones.
 
-    The coarse mean is needed before deviations from it can be added, so it is
-    spread over the bins of a group by a window; that window and the final
-    ``groupBy`` share one shuffle.  A group holds one row per fine bin, that is
-    as many rows as the coarse resolution has fine ones.
+    Squared deviations of the parts add, and so do those of the parts' means
+    from the common mean.
     """
     groups = [*before, time_col, *after]
-    variables = variables_of(df, groups)
-    binned = df.withColumn(time_col, floor_to(time_col, resolution))
-    per_group = Window.partitionBy(*groups)
-    totals = {f"__{v}_{k}": F.sum(f"{v}_{k}").over(per_group) for v in variables for k in ("sum", "count")}
-    with_totals = binned.withColumns(totals)
-    aggs = []
-    for v in variables:
-        gap = f"(try_divide(`{v}_sum`, `{v}_count`) - try_divide(`__{v}_sum`, `__{v}_count`))"
-        aggs += [
-            F.expr(f"sum(`{v}_count`) as `{v}_count`"),
-            F.expr(f"sum(`{v}_sum`) as `{v}_sum`"),
-            F.expr(f"sum(`{v}_tot_sq_dev` + `{v}_count` * {gap} * {gap}) as `{v}_tot_sq_dev`"),
-            F.expr(f"min(`{v}_min`) as `{v}_min`"),
-            F.expr(f"max(`{v}_max`) as `{v}_max`"),
-        ]
-    return with_totals.groupBy(*groups).agg(*aggs)
+    return reduced(df.withColumn(time_col, floor_to(time_col, resolution)), groups, variables_of(df, groups), merge=True)
 
 
 def finalize_agg(df: DataFrame, groups: list[str], keep_count: bool = False) -> DataFrame:

@@ -6,13 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sensors
 from ..functions.bands import band_counts, hot_mask
 from ..functions.missing import any_null
+from .moments import group_numbers
 
 COMPTYPE_KINDS = ("mean", "std", "min", "max", "q25", "q50", "q75", "size", "count")
 #: Temperature that deviations are summed up around.
@@ -81,7 +81,7 @@ def counted_values(df: DataFrame, keys: list[str], groups: dict[str, list[str]])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place, first = _group_numbers(batch, len(keys))
+            place, first = group_numbers([batch.column(k) for k in range(len(keys))])
             for kind, a, b in parts:
                 temps = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(a, b)])
                 values, number = np.unique(temps, return_inverse=True)
@@ -97,17 +97,6 @@ def counted_values(df: DataFrame, keys: list[str], groups: dict[str, list[str]])
     return rows.mapInArrow(count, types + "comptype string, temp double, n long")
 
 
-def _group_numbers(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Number of each row's group by the first ``width`` columns, and the first row of each group."""
-    code = np.zeros(batch.num_rows, np.int64)
-    for k in range(width):
-        own = pc.dictionary_encode(batch.column(k), null_encoding="encode")
-        # Numbers stay below the square of the batch's rows.
-        code = np.unique(code, return_inverse=True)[1] * (len(own.dictionary) + 1) + own.indices.to_numpy(zero_copy_only=False)
-    _, first, place = np.unique(code, return_index=True, return_inverse=True)
-    return place, first
-
-
 def stats_of_counts(state: DataFrame, keys: list[str], kinds: list[str]) -> DataFrame:
     """``type_kind`` statistics of each group from (any number of) tables of :func:`counted_values`.
 
@@ -123,7 +112,7 @@ def stats_of_counts(state: DataFrame, keys: list[str], kinds: list[str]) -> Data
         quartiles = f"percentile(temp, array(0.25D, 0.5D, 0.75D), n) {own}"
         make = {
             "mean": f"{MIDDLE}D + try_divide({off}, {n})",
-            "std": f"sqrt(try_divide(greatest({squares} - try_divide({off} * {off}, {n}), 0D), {n} - 1))",
+            "std": f"if({n} > 1, sqrt(greatest({squares} - {off} * {off} / {n}, 0D) / ({n} - 1)), null)",
             "min": f"min(temp) {own}",
             "max": f"max(temp) {own}",
             "q25": f"({quartiles})[0]",

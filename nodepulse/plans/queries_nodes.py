@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import derive, places, sensors, timegrid
 from ..functions.bands import band, band_counts, hot_mask
 from ..functions.missing import any_null
 from ..operators import cluster, hier_agg, reshape, segments
+from ..sources import schemas
 from . import fixtures as fx
 from .registry import check_sql, query, tidy
 
@@ -107,6 +109,65 @@ def node_aggregates_all_sensors(spark, sf):
     return tidy(fx.node_aggregates(fx.readings(spark, sf).drop("node_id", "event_id"), "1 day", _WIDE))
 
 
+def _stored(sensor: str) -> str:
+    """Type that means and deviations are stored in."""
+    return "double" if sensor in sensors.FLOAT_SENSORS else "real"
+
+
+# A float has seven digits.
+_WIDE_M2 = {f"{c}_tot_sq_dev": -2 for c in _WIDE}
+
+
+@query(
+    "lossless_all_sensors",
+    check_sql(
+        f"""select timestamp, hostname, {", ".join(
+            f"{c}_count, cast({c}_sum as double) as {c}_sum, cast(cast({c}_tot_sq_dev as {_stored(c)}) as double) as {c}_tot_sq_dev, "
+            f"cast({c}_min as double) as {c}_min, cast({c}_max as double) as {c}_max" for c in _WIDE
+        )} from ({_moments("readings", _SIX_HOURS, "hostname", _WIDE)}) m""",
+        fx.TELEMETRY_SQL,
+        doubles=[f"{c}_{k}" for c in _WIDE for k in ("sum", "tot_sq_dev", "min", "max")],
+        digits=1,
+        **_WIDE_M2,
+    ),
+)
+def lossless_all_sensors(spark, sf):
+    """The mergeable aggregates of all 117 sensors, with the types they are stored in."""
+    rows = fx.readings(spark, sf).drop("node_id", "event_id")
+    stored = schemas.apply_schema(hier_agg.init_agg(rows, "6 hours", values=_WIDE), schemas.lossless_schema(schemas.loaded_schema()))
+    return tidy(_as_doubles(stored), 1, **_WIDE_M2)
+
+
+@query(
+    "final_all_sensors",
+    check_sql(
+        f"""select timestamp, hostname, {", ".join(
+            f"count({c}) as {c}_count, cast(cast(avg({c}) as {_stored(c)}) as double) as {c}_mean, "
+            f"cast(cast(stddev_samp({c}) as {_stored(c)}) as double) as {c}_std, "
+            f"cast(min({c}) as double) as {c}_min, cast(max({c}) as double) as {c}_max" for c in _WIDE
+        )} from (select * replace (date_trunc('day', timestamp) as timestamp) from readings) r group by 1, 2""",
+        fx.TELEMETRY_SQL,
+        doubles=[f"{c}_{k}" for c in _WIDE for k in ("mean", "std", "min", "max")],
+    ),
+)
+def final_all_sensors(spark, sf):
+    """Six-hour bins merged into days and brought into their final form, with counts and stored types."""
+    rows = fx.readings(spark, sf).drop("node_id", "event_id")
+    days = hier_agg.coarsen_agg(hier_agg.init_agg(rows, "6 hours", values=_WIDE), "1 day")
+    final = hier_agg.finalize_agg(days, _GROUPS, keep_count=True)
+    stored = schemas.final_schema(schemas.loaded_schema())
+    counts = [T.StructField(f"{c}_count", T.LongType()) for c in _WIDE]
+    return tidy(_as_doubles(schemas.apply_schema(final, T.StructType([*stored, *counts]))))
+
+
+def _as_doubles(df):
+    """Narrow numbers as doubles, for comparing them."""
+    narrow = (T.ByteType, T.ShortType, T.FloatType)
+    return df.select(
+        *[F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, narrow) or f.name.endswith("_sum") else f.name for f in df.schema]
+    )
+
+
 # ---- cluster series
 
 
