@@ -6,12 +6,14 @@ They write the given tables below the shared folder and read them back.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import cluster, hier_agg, reshape, thermal
 from ..session import scratch_path
 from ..sources import readers, schemas, writers
 from ..streaming import node_stream
 from . import fixtures as fx
+from .fixtures import HOST_SQL, rule_sql
 from .queries_jobs import bands_sql, flags_sql
 from .queries_nodes import _moments, stats_doubles, stats_sql
 from .registry import check_sql, query, tidy
@@ -253,3 +255,95 @@ def stream_cluster_power(spark, sf):
 
     series = node_stream.run_to_table(spark, second, scratch_path(spark, "power"), scratch_path(spark, "power-state"))
     return tidy(series.drop("date"))
+
+
+# ---- rows that come late
+#
+# The month runs 3600 times as fast: a second of readings for each hour of events.  One row in eleven comes 30 seconds
+# late, one in thirteen five minutes; two minutes of arrivals are a file, and a file is a micro-batch.
+
+_FAST_SQL = f"""fast as (
+  select *, cast(floor(epoch(ts) / 3600) as bigint) - 473352 as second,
+         case when event_id % 11 = 3 then 30 when event_id % 13 = 5 then 300 else 0 end as delay
+  from events),
+arrived as (
+  select timestamp '2024-01-01' + interval 1 second * second as timestamp, (second + delay) // 120 as file,
+         {HOST_SQL.format(id="user_id", text="varchar")} as hostname, {rule_sql("ps0_input_power")} as ps0_input_power,
+         {rule_sql("total_power")} as total_power
+  from fast),
+binned as (
+  select *, time_bucket(interval 10 seconds, timestamp, timestamp '1970-01-01') as bin, dense_rank() over (order by file) as batch from arrived),
+marks as (
+  select batch, max(latest) over (order by batch rows between unbounded preceding and 2 preceding) - interval 1 minute as closed
+  from (select batch, max(timestamp) as latest from binned group by batch)),
+in_time as (
+  select binned.* from binned join marks using (batch) where closed is null or bin + interval 10 seconds > closed),
+done as (select max(timestamp) - interval 1 minute as done from binned)"""
+
+
+def arrivals(spark, sf) -> str:
+    """A folder of parquet files, one for each two minutes of arrivals, in the order in which they came."""
+    path = scratch_path(spark, "arrivals")
+    rows = fx.events(spark, sf).selectExpr(
+        "cast(floor(unix_seconds(ts) / 3600) as bigint) - 473352 as second",
+        "case when event_id % 11 = 3 then 30 when event_id % 13 = 5 then 300 else 0 end as delay",
+        f"{HOST_SQL.format(id='user_id', text='string')} as hostname",
+        f"{rule_sql('ps0_input_power')} as ps0_input_power",
+        f"{rule_sql('total_power')} as total_power",
+    )
+    rows = rows.selectExpr("*", "timestamp_seconds(1704067200 + second) as timestamp", "(second + delay) div 120 as file").drop("second", "delay")
+    files = [r["file"] for r in rows.select("file").distinct().orderBy("file").collect()]  # the fast month has eight
+    for file in files:
+        rows.where(F.col("file") == file).drop("file").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def arriving(spark, path):
+    schema = "hostname string, ps0_input_power double, total_power double, timestamp timestamp"
+    return node_stream.read_stream(spark, path, T.StructType.fromDDL(schema), files_per_trigger=1)
+
+
+@query(
+    "stream_late_rows",
+    check_sql(
+        """select bin as timestamp, hostname, count(total_power) as came,
+            count(total_power) filter (in_time) as counted, count(total_power) filter (not in_time) as left_out
+        from (select binned.*, i.batch is not null as in_time
+              from binned left join (select distinct batch, bin from in_time) i using (batch, bin)), done
+        where bin + interval 10 seconds <= done group by 1, 2""",
+        _FAST_SQL,
+    ),
+)
+def stream_late_rows(spark, sf):
+    """Which rows of eight micro-batches are in, and how many came after their bin was closed."""
+    path = arrivals(spark, sf)
+
+    def build():
+        return node_stream.stream_init_agg(arriving(spark, path), "10 seconds", ["total_power"])
+
+    written = node_stream.run_to_table(spark, build, scratch_path(spark, "late"), scratch_path(spark, "late-state"))
+    return node_stream.left_out(spark.read.parquet(path), written, "10 seconds", "total_power")
+
+
+_FAST_SERIES = {"ps0": "ps0_input_power", "top": "total_power"}
+
+
+@query(
+    "stream_power_of_readings",
+    check_sql(
+        f"""select timestamp, {", ".join(stats_sql(c, n, cluster.POWER_KINDS) for n, c in _FAST_SERIES.items())}
+        from nodes, done where timestamp + interval 10 seconds <= done group by timestamp""",
+        _FAST_SQL,
+        "nodes as (select bin as timestamp, hostname, avg(ps0_input_power) as ps0_input_power, avg(total_power) as total_power from in_time group by 1, 2)",
+        doubles=stats_doubles(_FAST_SERIES, cluster.POWER_KINDS),
+    ),
+)
+def stream_power_of_readings(spark, sf):
+    """Both aggregates in one streaming query, over eight micro-batches with late rows."""
+    path = arrivals(spark, sf)
+
+    def build():
+        return node_stream.stream_power_of_readings(arriving(spark, path), "10 seconds", _FAST_SERIES)
+
+    series = node_stream.run_to_table(spark, build, scratch_path(spark, "fast"), scratch_path(spark, "fast-state"))
+    return tidy(series.drop("date"))

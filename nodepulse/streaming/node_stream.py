@@ -2,7 +2,12 @@
 
 A minute file may hold rows a little late or early.  The watermark waits
 ``lateness`` for them; a bin is written once, when no more rows can come.  State
-is one row of sums per node and open bin.
+is one row of sums per node and open bin, kept from one micro-batch to the next.
+
+When a micro-batch starts, the watermark is the latest time of all earlier ones
+less ``lateness``.  It closes bins that end by then; a row counts unless the
+micro-batch before has closed its bin already.  :func:`left_out` tells how many
+rows that cost.
 """
 
 from __future__ import annotations
@@ -15,7 +20,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.missing import nan_to_null
-from ..functions.timegrid import as_timestamp, seconds_of
+from ..functions.timegrid import as_timestamp, floor_to, seconds_of
 from ..operators.cluster import POWER_KINDS
 from ..operators.hier_agg import moments
 from ..operators.order_stats import stats_of
@@ -66,6 +71,48 @@ def stream_cluster_power(
     return grouped.select(F.col("bin.start").alias(time_col), *[c for c in grouped.columns if c != "bin"])
 
 
+def stream_power_of_readings(
+    stream: DataFrame,
+    resolution: str,
+    series: dict[str, str],
+    lateness: str = "1 minute",
+    time_col: str = "timestamp",
+    host: str = "hostname",
+) -> DataFrame:
+    """Readings to cluster power statistics in one query: two aggregates with state, one after the other.
+
+    ``series`` maps short names to sensors.  Nodes' bins leave the first state
+    when the watermark closes them and are then one row each in the second one's
+    group, which the same watermark closes.
+    """
+    timed = stream.withColumn(time_col, as_timestamp(time_col)).withWatermark(time_col, lateness)
+    bins = F.window(time_col, f"{seconds_of(resolution)} seconds")
+    values = list(dict.fromkeys(series.values()))
+    nodes = timed.groupBy(bins.alias("bin"), host).agg(*[F.avg(F.col(v).cast("double")).alias(v) for v in values])
+    again = F.window("bin", f"{seconds_of(resolution)} seconds")
+    grouped = nodes.groupBy(again.alias("tick")).agg(*[c for name, v in series.items() for c in stats_of(v, name, POWER_KINDS)])
+    return grouped.select(F.col("tick.start").alias(time_col), *[c for c in grouped.columns if c != "tick"])
+
+
+def left_out(
+    arrived: DataFrame, written: DataFrame, resolution: str, value: str, time_col: str = "timestamp", host: str = "hostname"
+) -> DataFrame:
+    """Rows of each written bin and node that came too late to count.
+
+    ``arrived`` holds all rows that came, ``written`` what :func:`stream_init_agg`
+    made of them.  Where no row of a node's bin was in time it has not been
+    written, and all its rows are left out.  Bins after the last written one are
+    still open.
+    """
+    binned = arrived.select(floor_to(time_col, resolution).alias(time_col), host, value)
+    came = binned.groupBy(time_col, host).agg(F.count(value).alias("came"))
+    counted = written.select(time_col, host, F.col(f"{value}_count").alias("counted"))
+    last = written.agg(F.max(time_col).alias("last"))
+    both = came.join(counted, [time_col, host], "left").withColumn("counted", F.coalesce("counted", F.lit(0)))
+    closed = both.join(F.broadcast(last), F.col(time_col) <= F.col("last")).drop("last")  # one row
+    return closed.withColumn("left_out", F.col("came") - F.col("counted"))
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str, time_col: str = "timestamp", once: bool = True) -> StreamingQuery:
     """Append finished bins to a table partitioned by day.
 
@@ -86,7 +133,7 @@ def write_stream(df: DataFrame, path: str, checkpoint: str, time_col: str = "tim
 def run_to_table(
     spark: SparkSession, build: Callable[[], DataFrame], path: str, checkpoint: str, time_col: str = "timestamp"
 ) -> DataFrame:
-    """Run a streaming job over the files present and return the table it wrote."""
+    """Run a streaming job over the files present, and on from its checkpoint, and return the table it wrote."""
     query = write_stream(build(), path, checkpoint, time_col)
     query.awaitTermination()
     return spark.read.parquet(path)
