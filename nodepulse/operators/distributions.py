@@ -1,4 +1,4 @@
-"""Box plots, distribution functions, histograms, densities and correlations.
+"""Box plots, distribution functions, histograms and correlations.
 
 Groups here are few and large (classes, weeks, domains), so everything that
 needs an order goes through ``order_stats.value_ranks``, and everything else is
@@ -73,92 +73,6 @@ def groups_by_median(df: DataFrame, key: str, col: str) -> DataFrame:
     return medians.orderBy(F.desc("median"), F.asc(key))
 
 
-def kde_1d(
-    df: DataFrame,
-    key: str,
-    col: str,
-    grid: tuple[float, float, int] | None = None,
-    cut: float = 3.0,
-    points: int = 200,
-    width: float | None = None,
-) -> DataFrame:
-    """Gaussian density per class, each normalised on its own.
-
-    Bandwidth is s n^(-1/5).  Without ``grid`` (low, high, points) each class
-    gets its own, reaching ``cut`` bandwidths past its extremes.  Equal values
-    are counted first; each distinct value adds to every grid point, and the
-    sums combine before they are shuffled.  ``width`` snaps values to bin centres
-    first, for inputs with very many distinct values.
-    """
-    value = F.col(col).cast("double")
-    snapped = value if width is None else (F.floor(value / width) + 0.5) * width
-    present = df.select(key, snapped.alias("x")).filter(F.col("x").isNotNull())
-    counts = present.groupBy(key, "x").agg(F.count(F.lit(1)).alias("w"))
-    shape = df.groupBy(key).agg(
-        F.count(col).alias("n"), F.stddev_samp(col).alias("s"), F.min(col).alias("a"), F.max(col).alias("z")
-    )
-    shape = shape.withColumn("h", F.col("s") * F.pow("n", F.lit(-0.2))).filter(F.col("h") > 0)
-    low = F.col("a") - cut * F.col("h") if grid is None else F.lit(float(grid[0]))
-    high = F.col("z") + cut * F.col("h") if grid is None else F.lit(float(grid[1]))
-    steps = (points if grid is None else grid[2]) - 1
-    shape = shape.select(key, "n", "h", low.alias("low"), ((high - low) / F.lit(steps)).alias("step"))
-    at = F.col("low") + F.col("i") * F.col("step")
-    spread = counts.join(shape, key).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps))))
-    u = (at - F.col("x")) / F.col("h")
-    kernel = F.col("w") * F.exp(F.lit(-0.5) * u * u)
-    scale = F.lit(float(np.sqrt(2 * np.pi)))
-    return spread.groupBy(key, "i").agg(
-        F.max(at).alias("x"), (F.sum(kernel) / (F.max(F.col("n") * F.col("h")) * scale)).alias("density")
-    )
-
-
-def kde_2d(
-    df: DataFrame,
-    key: str,
-    x: str,
-    y: str,
-    x_grid: tuple[float, float, int],
-    y_grid: tuple[float, float, int],
-    bins: tuple[float, float] | None = None,
-) -> DataFrame:
-    """Gaussian density over a plane per class, with the class's own covariance.
-
-    The covariance is scaled by n^(-1/3).  ``bins`` (widths in x and y) snaps
-    points to cell centres first, for inputs with very many distinct points.
-    """
-    xy = df.select(key, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
-    shape = xy.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.var_samp("x").alias("sxx"),
-        F.var_samp("y").alias("syy"),
-        F.covar_samp("x", "y").alias("sxy"),
-    )
-    factor = F.pow(F.col("n").cast("double"), F.lit(-1.0 / 3.0))
-    shape = shape.select(key, "n", *[(F.col(c) * factor).alias(c) for c in ("sxx", "syy", "sxy")])
-    det = F.col("sxx") * F.col("syy") - F.col("sxy") * F.col("sxy")
-    shape = shape.withColumn("det", det).filter(F.col("det") > 0)
-    if bins is not None:
-        snap = lambda c, w: (F.floor(F.col(c) / w) + 0.5) * w
-        xy = xy.select(key, snap("x", bins[0]).alias("x"), snap("y", bins[1]).alias("y"))
-    counts = xy.groupBy(key, "x", "y").agg(F.count(F.lit(1)).alias("w"))
-
-    def axis(grid: tuple[float, float, int], i: str):
-        return F.lit(float(grid[0])) + F.col(i) * F.lit((grid[1] - grid[0]) / (grid[2] - 1))
-
-    spread = (
-        counts.join(shape, key)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(x_grid[2] - 1))))
-        .withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(y_grid[2] - 1))))
-    )
-    dx, dy = axis(x_grid, "i") - F.col("x"), axis(y_grid, "j") - F.col("y")
-    form = (F.col("syy") * dx * dx - 2 * F.col("sxy") * dx * dy + F.col("sxx") * dy * dy) / F.col("det")
-    kernel = F.col("w") * F.exp(F.lit(-0.5) * form)
-    norm = F.max(F.col("n") * F.sqrt("det")) * F.lit(float(2 * np.pi))
-    return spread.groupBy(key, "i", "j").agg((F.sum(kernel) / norm).alias("density")).select(
-        key, axis(x_grid, "i").alias("x"), axis(y_grid, "j").alias("y"), "density"
-    )
-
-
 def hist_fixed(df: DataFrame, keys: list[str], col: str, width: float) -> DataFrame:
     """Rows per bin of fixed width; a bin is named by its lower end."""
     x = df.filter(F.col(col).isNotNull())

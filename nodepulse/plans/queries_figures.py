@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import sensors
 from ..functions.derive import lookup, node_class, to_unit
 from ..functions.places import node_location
+from ..operators import densities
 from ..operators import distributions as dist
 from ..operators import edges as ed
 from ..operators import reshape
@@ -223,12 +224,12 @@ def logged(spark, sf):
 
 @query("kde_1d", check_sql(kde_sql("logged", "class", "log_power"), *_CLASSED, LOGGED_SQL, doubles=["x", "density"]))
 def kde_1d(spark, sf):
-    return tidy(dist.kde_1d(logged(spark, sf), "class", "log_power", points=_POINTS))
+    return tidy(densities.kde_1d(logged(spark, sf), "class", "log_power", points=_POINTS))
 
 
 @query("kde_frequency", check_sql(kde_sql("spectrum", "class", "freq"), *SPECTRUM_CTES, doubles=["x", "density"], digits=5))
 def kde_frequency(spark, sf):
-    return tidy(dist.kde_1d(spectrum(spark, sf), "class", "freq", points=_POINTS), 5)
+    return tidy(densities.kde_1d(spectrum(spark, sf), "class", "freq", points=_POINTS), 5)
 
 
 @query(
@@ -238,7 +239,7 @@ def kde_frequency(spark, sf):
 )
 def kde_location(spark, sf):
     df = failures(spark, sf).select("xid", node_location("hostname")["rack"].alias("place"))
-    return tidy(dist.kde_1d(df, "xid", "place", points=_POINTS))
+    return tidy(densities.kde_1d(df, "xid", "place", points=_POINTS))
 
 
 _XG, _YG = (0.0, 6.0, 13), (0.0, 6.0, 13)
@@ -260,7 +261,7 @@ def kde2_sql(table: str, key: str, x: str, y: str, xg, yg) -> str:
     check_sql(kde2_sql("logged", "class", "log_power", "log_energy", _XG, _YG), *_CLASSED, LOGGED_SQL, doubles=["x", "y", "density"]),
 )
 def kde_2d(spark, sf):
-    return tidy(dist.kde_2d(logged(spark, sf), "class", "log_power", "log_energy", _XG, _YG))
+    return tidy(densities.kde_2d(logged(spark, sf), "class", "log_power", "log_energy", _XG, _YG))
 
 
 _CG, _GG = (0.0, 2000.0, 9), (0.0, 3000.0, 9)
@@ -282,7 +283,7 @@ def kde_cpu_gpu(spark, sf):
     sizes = fx.pernode_jobs(spark, sf).select("allocation_id", "num_nodes").distinct()
     df = job_component_summary(job_component_series(spark, sf)).join(sizes, "allocation_id")
     df = df.withColumn("class", node_class("num_nodes", fx.CUTS))
-    return tidy(dist.kde_2d(df, "class", "mean_mean_cpu_pwr", "mean_mean_gpu_pwr", _CG, _GG), density=10)
+    return tidy(densities.kde_2d(df, "class", "mean_mean_cpu_pwr", "mean_mean_gpu_pwr", _CG, _GG), density=10)
 
 
 # ---- histograms

@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings every job relies on.  Sizes stay with the cluster's own defaults.
 SETTINGS = {
@@ -86,3 +87,12 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def few(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """``df``, computed once, for joins by its key; sent to all executors if it has at most ``limit`` rows.
+
+    For tables of a row for each class, domain or error code.
+    """
+    df = settle(df)
+    return F.broadcast(df) if df.count() <= limit else df

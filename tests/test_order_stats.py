@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from nodepulse.operators import cluster, distributions, jobs, order_stats, thermal
+from nodepulse.operators import densities, cluster, distributions, jobs, order_stats, thermal
 
 
 @pytest.fixture(scope="module")
@@ -112,6 +112,37 @@ def test_student_tail_against_printed_tables(t, freedom, p):
 
 def test_density_integrates_to_one(spark):
     df = spark.range(500).selectExpr("id % 2 as k", "pow(id % 37, 1.3) as x")
-    grid = distributions.kde_1d(df, "k", "x", points=400).toPandas().sort_values("x")
+    grid = densities.kde_1d(df, "k", "x", points=400).toPandas().sort_values("x")
     for _, part in grid.groupby("k"):
         assert np.trapezoid(part["density"], part["x"]) == pytest.approx(1.0, abs=5e-3)
+
+
+def test_densities_are_the_exact_sums(spark):
+    rng = np.random.default_rng(6)
+    x = np.r_[rng.normal(0, 1, 300), rng.pareto(1.5, 300) * 3, [1e4]]
+    y = 0.9 * x + rng.normal(0, 1, len(x))
+    rows = [(int(k % 3), float(a), float(b)) for k, (a, b) in enumerate(zip(x, y, strict=True))]
+    rows += [(7, 5.0, 5.0)] * 4 + [(8, 1.0, None), (9, None, None), (None, 1.0, 2.0)]
+    df = spark.createDataFrame(rows, "k int, x double, y double")
+    line = densities.kde_1d(df, "k", "x", points=50).toPandas()
+    plane = densities.kde_2d(df, "k", "x", "y", (-3.0, 30.0, 7), (-4.0, 20.0, 6)).toPandas()
+    assert set(line["k"]) == set(plane["k"]) == {0, 1, 2}
+    for k in range(3):
+        own = np.array([(a, b) for c, a, b in rows if c == k])
+        n, h = len(own), own[:, 0].std(ddof=1) * len(own) ** -0.2
+        at = line[line["k"] == k].sort_values("i")
+        assert at["x"].to_numpy() == pytest.approx(np.linspace(own[:, 0].min() - 3 * h, own[:, 0].max() + 3 * h, 50))
+        want = np.exp(-0.5 * ((at["x"].to_numpy()[:, None] - own[:, 0]) / h) ** 2).sum(1) / (n * h * np.sqrt(2 * np.pi))
+        assert np.abs(at["density"] - want).max() < 3e-12 / (h * np.sqrt(2 * np.pi))
+        cov = np.cov(own.T) * n ** (-1 / 3)
+        grid = plane[plane["k"] == k]
+        off = grid[["x", "y"]].to_numpy()[:, None] - own[None]
+        want = np.exp(-0.5 * np.einsum("gni,ij,gnj->gn", off, np.linalg.inv(cov), off)).sum(1) / (n * 2 * np.pi * np.sqrt(np.linalg.det(cov)))
+        assert len(grid) == 42
+        assert np.abs(grid["density"] - want).max() < 2e-9 / (2 * np.pi * np.sqrt(np.linalg.det(cov)))
+
+
+def test_densities_do_not_multiply_rows(spark):
+    df = spark.range(2000).selectExpr("id % 3 as k", "cast(id % 997 as double) as x", "cast(id * id % 1009 as double) as y")
+    for made in (densities.kde_1d(df, "k", "x"), densities.kde_2d(df, "k", "x", "y", (0.0, 999.0, 9), (0.0, 999.0, 9))):
+        assert "Generate" not in made._jdf.queryExecution().optimizedPlan().toString()
