@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import sensors
+from ..session import few
 from .missing import max_present, null_count, number_or_null, sum_present, sum_strict
 
 
@@ -113,9 +114,8 @@ def lookup(df: DataFrame, dim: DataFrame, key: str, value: str, out: str) -> Dat
     """Replace a code by its description, or keep the code where there is none.
 
     ``dim`` holds one row per code; of several the smallest description counts.
-    Whether it is sent to every executor is left to Spark, which knows its size.
     """
-    pairs = dim.groupBy(key).agg(F.min(value).alias("__value"))
+    pairs = few(dim.groupBy(key).agg(F.min(value).alias("__value")))
     return df.join(pairs, key, "left").withColumn(out, F.coalesce("__value", F.col(key))).drop("__value")
 
 

@@ -17,14 +17,19 @@ from pyspark.sql import functions as F
 from ..functions import sensors
 from ..functions.places import node_location
 from ..functions.timegrid import at_times
-from .order_stats import quantiles_from_ranks, value_at_share, value_ranks, with_group_values
+from ..session import few
+from .order_stats import dealt_values, quantiles_from_ranks, ranks_of, value_at_share, value_ranks
 
 
 def box_summary(df: DataFrame, keys: list[str], col: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers (furthest values within ``reach`` IQR of the box) and extremes."""
-    ranks = value_ranks(df, keys, col)
-    box = quantiles_from_ranks(ranks, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    joined = with_group_values(ranks, keys, box)
+    dealt = dealt_values(df, keys, col)
+    # One row per group, beside each of its values.
+    box = few(quantiles_from_ranks(ranks_of(dealt, keys), keys, {"q1": 0.25, "median": 0.5, "q3": 0.75}))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"d.`{k}`").eqNullSafe(F.col(f"b.`{k}`"))
+    joined = dealt.alias("d").join(box.alias("b"), same).select("d.*", "b.q1", "b.median", "b.q3")
     iqr = F.col("q3") - F.col("q1")
     low_ok = F.col("value") >= F.col("q1") - reach * iqr
     high_ok = F.col("value") <= F.col("q3") + reach * iqr

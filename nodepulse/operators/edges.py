@@ -112,30 +112,66 @@ def edges_per_job(series: DataFrame, watts: float = EDGE_WATTS, full_size: int =
     )
 
 
-def _first_other_sign(values: np.ndarray, level: float) -> int:
-    """Position of the first value on another side of ``level`` than the first; else the length."""
-    if len(values) == 0:
-        return 0
-    side = np.sign(values[0] - level)
-    start, width = 1, 64
-    while start < len(values):
-        other = np.nonzero(np.sign(values[start : start + width] - level) != side)[0]
-        if len(other):
-            return start + int(other[0])
-        start, width = start + width, width * 2
-    return len(values)
+class RangeTable:
+    """Lowest value of each aligned stretch of a series, for finding the next low value in steps of the logarithm.
+
+    Node 1 spans the whole series, node k the two halves 2k and 2k+1; ``size`` is the number of the first leaf.
+    """
+
+    def __init__(self, values: np.ndarray):
+        self.length = len(values)
+        self.size = 1 << max(0, self.length - 1).bit_length()
+        self.lowest = np.full(2 * self.size, np.inf)
+        self.lowest[self.size : self.size + self.length] = values
+        half = self.size
+        while half > 1:
+            level = self.lowest[half : 2 * half]
+            half //= 2
+            self.lowest[half : 2 * half] = np.minimum(level[::2], level[1::2])
+
+    def next_at_most(self, start: np.ndarray, limit: np.ndarray) -> np.ndarray:
+        """First place from ``start`` on with a value of at most ``limit``, for many searches at once; else the length."""
+        node = np.where(start < self.length, start + self.size, 0)
+        open_ = np.flatnonzero((node > 0) & ~(self.lowest[node] <= limit))
+        while len(open_):
+            after = node[open_] + 1
+            after //= after & -after  # the largest stretch that begins there
+            after[after == 1] = 0  # past the end
+            node[open_] = after
+            open_ = open_[(after > 0) & ~(self.lowest[after] <= limit[open_])]
+        inner = np.flatnonzero((node > 0) & (node < self.size))
+        while len(inner):
+            left = 2 * node[inner]
+            node[inner] = left + ~(self.lowest[left] <= limit[inner])
+            inner = inner[node[inner] < self.size]
+        return np.where(node > 0, node - self.size, self.length)
 
 
 def _lengths(power: np.ndarray, edges_at, share: float) -> list[int]:
-    """Duration of each edge of one job, in ticks."""
-    begin = power[:-1]
-    lengths = []
-    for i in edges_at:
-        later = begin[i + 1 :]
-        ticks = _first_other_sign(later, share * begin[i])
-        # A crossing at position p ends the stretch after p ticks; no crossing adds one.
-        lengths.append(ticks + 1 if ticks == len(later) else ticks)
-    return lengths
+    """Duration of each edge of one job, in ticks.
+
+    The search is for the first value on another side of the level (above, at or
+    below it) than the first value after the edge.
+    """
+    begin, at = power[:-1], np.asarray(edges_at, np.int64)
+    if not len(begin):
+        return [1] * len(at)
+    level, start = share * begin[at], at + 1
+    later = len(begin) - start
+    first = np.where(later > 0, begin[np.minimum(start, len(begin) - 1)], level)
+    side = np.sign(first - level)
+    # A missing value is on no side.
+    low = RangeTable(np.where(np.isnan(begin), -np.inf, begin))
+    high = RangeTable(np.where(np.isnan(begin), -np.inf, -begin))
+    down = np.where(side == 0, np.nextafter(level, -np.inf), level)
+    up = np.where(side == 0, np.nextafter(-level, -np.inf), -level)
+    below = low.next_at_most(np.where(side >= 0, start + 1, len(begin)), down)
+    above = high.next_at_most(np.where(side <= 0, start + 1, len(begin)), up)
+    found = np.minimum(below, above)
+    found = np.where(np.isnan(side), np.minimum(start + 1, len(begin)), found)
+    ticks = np.where(later > 0, found - start, 0)
+    # A crossing at position p ends the stretch after p ticks; no crossing adds one.
+    return np.where(ticks == np.maximum(later, 0), ticks + 1, ticks).tolist()
 
 
 def _as_arrays(ticks: DataFrame, cols: list[str]) -> DataFrame:
@@ -159,7 +195,9 @@ def edge_durations(
 
     The search ends one tick before the job's last.  Each edge looks for its own
     level, which no window frame can do, so the search runs in numpy: on arrays,
-    many jobs to a call, and only for jobs that have an edge.
+    many jobs to a call, and only for jobs that have an edge.  All edges of a job
+    search together in a table of ranges, in time of the job's ticks plus the
+    edges times their logarithm.
     """
     marked = mark_edges(clean_jobs(number_ticks(series, cuts=cuts)), watts, full_size)
     mark = F.when(F.col("starts"), F.col("direction")).otherwise(0)

@@ -9,7 +9,7 @@ from ..functions import sensors
 from ..functions.derive import from_map, pick_by_index, valid_intervals
 from ..functions.places import node_location, nvlink_id, pci_address
 from ..functions.timegrid import round_to
-from ..session import settle
+from ..session import few, settle
 from .intervals import exactly_one, jobs_at
 from .jobs import with_job_size
 
@@ -38,7 +38,7 @@ def frequent_xids(failures: DataFrame, at_least: int) -> DataFrame:
 
 def of_frequent_xids(failures: DataFrame, at_least: int) -> DataFrame:
     """Failures whose code is frequent."""
-    return failures.join(frequent_xids(failures, at_least).select("xid"), "xid", "left_semi")
+    return failures.join(few(frequent_xids(failures, at_least).select("xid")), "xid", "left_semi")
 
 
 def node_pci_sets(failures: DataFrame) -> DataFrame:

@@ -51,20 +51,29 @@ def _same(keys: list[str], left: str, right: str) -> Column:
     return condition
 
 
+def dealt_values(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """How often each value occurs in its group (``n``), dealt out by ranges of (keys, value), ``__part`` each.
+
+    Settled: which range is which partition is decided once, and the input is
+    computed once however often the values are read.
+    """
+    x = df.select(*keys, F.col(col).cast("double").alias("value")).filter(F.col("value").isNotNull())
+    counts = x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+    return settle(counts.repartitionByRange(*keys, "value").withColumn("__part", F.spark_partition_id()))
+
+
 def value_ranks(df: DataFrame, keys: list[str], col: str) -> DataFrame:
+    """:func:`ranks_of` the values of a column."""
+    return ranks_of(dealt_values(df, keys, col), keys)
+
+
+def ranks_of(dealt: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct values per group with their place in the sorted group.
 
     Result columns: ``keys``, ``value``, ``n`` (rows with this value), ``before``
     (rows below it), ``total`` (rows in the group) and ``__part``, the range
     partition.  Missing values take no rank.
-
-    The dealt counts are settled: which range is which partition is decided
-    once, and the input is computed once however often the ranks are read.
     """
-    x = df.select(*keys, F.col(col).cast("double").alias("value")).filter(F.col("value").isNotNull())
-    counts = x.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-    dealt = settle(counts.repartitionByRange(*keys, "value").withColumn("__part", F.spark_partition_id()))
-
     # One row per group and part.
     totals = dealt.groupBy(*keys, "__part").agg(F.sum("n").alias("__rows"))
     in_order = Window.partitionBy(*keys).orderBy("__part")
@@ -80,21 +89,6 @@ def value_ranks(df: DataFrame, keys: list[str], col: str) -> DataFrame:
     return joined.select(*keys, "value", "n", (F.col("__offset") + below).alias("before"), "total", "__part")
 
 
-def with_group_values(ranks: DataFrame, keys: list[str], found: DataFrame) -> DataFrame:
-    """Ranks with the columns of ``found`` (one row per group), joined on group and part.
-
-    ``found`` is first written once for each part of its group, so the ranks are
-    not dealt out by the group alone.
-    """
-    parts = ranks.select(*keys, "__part").distinct()
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & F.col(f"p.`{k}`").eqNullSafe(F.col(f"f.`{k}`"))
-    new = [c for c in found.columns if c not in keys]
-    spread = parts.alias("p").join(found.alias("f"), condition).select("p.*", *[f"f.`{c}`" for c in new])
-    return ranks.alias("r").join(spread.alias("s"), _same(keys, "r", "s")).select("r.*", *[f"s.`{c}`" for c in new])
-
-
 def quantiles_from_ranks(ranks: DataFrame, keys: list[str], probs: dict[str, float]) -> DataFrame:
     """Interpolated quantiles, one column per entry of ``probs``."""
     aggs = []

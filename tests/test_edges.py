@@ -1,5 +1,9 @@
+import time
+
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from nodepulse.operators import edges, segments
 
@@ -110,3 +114,47 @@ def test_segments_of_a_day(spark):
         assert sorted({r.edge_index for r in collected if r.type == kind}) == want[kind]
     assert len(collected) == 10 * sum(map(len, want.values()))
     assert all(r.sum_inp == power[r.edge_index - 3 + r.offset] for r in collected)
+
+
+def scanned_lengths(power, edges_at, share):
+    """Durations by looking at all later values."""
+    begin, out = power[:-1], []
+    for i in edges_at:
+        later = begin[i + 1 :]
+        sides = [0 if len(later) == 0 else None]
+        if len(later):
+            sides = np.sign(later - share * begin[i])
+            other = [k for k in range(1, len(later)) if not sides[k] == sides[0]]
+        ticks = 0 if not len(later) else (other[0] if other else len(later))
+        out.append(ticks + 1 if ticks == len(later) else ticks)
+    return out
+
+
+@given(st.integers(0, 2**32 - 1), st.integers(2, 90))
+@settings(max_examples=200, deadline=None)
+def test_range_table_equals_the_scan(seed, n):
+    rng = np.random.default_rng(seed)
+    power = rng.integers(0, 12, n).astype(float) * rng.choice([1.0, 0.8, 10.0])
+    if seed % 5 == 0:
+        power[rng.integers(0, n, 3)] = np.nan
+    edges_at = np.sort(rng.choice(n - 1, rng.integers(0, n), replace=True))
+    share = float(rng.choice([0.8, 1.0, 0.5]))
+    assert edges._lengths(power, edges_at, share) == scanned_lengths(power, edges_at, share)
+
+
+def test_long_job_with_many_edges():
+    rng = np.random.default_rng(1)
+    power = 1e6 + np.cumsum(rng.normal(0, 10, 1_000_000))
+    edges_at = np.sort(rng.choice(999_990, 50_000, replace=False))
+    start = time.perf_counter()
+    got = edges._lengths(power, edges_at, 0.9999)
+    assert time.perf_counter() - start < 5
+    some = rng.choice(50_000, 20)
+    assert [got[k] for k in some] == [scanned_lengths_fast(power, edges_at[k], 0.9999) for k in some]
+
+
+def scanned_lengths_fast(power, i, share):
+    later = power[i + 1 : -1]
+    side = np.sign(later - share * power[i])
+    other = np.flatnonzero(side[1:] != side[0])
+    return int(other[0]) + 1 if len(other) else len(later) + 1
