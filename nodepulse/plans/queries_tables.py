@@ -45,7 +45,7 @@ def day_window(spark, sf):
     where d not in (date '2024-01-03', date '2024-01-20') order by d limit 25""",
 )
 def available_days(spark, sf):
-    table = readers.read_table(spark, stored_readings(spark, sf, "days"), ["date"])
+    table = readers.day_files(spark, stored_readings(spark, sf, "days"))
     skip = F.col("date").isin("2024-01-03", "2024-01-20")
     return readers.available_days(table, skip, 25).select(F.col("date").cast("string"))
 
@@ -167,9 +167,49 @@ def corrupt_files_skipped(spark, sf):
 )
 def pending_days(spark, sf):
     """Days whose output is not there yet."""
-    table = readers.read_table(spark, stored_readings(spark, sf, "source"), ["date", "event_id"])
-    done = table.filter(F.col("date") < F.lit("2024-01-19").cast("date"))
-    return writers.pending_days(table, done).select(F.col("date").cast("string"))
+    source, target = stored_readings(spark, sf, "source"), scratch_path(spark, "target")
+    rows = readers.read_table(spark, source, ["timestamp", "event_id", "date"])
+    writers.write_finished(rows.filter("date < date'2024-01-19'"), target)
+    return writers.pending_days(readers.day_files(spark, source), writers.finished_days(spark, target)).select(F.col("date").cast("string"))
+
+
+@query(
+    "half_written_days_pending",
+    """select cast(d as varchar) as date, count(*) as rows from (select cast(ts as date) as d from events) x
+    where d >= date '2024-01-25' or d in (date '2024-01-05', date '2024-01-10') group by 1""",
+)
+def half_written_days_pending(spark, sf):
+    """A day without a mark and one that was written to after its mark are to do again, and then are done but for the last week."""
+    source, target = stored_readings(spark, sf, "source"), scratch_path(spark, "target")
+    rows = readers.read_table(spark, source, ["timestamp", "event_id", "date"])
+    writers.write_finished(rows.filter("date < date'2024-01-25' and date <> date'2024-01-05'"), target)
+    broken = rows.filter("event_id % 2 = 0 and date in (date'2024-01-05', date'2024-01-10')")
+    broken.write.mode("append").partitionBy("date").parquet(target)
+    left = writers.pending_days(readers.day_files(spark, source), writers.finished_days(spark, target))
+    todo = rows.join(left, "date")
+    writers.write_finished(todo.filter("date < date'2024-01-25'"), target)
+    after = writers.pending_days(readers.day_files(spark, source), writers.finished_days(spark, target))
+    again = readers.read_table(spark, target, ["date"]).filter("date in (date'2024-01-05', date'2024-01-10')")
+    days = again.unionByName(rows.join(after, "date").select("date"))
+    return days.groupBy(F.col("date").cast("string").alias("date")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "corrupt_files",
+    "select event_type as kind, cast(2 as bigint) as files, cast(sum(octet_length(encode(cast(event_id as varchar))) + 1) as bigint) as bytes from events group by 1",
+)
+def corrupt_files(spark, sf):
+    """Two damaged files beside one sound one for each kind of event: which ones are passed over, and their bytes."""
+    path = scratch_path(spark, "damaged")
+    rows = fx.events(spark, sf).select("event_type", "event_id", F.col("ts").alias("timestamp"))
+    rows.repartition(1, "event_type").write.partitionBy("event_type").parquet(path)
+    for half in (0, 1):
+        text = rows.filter(f"event_id % 2 = {half}").select("event_type", F.col("event_id").cast("string"))
+        text.repartition(1).write.mode("append").partitionBy("event_type").text(path)
+    schema = T.StructType.fromDDL("event_id bigint, timestamp timestamp, event_type string")
+    found = readers.corrupt_files(spark, path, schema)
+    kind = F.regexp_extract("path", "event_type=([a-z]+)", 1).alias("kind")
+    return found.groupBy(kind).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
 
 
 @query(

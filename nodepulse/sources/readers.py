@@ -6,8 +6,12 @@ next to the time column, as only the partition column prunes directories.
 
 from __future__ import annotations
 
+import io
 from datetime import date, timedelta
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +20,10 @@ from ..functions.missing import nan_to_null
 from ..functions.timegrid import as_timestamp, seconds_of
 
 
+#: No parquet file without rows is larger.
+EMPTY_BYTES = 1 << 20
+
+
 def _day(day: str | date) -> date:
     return day if isinstance(day, date) else date.fromisoformat(day)
 
@@ -49,8 +57,52 @@ def day_window(df: DataFrame, day: str | date, previous: int = 1, following: int
     return df.filter(F.col("date").between(F.lit(first), F.lit(last)))
 
 
+def day_files(spark: SparkSession, path: str) -> DataFrame:
+    """Days of a stored table with the number of their files and bytes, from the list of files alone.
+
+    No file is opened: a file's name has its day, and its content is not asked for.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return files.groupBy("date").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def corrupt_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Files (path, length) of a table that :func:`read_table` passes over, as they cannot be read.
+
+    These are the listed files that no row comes from, but for sound ones
+    without rows.  A file of no bytes is no file to Spark; one that breaks off
+    inside gives the rows before and is not named.
+    """
+    listed = spark.read.format("binaryFile").load(path)
+    seen = spark.read.option("ignoreCorruptFiles", "true").schema(schema).parquet(path)
+    # The two sources spell local names differently after the scheme.
+    name = lambda c: F.regexp_replace(F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), "^file:/+", "file:/")
+    seen = seen.select(name(F.col("_metadata.file_path")).alias("file")).distinct()
+    silent = listed.withColumn("file", name(F.col("path"))).join(seen, "file", "left_anti")
+
+    @F.pandas_udf("boolean")
+    def sound(contents: pd.Series) -> pd.Series:
+        return contents.map(_is_parquet)
+
+    # A sound file without rows is little more than its schema; larger ones need no look inside.
+    small = F.when(F.col("length") <= EMPTY_BYTES, F.col("content"))
+    return silent.where(~sound(small)).select("path", "length")
+
+
+def _is_parquet(content: bytes | None) -> bool:
+    if content is None:
+        return False
+    try:
+        return pq.read_metadata(io.BytesIO(content)) is not None
+    except (pa.ArrowInvalid, OSError):
+        return False
+
+
 def available_days(df: DataFrame, skip: Column | None = None, first_n: int | None = None) -> DataFrame:
-    """Days that have rows, in order, without those to skip; ``first_n`` ends the list early."""
+    """Days that have rows, in order, without those to skip; ``first_n`` ends the list early.
+
+    ``df`` is any table with ``date``; :func:`day_files` gives one without reading the data.
+    """
     days = df.select("date").distinct()
     days = days if skip is None else days.filter(~skip)
     days = days.orderBy("date")

@@ -114,3 +114,54 @@ def test_stream_equals_batch_for_closed_bins(spark, tmp_path):
     assert out.select(batch.columns).orderBy(*key).collect() == batch.orderBy(*key).collect()
     again = node_stream.run_to_table(spark, build, str(tmp_path / "out"), str(tmp_path / "state"))
     assert again.count() == out.count()
+
+
+def plant_days(spark, path):
+    df = writers.with_date(minutes(spark))
+    writers.write_finished(df.filter("date <> '2020-01-03'"), path)
+    return df
+
+
+def test_day_lists_open_no_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    plant_days(spark, path)
+    for day in ("2020-01-01", "2020-01-02"):
+        for name in os.listdir(os.path.join(path, f"date={day}")):
+            if name.endswith(".parquet"):
+                size = os.path.getsize(os.path.join(path, f"date={day}", name))
+                os.remove(os.path.join(path, f"date={day}", f".{name}.crc"))
+                with open(os.path.join(path, f"date={day}", name), "wb") as f:
+                    f.write(b"x" * size)  # no reader of parquet can open it now
+    days = readers.day_files(spark, path)
+    assert "ReadSchema: struct<length:bigint>" in days._jdf.queryExecution().executedPlan().toString()
+    assert [str(r.date) for r in readers.available_days(days).collect()] == ["2020-01-01", "2020-01-02"]
+    assert sorted(str(r.date) for r in writers.finished_days(spark, path).collect()) == ["2020-01-01", "2020-01-02"]
+
+
+def test_only_marked_days_are_finished(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert writers.finished_days(spark, path).count() == 0
+    df = plant_days(spark, path)
+    finished = lambda: sorted(str(r.date) for r in writers.finished_days(spark, path).collect())
+    df.filter("date = '2020-01-03'").limit(5).write.mode("append").partitionBy("date").parquet(path)
+    assert finished() == ["2020-01-01", "2020-01-02"]
+    df.filter("date = '2020-01-02'").limit(5).write.mode("append").partitionBy("date").parquet(path)
+    assert finished() == ["2020-01-01"]
+    writers.write_finished(df.filter("date > '2020-01-01'"), path)
+    assert finished() == ["2020-01-01", "2020-01-02", "2020-01-03"]
+    assert spark.read.parquet(path).count() == 3000
+    writers.write_finished(df.limit(0), path)
+    assert len(finished()) == 3
+
+
+def test_corrupt_files_are_named(spark, tmp_path):
+    path = str(tmp_path / "t with space+plus")
+    df = minutes(spark)
+    df.repartition(3).write.parquet(path)
+    df.limit(0).coalesce(1).write.mode("append").parquet(path)
+    assert readers.corrupt_files(spark, path, df.schema).count() == 0
+    for name, content in (("a b.parquet", b"not parquet"), ("c.parquet", b""), ("d.parquet", b"PAR1" + b"x" * (2 << 20))):
+        with open(os.path.join(path, name), "wb") as f:
+            f.write(content)
+    got = {os.path.basename(r.path).replace("%20", " "): r.length for r in readers.corrupt_files(spark, path, df.schema).collect()}
+    assert got == {"a b.parquet": 11, "d.parquet": (2 << 20) + 4}
