@@ -12,6 +12,7 @@ from ..functions.timegrid import round_to
 from ..session import few, settle
 from .intervals import exactly_one, jobs_at
 from .jobs import with_job_size
+from .thermal import comptype_stats
 
 
 def failure_name(xid: Column | str) -> Column:
@@ -154,7 +155,6 @@ def failure_zscores(
     failures: DataFrame,
     nodes: DataFrame,
     pernode: DataFrame,
-    job_stats: DataFrame,
     resolution: str = "10 seconds",
     id_col: str = "event_id",
     exact_time: str = "exact",
@@ -168,6 +168,10 @@ def failure_zscores(
     Every failure is kept.  A step that finds no match, or more than one, leaves
     its columns and all later ones missing; so does a job with more than
     ``max_missing`` of its sensors silent, for the z-score.
+
+    The failures' jobs are found first.  A tick and a job then name the readings
+    that are wanted, so that readings are only filtered by ticks and joined by
+    (tick, host): no job's statistics are made but those of a failure.
     """
     temps = temps or sensors.mean_of(sensors.GPU_CORE_TEMPS)
     base = failures.withColumn("timestamp", round_to(exact_time, resolution))
@@ -183,7 +187,16 @@ def failure_zscores(
     job = exactly_one(jobs_at(hot, pernode, exact_time, bucket).select(id_col, "allocation_id"), [id_col])
     with_job = with_temp.join(job, id_col, "left")
 
-    of_job = job_stats.select(
+    with_job = settle(with_job)
+
+    wanted = with_job.select("timestamp", "allocation_id").dropna().distinct()
+    runs = pernode.groupBy("allocation_id", "node_name").agg(F.min("begin_time").alias("__b"), F.max("end_time").alias("__e"))
+    on = wanted.join(runs, "allocation_id")
+    on = on.where(F.col("timestamp").between(round_to("__b", resolution), round_to("__e", resolution)))
+    on = on.select("timestamp", F.col("node_name").alias("hostname"), "allocation_id")
+    at_ticks = nodes.select("timestamp", "hostname", *temps).join(few(wanted.select("timestamp").distinct()), "timestamp", "left_semi")
+    stats = comptype_stats(at_ticks.join(on, ["timestamp", "hostname"]), ["timestamp", "allocation_id"], {"gpu_core": temps})
+    of_job = stats.select(
         "timestamp",
         "allocation_id",
         F.col("gpu_core_mean").alias("mean"),

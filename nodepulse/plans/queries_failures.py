@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from ..functions import sensors
 from ..functions.derive import compute_nodes_only
-from ..functions.timegrid import round_to
 from ..operators import distributions as dist
 from ..operators import failures as fl
 from ..operators import reshape
 from . import fixtures as fx
-from .queries_jobs import JOB_COMPTYPE_CTES, comptype_sql, job_comptypes
+from .queries_jobs import JOB_COMPTYPE_CTES, comptype_sql
 from .registry import check_sql, query, tidy
 
 _BASE = (fx.NODE_SQL, fx.FAILURES_SQL)
@@ -232,16 +231,8 @@ matched as (select f.event_id, min(p.allocation_id) as allocation_id from at_hou
     ),
 )
 def failure_zscores(spark, sf):
-    found = failures(spark, sf)
-    # Statistics are wanted at the ticks of failures only.
-    ticks = found.select(round_to("exact", fx.HOUR).alias("timestamp")).distinct()
-    df = fl.failure_zscores(
-        found,
-        fx.nodes(spark, sf, sensors.GPU_CORE_TEMPS),
-        fx.pernode_jobs(spark, sf),
-        job_comptypes(spark, sf, ("gpu_core",), ticks),
-        fx.HOUR,
-    )
+    nodes = fx.nodes(spark, sf, sensors.GPU_CORE_TEMPS)
+    df = fl.failure_zscores(failures(spark, sf), nodes, fx.pernode_jobs(spark, sf), fx.HOUR)
     return tidy(df.select("event_id", "xid", "temp", F.col("allocation_id").cast("double"), "mean", "std", "z"))
 
 

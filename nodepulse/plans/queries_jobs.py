@@ -411,16 +411,11 @@ def comptype_cluster(spark, sf):
 JOB_COMPTYPE_CTES = (fx.NODES_SQL, fx.PERNODE_SQL, TICKS_SQL, TICKED_SQL, long_sql("ticked", "timestamp, allocation_id"))
 
 
-def job_comptypes(spark, sf, kinds=None, at=None):
-    """Component statistics of jobs, only at the ticks of ``at`` (timestamp) where that is given."""
-    groups = {k: v for k, v in fx.COMPTYPES.items() if kinds is None or k in kinds}
-    values = [c.removesuffix("_mean") for cols in groups.values() for c in cols]
-    pernode = fx.pernode_jobs(spark, sf)
-    nodes = fx.nodes(spark, sf, values)
-    if at is not None:
-        nodes = nodes.join(at, ["timestamp"], "left_semi")
+def job_comptypes(spark, sf):
+    """Component statistics of jobs."""
+    nodes, pernode = fx.nodes(spark, sf, COMPTYPE_SENSORS), fx.pernode_jobs(spark, sf)
     joined = intervals.join_jobs_by_time(nodes, pernode, fx.HOUR, "6 hours", ends="nearest")
-    return thermal.comptype_stats(joined, ["timestamp", "allocation_id"], groups)
+    return thermal.comptype_stats(joined, ["timestamp", "allocation_id"], fx.COMPTYPES)
 
 
 @query("comptype_job", check_sql(comptype_sql("timestamp, allocation_id"), *JOB_COMPTYPE_CTES, doubles=COMPTYPE_DOUBLES))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from nodepulse.operators import facility, failures, thermal
 
@@ -40,17 +41,31 @@ def test_component_types_ignore_missing_readings(spark):
     assert (row.y_size, row.y_count, row.y_std) == (2, 1, None)
 
 
-def test_zscore_rules(spark):
+def test_zscore_rules(spark, monkeypatch):
     base = "timestamp'2020-01-01 00:00:10' as exact"
     fails = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "event_id bigint, hostname string").selectExpr("*", "0 as gpu", base)
-    nodes = spark.createDataFrame([("a", 70.0), ("b", 70.0), ("c", None)], "hostname string, t0 double").selectExpr("*", "timestamp'2020-01-01 00:00:10' as timestamp")
-    pernode = spark.createDataFrame([(1, "a"), (2, "b")], "allocation_id bigint, node_name string").selectExpr(
+    silent = [(f"s{k}", None) for k in range(3)]
+    temps = [("a", 70.0), ("x", 60.0), ("y", 50.0), ("b", 70.0), ("c", None), ("f", 99.0), *silent, *[(f"t{k}", 60.0) for k in range(6)]]
+    nodes = spark.createDataFrame(temps, "hostname string, t0 double").selectExpr("*", "timestamp'2020-01-01 00:00:10' as timestamp")
+    later = nodes.withColumn("timestamp", nodes.timestamp + F.expr("interval 10 seconds"))
+    nodes = nodes.unionByName(later)
+    members = [(1, "a"), (1, "x"), (1, "y"), (1, "y"), (2, "b"), (3, "f"), *[(2, h) for h, _ in temps if h[0] in "st"]]
+    pernode = spark.createDataFrame(members, "allocation_id bigint, node_name string").selectExpr(
         "*", "timestamp'2020-01-01 00:00:00' as begin_time", "timestamp'2020-01-01 00:00:10' as end_time"
     )
-    stats = spark.createDataFrame([(1, 60.0, 5.0, 9, 10), (2, 60.0, 5.0, 7, 10)], "allocation_id bigint, gpu_core_mean double, gpu_core_std double, gpu_core_count bigint, gpu_core_size bigint")
-    stats = stats.selectExpr("*", "timestamp'2020-01-01 00:00:10' as timestamp")
-    got = {r.event_id: (r.temp, r.allocation_id, r.z) for r in failures.failure_zscores(fails, nodes, pernode, stats, temps=["t0"]).collect()}
-    assert got == {1: (70.0, 1, 2.0), 2: (70.0, 2, None), 3: (None, None, None), 4: (None, None, None)}
+    # This node's part of the job ended before the failure's tick.
+    pernode = pernode.unionByName(spark.sql("select 1L as allocation_id, 'f' as node_name, timestamp'2019-12-31' as begin_time, timestamp'2020-01-01' as end_time"))
+    groups = []
+    whole = failures.comptype_stats
+
+    def watched(rows, keys, kinds):
+        groups.extend(tuple(r) for r in rows.select("allocation_id", "hostname").collect())
+        return whole(rows, keys, kinds)
+
+    monkeypatch.setattr(failures, "comptype_stats", watched)
+    got = {r.event_id: (r.temp, r.allocation_id, r.z) for r in failures.failure_zscores(fails, nodes, pernode, temps=["t0"]).collect()}
+    assert got == {1: (70.0, 1, 1.0), 2: (70.0, 2, None), 3: (None, None, None), 4: (None, None, None)}
+    assert sorted(groups) == sorted({(j, h) for j, h in members if j != 3})
 
 
 def test_modal_set_breaks_ties_by_order(spark):
