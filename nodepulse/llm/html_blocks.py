@@ -2,19 +2,24 @@
 
 A page is cut into its leaf blocks: runs of text that no block-level tag
 interrupts.  A block is described by the tags, classes and ids on its path, by
-hashed words, its length, the share of it inside links and its place.  A
+all its words, hashed, its length, the share of it inside links, its place, and
+the part of the page's text that has the same path.  A
 bidirectional LSTM reads the page's blocks in order and gives each the
 probability of being main text, so that a block is judged with the whole page.
 
-There are no labels, so the network learns from pages on which names speak for
-themselves: blocks below an article, less those below menus, headers, footers,
-sidebars, notices, adverts, forms and comments.  Each page is also shown with
-such parts put in at random places, and with its article under another name.
-Training takes at most ``sample`` pages of any length, drawn by a hash of their id
-and url.  A page is cut into at most ``WINDOWS`` stretches, and of each a run of at
-most ``BLOCKS`` blocks at a hashed place teaches, with its place in the page.
-Extraction reads all pages, whole.  Where no drawn page has a block there is nothing
-to learn, and blocks are judged by the names on their paths alone.
+There are no labels.  Pages on which names speak for themselves have them by a
+rule: blocks below an article, less those below menus, headers, footers, sidebars,
+notices, adverts, forms and comments.  From the texts of such blocks other pages
+are built for training: the article below a name that was never seen, below one
+of the usual names or none, with headings, lists, tables and quotations; around
+and inside it menus, link lists, notices, comments and so on, most of them without their names
+too.  So length, links, words, neighbours and a block's part of the whole page have to carry the decision
+where names do not.  Training takes at most ``sample`` pages of any length, drawn
+by a hash of their id and url.  A page is cut into at most ``WINDOWS`` stretches,
+and of each a run of at most ``BLOCKS`` blocks at a hashed place teaches, as it is
+and as ``BUILT`` pages.  Extraction reads all pages, whole.  Where no drawn page
+has a text there is nothing to learn, and blocks are judged by the names on their
+paths alone.
 
 Cases: a null or empty page, and one without text, has an empty text; unclosed
 and misplaced tags are read as browsers do in the common cases (a paragraph ends
@@ -39,8 +44,9 @@ from pyspark.sql import functions as F
 
 from nodepulse.llm.common import share_of, with_text_columns
 
-#: Training sequences of a page, blocks of one, hashed path and word inputs, cells of each direction.
-WINDOWS, BLOCKS, PATH, WORDS, CELLS = 4, 64, 128, 16, 16
+#: Training sequences of a page, blocks of one, pages built from one, hashed path and word inputs, numbers, cells of
+#: each direction.
+WINDOWS, BLOCKS, BUILT, PATH, WORDS, NUMBERS, CELLS = 4, 64, 4, 160, 40, 17, 16
 
 # Tags that end a block, that hold no text, and that have no end.
 BLOCK_TAGS = frozenset(
@@ -50,12 +56,14 @@ BLOCK_TAGS = frozenset(
 )
 SILENT_TAGS = ("script", "style", "noscript", "template", "textarea", "svg", "iframe", "object")
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-# Names of parts that are not main text, and of those that hold it.
-SIDE_NAMES = frozenset(
-    """ad ads advert adverts advertisement aside banner breadcrumb breadcrumbs button comment comments cookie cookies consent
-    dialog footer form head header label menu modal nav navbar navigation newsletter notice option pagination popup promo
-    related replies respond select share sidebar social sponsor sponsored subscribe tags title toolbar widget""".split()
-)
+# Beginnings of names of parts that are not main text, such names as a whole, and names that may belong to
+# parts of an article too.
+SIDE_STARTS = (
+    "advert", "breadcrumb", "comment", "consent", "cookie", "disqus", "footer", "gdpr", "masthead", "modal", "navbar", "navigation",
+    "newsletter", "pagination", "popup", "promo", "recommend", "related", "replies", "sidebar", "social", "sponsor", "subscribe",
+)
+SIDE_NAMES = frozenset("ad ads alert aside banner button complementary contentinfo dialog footer form menu nav notice option respond select toolbar widget".split())
+EITHER_NAMES = frozenset("bottom head header label share tags title top".split())
 MAIN_NAMES = ("article", "main")
 #: A tag by which an open one of the same kind ends.
 _ENDS = {"p": ("p",), "li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "option": ("option",), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
@@ -140,36 +148,82 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
+def told(path: tuple[str, ...]) -> tuple[bool, bool, bool]:
+    """Whether a path has a name of articles, one of other parts, and one that may be either."""
+    return (
+        any(n in MAIN_NAMES for n in path),
+        any(n in SIDE_NAMES or n.startswith(SIDE_STARTS) for n in path),
+        any(n in EITHER_NAMES for n in path),
+    )
+
+
 def taught(blocks: list[Block]) -> np.ndarray:
     """Which blocks are main text, by the names on their paths."""
-    side = np.array([any(n in SIDE_NAMES for n in b.path) for b in blocks], bool)
-    inside = np.array([any(n in MAIN_NAMES for n in b.path) for b in blocks], bool)
-    return ~side & (inside if inside.any() else True)
+    says = [told(b.path) for b in blocks]
+    spoken = any(inside for inside, _, _ in says)
+    # A heading or a list of an article may have a name of either kind; outside, or where it is all links, it is none.
+    return np.array(
+        [
+            (inside or not spoken) and not side and not (either and (not inside or 2 * b.linked > len(b.text)))
+            for b, (inside, side, either) in zip(blocks, says, strict=True)
+        ],
+        bool,
+    )
 
 
 def _hash(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "replace"))
 
 
-def inputs(blocks: list[Block], first: int = 0, total: int | None = None) -> np.ndarray:
-    """Input vectors of a page's blocks, or of a run of them from number ``first`` of ``total``."""
-    total = total or len(blocks)
-    x = np.zeros((len(blocks), PATH + WORDS + 5), np.float32)
-    known: dict[tuple[str, ...], np.ndarray] = {}
+def _path_inputs(path: tuple[str, ...]) -> np.ndarray:
+    """Hashed names of a path, their beginnings, its neighbouring pairs and its last name."""
+    row = np.zeros(PATH, np.float32)
+    marks = {*path, *[f"^{n[:5]}" for n in path if len(n) > 5], *[f"{a}>{b}" for a, b in zip(path, path[1:], strict=False)], f"${path[-1] if path else ''}"}
+    for mark in marks:
+        h = _hash(mark)
+        row[h % PATH] += 1 if h >> 16 & 1 else -1
+        row[(h >> 8) % PATH] += 1 if h >> 17 & 1 else -1
+    return row
+
+
+def inputs(blocks: list[Block]) -> np.ndarray:
+    """Input vectors of a page's blocks."""
+    total = len(blocks)
+    x = np.zeros((total, PATH + WORDS + NUMBERS), np.float32)
+    paths: dict[tuple[str, ...], np.ndarray] = {}
+    said, around, count = {}, {}, {}
+    for b in blocks:
+        plain = len(b.text) - b.linked
+        said[b.path] = said.get(b.path, 0) + plain
+        around[b.path[:-1]] = around.get(b.path[:-1], 0) + plain
+        count[b.path] = count.get(b.path, 0) + 1
+    whole = 1 + sum(said.values())
+    says = {path: told(path) for path in said}
     for k, b in enumerate(blocks):
-        if b.path not in known:
-            row = np.zeros(PATH, np.float32)
-            for name in set(b.path):
-                h = _hash(name)
-                row[h % PATH] += 1 if h >> 16 & 1 else -1
-                row[(h >> 8) % PATH] += 1 if h >> 17 & 1 else -1
-            known[b.path] = row
-        x[k, :PATH] = known[b.path]
-        words = b.text[:200].split()[:12]  # a glance at the words; the text itself is kept whole
-        for w in words:
-            h = _hash(w.lower())
-            x[k, PATH + h % WORDS] += (1 if h >> 16 & 1 else -1) / len(words)
-        x[k, PATH + WORDS :] = (np.log1p(len(b.text)) / 6, b.linked / len(b.text), (first + k) / total, first + k == 0, b.text[-1] in ".!?")
+        if b.path not in paths:
+            paths[b.path] = _path_inputs(b.path)
+        x[k, :PATH] = paths[b.path]
+        words = b.text.lower().split()
+        h = np.fromiter(map(_hash, words), np.int64, len(words))
+        x[k, PATH : PATH + WORDS] = np.bincount(h % WORDS, np.where(h >> 16 & 1, 1.0, -1.0), WORDS) / len(words)
+        stops = sum(w[-1] in ".!?" for w in words)
+        x[k, PATH + WORDS :] = (
+            *says[b.path],
+            np.log1p(len(b.text)) / 6,
+            b.linked / len(b.text),
+            k / total,
+            k == 0,
+            b.text[-1] in ".!?",
+            min(stops, 8) / 4,
+            len(b.path) / 10,
+            k > 0 and blocks[k - 1].path == b.path,
+            k + 1 < total and blocks[k + 1].path == b.path,
+            said[b.path] / whole,
+            around[b.path[:-1]] / whole,
+            np.log1p(said[b.path] / count[b.path]) / 6,
+            sum(c.isdigit() for c in b.text) / len(b.text),
+            bool(b.path) and b.path[-1] in ("h1", "h2", "h3", "h4", "h5", "h6"),
+        )
     return x
 
 
@@ -181,7 +235,7 @@ class BlockLabeller:
     """A bidirectional LSTM over blocks; both directions have weights of their own."""
 
     def __init__(self, seed: int = 7):
-        rng, n, h = np.random.default_rng(seed), PATH + WORDS + 5, CELLS
+        rng, n, h = np.random.default_rng(seed), PATH + WORDS + NUMBERS, CELLS
         self.w = {}
         for way in ("f", "b"):
             self.w[f"x{way}"] = rng.normal(0, 0.15, (n, 4 * h))
@@ -232,8 +286,10 @@ class BlockLabeller:
         both = np.concatenate([self._run("f", x, mask), self._run("b", x, mask)], 2)
         return _sigmoid(both @ self.w["o"] + x @ self.w["s"] + self.w["k"])
 
-    def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], rounds: int = 14, batch: int = 32) -> None:
-        """Learn from (inputs, labels) of pages, by Adam on the log-loss."""
+    def fit(self, pages: list[tuple[np.ndarray, np.ndarray]], steps: int = 900, batch: int = 32) -> None:
+        """Learn from (inputs, labels) of pages, by about ``steps`` steps of Adam on the log-loss."""
+        rounds = -(-steps // max(1, len(pages) // batch))
+        last = rounds * max(1, len(pages) // batch)
         mean, square, step = {k: 0 * v for k, v in self.w.items()}, {k: 0 * v for k, v in self.w.items()}, 0
         order = np.random.default_rng(3)
         for _ in range(rounds):
@@ -250,11 +306,12 @@ class BlockLabeller:
                 for n, way in enumerate("fb"):
                     self._back(way, x, mask, traces[way], d[:, :, None] * self.w["o"][n * CELLS : (n + 1) * CELLS], grad)
                 step += 1
+                rate = 0.02 * (1 - 0.95 * step / last)
                 for k, g in grad.items():
                     g = g + 1e-5 * self.w[k]
                     mean[k] = 0.9 * mean[k] + 0.1 * g
                     square[k] = 0.99 * square[k] + 0.01 * g * g
-                    self.w[k] -= 0.02 * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
+                    self.w[k] -= rate * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.99**step)) + 1e-8)
 
     def extract(self, pages: list[str | None]) -> tuple[list[str], list[int]]:
         """Main text and its length for each page."""
@@ -287,54 +344,179 @@ def _padded(xs: list[np.ndarray], ys: list[np.ndarray] | None) -> tuple[np.ndarr
     return x, mask, y
 
 
-# Paths of parts that are put into pages for training.
-SIDE_PARTS = (
-    ("header",), ("header", "nav", "ul", "li", "a"), ("nav", "a"), ("aside", "p"), ("div", "sidebar", "p"), ("div", "sidebar", "ul", "li", "a"),
-    ("div", "menu", "a"), ("div", "cookie", "notice"), ("div", "notice", "p"), ("div", "banner"), ("div", "advert", "p"), ("div", "ad"), ("div", "ads", "p"),
-    ("section", "comments", "div", "comment", "p"), ("div", "comments", "p"), ("ul", "comments", "li", "comment"), ("div", "comment", "p"),
-    ("form", "label"), ("form", "button"), ("form", "p"), ("footer", "p"), ("footer",), ("div", "footer"), ("div", "related", "a"), ("div", "share", "a"),
-    ("div", "newsletter", "form"), ("div", "promo"), ("div", "widget", "h"), ("aside", "h"), ("section", "comments", "h"),
-)
-OTHER_MAIN = (("main",), ("div", "content"), ("main", "article"), ("section", "content"), ("div", "post", "content"), ("article", "section"))
-
-
-def varied(blocks: list[Block], y: np.ndarray, rng: np.random.Generator) -> tuple[list[Block], np.ndarray]:
-    """The page with side parts put in at random places, and at times its article under another name."""
-    name = OTHER_MAIN[rng.integers(len(OTHER_MAIN))] if rng.random() < 0.4 else ("article",)
-    new, labels = [], []
-    for b, own in zip(blocks, y, strict=True):
-        path = tuple(q for n in b.path for q in (name if n == "article" else (n,)))
-        new.append(Block(path, b.text, b.linked))
-        labels.append(own)
-    words = " ".join(b.text for b in blocks).split()
-    top = ("html", "body")
-    for _ in range(rng.integers(1, 6)):
-        part = SIDE_PARTS[rng.integers(len(SIDE_PARTS))]
-        at = int(rng.integers(len(new) + 1))
-        around = top + (name if rng.random() < 0.5 else ())
-        for _ in range(rng.integers(1, 4)):
-            size = int(rng.integers(1, 30))
-            first = int(rng.integers(max(1, len(words) - size)))
-            text = " ".join(words[first : first + size]) or "x"
-            new.insert(at, Block(around + part, text, len(text) if "a" in part else 0))
-            labels.insert(at, False)
-    return new, np.array(labels, bool)
+# Parts of a page that are not main text, with the tags and the names that they go by.
+SIDE_PARTS = {
+    "links": (("nav", "menu"), "nav navbar navigation menu breadcrumb breadcrumbs pagination toolbar mainmenu".split()),
+    "top": (("header",), "header masthead banner topbar brand".split()),
+    "bottom": (("footer",), "footer bottom copyright colophon contentinfo".split()),
+    "rail": (("aside",), "sidebar aside widget rail complementary".split()),
+    "notice": (("dialog",), "notice cookie cookies consent gdpr popup modal alert cookiebar".split()),
+    "advert": ((), "ad ads advert adverts advertisement sponsor sponsored promo adbox".split()),
+    "form": (("form",), "subscribe newsletter search login signup".split()),
+    "comments": ((), "comment comments commentlist replies respond discussion disqus".split()),
+    "more": ((), "related recommended share social morelinks".split()),
+}
+#: Parts that are known without their name, by what is in them.
+PLAIN_PARTS = ("links", "top", "bottom", "form", "more", "rail")
+MAIN_BOXES = "content post entry story text body page maincontent articlebody".split()
+INNER_NAMES = "title entry head tags label lead intro header share section first note summary box".split()
+
+
+class _Builder:
+    """Pages with articles of given texts."""
+
+    def __init__(self, texts: list[str], rng: np.random.Generator):
+        self.texts, self.rng = texts, rng
+        self.words = " ".join(texts).split() or ["x"]
+        self.blocks: list[Block] = []
+        self.labels: list[bool] = []
+
+    def one(self, of):
+        return of[int(self.rng.integers(len(of)))]
+
+    def coin(self, chance: float) -> bool:
+        return bool(self.rng.random() < chance)
+
+    def strange(self) -> str:
+        """A name that was never seen."""
+        return "".join(self.one("abcdefghijklmnopqrstuvwxyz") for _ in range(int(self.rng.integers(3, 10))))
+
+    def phrase(self, low: int, high: int, stop: bool = False) -> str:
+        size = int(self.rng.integers(low, high + 1))
+        at = int(self.rng.integers(max(1, len(self.words) - size)))
+        text = " ".join(self.words[at : at + size])
+        return text.rstrip(".,!?;:") + "." if stop else text.rstrip(".,!?;:") or "x"
+
+    def put(self, main: bool, path: tuple[str, ...], text: str, linked: bool = False) -> None:
+        self.blocks.append(Block(path, text, len(text) if linked else 0))
+        self.labels.append(main)
+
+    def side(self, kind: str, top: tuple[str, ...], named: bool) -> None:
+        """One part that is not main text, below ``top``."""
+        tags, names = SIDE_PARTS[kind]
+        named = named or kind not in PLAIN_PARTS
+        if told(top)[0]:  # inside an article that is named so, other parts have names that tell
+            names = [n for n in names if told((n,))[1]]
+        if named and tags and self.coin(0.5):
+            box = (self.one(tags),)
+        elif named:
+            box = (self.one(("div", "div", "section", "ul", "ol") if kind == "comments" else ("div", "div", "section")), self.one(names))
+        elif self.coin(0.25):
+            box = ()
+        else:
+            box = (self.one(("div", "div", "section", "ul", "td", "p")), *([self.strange()] if self.coin(0.5) else []))
+        if named and self.coin(0.3):
+            box += (self.strange(),)
+        path = top + box
+        items = ("li",) if box[:1] in (("ul",), ("ol",)) else self.one((("ul", "li"), ("ul", "li"), (), ("span",), ("div",), ("p",)))
+        if kind in ("links", "more", "rail"):
+            if kind != "links" and self.coin(0.6):
+                self.put(False, path + (self.one(("h2", "h3", "h4", "p", "div")),), self.phrase(1, 4))
+            for _ in range(int(self.rng.integers(2, 9))):
+                self.put(False, path + items, self.phrase(1, 2 if kind == "links" else 8), True)
+            if kind == "rail" and named and self.coin(0.5):
+                self.put(False, path + ("p",), self.phrase(5, 30, True))
+        elif kind == "top":
+            self.put(False, path + self.one(((), ("h1",), ("div",), ("p",), ("span",))), self.phrase(1, 4), self.coin(0.5))
+            if self.coin(0.5):
+                self.put(False, path + self.one((("p",), ("div",), ("span",))), self.phrase(2, 7))
+        elif kind == "bottom":
+            for _ in range(int(self.rng.integers(1, 4))):
+                year = self.one(("\xa9 2020 ", "\xa9 ", "Copyright 2021 ", "Copyright ", "(c) 2019 ", *([""] if box else [])))
+                self.put(False, path + self.one(((), ("p",), ("div",))), year + self.phrase(2, 12, self.coin(0.4)), self.coin(0.3))
+        elif kind == "notice":
+            self.put(False, path + self.one(((), ("p",), ("div",))), self.phrase(5, 30, True))
+            if self.coin(0.6):
+                self.put(False, path + ("button",), self.phrase(1, 2))
+        elif kind == "advert":
+            self.put(False, path + self.one(((), (), ("p",), ("div",))), self.phrase(2, 25, self.coin(0.7)), self.coin(0.3))
+        elif kind == "form":
+            path = path if "form" in path else path + ("form",)
+            for tag in ("p", "label", "label", "button")[int(self.rng.integers(0, 3)) :]:
+                self.put(False, path + (tag,), self.phrase(1, 8 if tag == "p" else 3))
+        else:
+            if self.coin(0.6):
+                self.put(False, path + (self.one(("h2", "h3", "h4")),), self.phrase(1, 3))
+            each = self.one((("li",), ("div", "comment"), ("article",), ("li", "article"), ()))
+            for _ in range(int(self.rng.integers(1, 6))):
+                if self.coin(0.5):
+                    self.put(False, path + each + (self.one(("div", "p", "b", "cite")),), self.phrase(1, 4))
+                self.put(False, path + each + self.one((("p",), ("p",), ())), self.phrase(3, 50, True))
+
+    def article(self, top: tuple[str, ...]) -> None:
+        """The texts as an article below ``top``."""
+        name = lambda: (self.one((self.strange(), self.one(INNER_NAMES))),) if self.coin(0.25) else ()
+        if self.coin(0.8):
+            head = ("header",) if self.coin(0.2) and ("article" in top or "main" in top) else ()
+            self.put(True, top + head + (self.one(("h1", "h1", "h2")), *name()), self.phrase(2, 10))
+        for text in self.texts:
+            kind = self.rng.random()
+            if kind < 0.1:
+                self.put(True, top + (self.one(("h2", "h3", "h4")), *name()), self.phrase(1, 8))
+            if kind > 0.9:
+                own = (self.one(("ul", "ol")), *[self.one((self.strange(), self.one(INNER_NAMES))) for _ in range(int(self.rng.integers(0, 3)))], "li")
+                for _ in range(int(self.rng.integers(2, 5))):
+                    self.put(True, top + own, self.phrase(2, 20, self.coin(0.5)))
+            elif kind > 0.86:
+                for _ in range(int(self.rng.integers(2, 7))):
+                    self.put(True, top + ("table", "tr", self.one(("td", "td", "th"))), self.phrase(1, 8))
+            elif kind > 0.82:
+                self.put(True, top + self.one((("blockquote", "p"), ("blockquote",), ("pre",), ("figure", "figcaption"), ("dl", "dd"))), self.phrase(3, 30, True))
+            elif kind > 0.76:
+                again = self.phrase(1, 4, True)
+                for _ in range(int(self.rng.integers(2, 9))):
+                    self.put(True, top + ("p",), again if self.coin(0.6) else self.phrase(1, 5, self.coin(0.7)))
+            if self.coin(0.12):
+                self.side(self.one(("advert", "advert", "more", "notice", "form")), top, True)
+            self.put(True, top + (self.one(("p",) * 8 + ("div",)), *name()), text if self.coin(0.6) else self.phrase(1, 40, self.coin(0.6)))
+
+    def page(self) -> tuple[list[Block], np.ndarray]:
+        mode = self.one(("tags", "names", "strange", "strange", "none"))
+        named = mode in ("tags", "names") or self.coin(0.3)
+        top: tuple[str, ...] = ("html", "body")
+        self.put(False, ("html", "head", "title"), self.phrase(2, 10))
+        for _ in range(int(self.rng.integers(0, 3))):
+            top += ("div", *([self.one((self.strange(), "wrapper", "container", "page"))] if mode != "none" else []))
+        if self.coin(0.12):
+            top += ("table", "tr", "td")
+        box = {
+            "tags": self.one((("article",), ("main",), ("main", "article"), ("article", self.strange()))),
+            "names": (self.one(("div", "div", "section", "td")), self.one(MAIN_BOXES)),
+            "strange": (self.one(("div", "div", "section", "td")), self.strange()),
+            "none": self.one(((), ("div",), ("td",), ("div", "div"))),
+        }[mode]
+        before = [k for k in ("top", "links", "notice", "advert", "rail", "form") if self.coin(0.4 if k != "links" else 0.8)]
+        after = [k for k in ("more", "comments", "advert", "rail", "form", "notice", "links", "bottom") if self.coin(0.35 if k != "bottom" else 0.8)]
+        if self.coin(0.4):
+            self.rng.shuffle(before)
+        for kind in before:
+            self.side(kind, top, named)
+        self.article(top + box)
+        for kind in after:
+            self.side(kind, top + box if self.coin(0.25) and (named or kind not in PLAIN_PARTS) else top, named)
+        return self.blocks, np.array(self.labels, bool)
 
 
 def lessons(page: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(inputs, labels) of runs of the page's blocks, each as it is and varied."""
+    """(inputs, labels) of runs of the page's blocks as they are, and of pages built of their texts."""
     blocks, out = blocks_of(page), []
     if not blocks:
         return out
-    labels, rng = taught(blocks), np.random.default_rng(_hash(page))
+    spoken = any(n in MAIN_NAMES for b in blocks for n in b.path)
+    labels = taught(blocks) if spoken else np.array([len(b.text.split()) >= 15 and 5 * b.linked < len(b.text) for b in blocks])
+    x, rng = inputs(blocks), np.random.default_rng(_hash(page))
     stretches = min(WINDOWS, -(-len(blocks) // BLOCKS))
     for k in range(stretches):
         low, high = k * len(blocks) // stretches, (k + 1) * len(blocks) // stretches
         at = int(rng.integers(low, max(low, high - BLOCKS) + 1))
         end = min(at + BLOCKS, high)
-        out.append((inputs(blocks[at:end], at, len(blocks)), labels[at:end]))
-        more, y = varied(blocks[at:end], labels[at:end], rng)
-        out.append((inputs(more, at, len(blocks) + len(more) - (end - at)), y))
+        if spoken:
+            out.append((x[at:end], labels[at:end]))
+        texts = [b.text for b, y in zip(blocks[at:end], labels[at:end], strict=True) if y]
+        for _ in range(BUILT if texts else 0):
+            first = int(rng.integers(len(texts)))
+            built, y = _Builder(texts[first : first + int(rng.integers(1, 13))], rng).page()
+            out.append((inputs(built)[:BLOCKS], y[:BLOCKS]))
     return out
 
 

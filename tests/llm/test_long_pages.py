@@ -19,8 +19,9 @@ def test_long_pages_teach(spark):
     for r in html_blocks.main_text(pages, model).collect():
         assert r.text.startswith("Sentence 0 ") and "All rights" not in r.text and "Home" not in r.text
     ends = [html_blocks.lessons(h) for _, _, h in rows]
-    assert max(x[:, -3].max() for e in ends for x, _ in e) > 0.8
-    assert all(len(e) == 2 * html_blocks.WINDOWS for e in ends)
+    place = html_blocks.PATH + html_blocks.WORDS + 5
+    assert max(e[0][0][:, place].max() for e in ends) <= 0.25 and max(x[:, place].max() for e in ends for x, _ in e) > 0.8
+    assert all(len(e) == (1 + html_blocks.BUILT) * html_blocks.WINDOWS for e in ends)
 
 
 def test_no_page_to_learn_from(spark):
