@@ -9,9 +9,14 @@ is hashed with its number, so that sets are compared as multisets.  The
 fingerprint is the sorted set, eight hex digits each.  A text of one or two characters is
 a signature itself; an empty one has none.
 
-Two sets of lengths a <= b have a Jaccard likeness of at most a / b.  Sets are
-dealt into partitions by length so that only the same and neighbouring
-partitions can reach the floor; others are not compared and count as 0.
+Two sets of lengths a <= b have a Jaccard likeness of at most a / b.  ``links``
+finds all pairs of sets that reach a floor: sets are dealt into partitions by
+length, so that only those of the same and of neighbouring partitions can reach
+it, and within one by the signatures that are rarest in the table, of which two
+such sets share at least one among the first few.  Pairs that meet are held
+against the floor by lengths first, then by their common signatures.  A signature
+with more than ``BUCKET`` sets of a partition is split.  The fingerprints of two
+given texts are compared without a floor.
 
 Cases: a null text is an empty one; equal texts have likeness 1; ids that repeat
 stay rows of their own, ordered by a hash of their texts; a null id comes first;
@@ -30,9 +35,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nodepulse.llm.common import kept, slices
+from nodepulse.llm.components import star_components
+
 # Common words of English, German, French and Spanish.
 ANCHORS = frozenset(
     """
@@ -46,6 +55,8 @@ ANCHORS = frozenset(
 WORD = re.compile(r"[^\W\d_]+")
 #: Content words in a chain; words without an anchor after which any word is one; words under which a text is short, or tiny.
 CHAIN, GAP, SHORT, TINY = 2, 8, 24, 5
+#: Sets of one partition and signature that meet in one place.
+BUCKET = 2000
 
 
 def signatures(text: str, chain: int = CHAIN) -> frozenset[int]:
@@ -82,19 +93,15 @@ def fingerprint(found: frozenset[int]) -> str:
     return np.sort(np.fromiter(found, ">u4", len(found))).astype(">u4").tobytes().hex()
 
 
-def length_partition(size: int, floor: float) -> int:
-    """Sets that reach ``floor`` lie in the same or neighbouring partitions."""
-    return int(math.log(size) / -math.log(floor)) if size else -2
+def length_part(size: Column, floor: float) -> Column:
+    """Number of a length's partition: each spans a factor of ``1 / floor``, so sets that reach it are in the same or the next."""
+    return F.floor(F.log(size) / -math.log(floor) + 1e-9).cast("int")
 
 
-def likeness(a: frozenset[int], b: frozenset[int], floor: float = 0.02) -> float:
-    """Jaccard likeness; 0 where the lengths alone keep it under ``floor``."""
+def likeness(a: frozenset[int], b: frozenset[int]) -> float:
+    """Jaccard likeness; two empty sets are alike."""
     if a == b:
         return 1.0
-    if abs(length_partition(len(a), floor) - length_partition(len(b), floor)) > 1:
-        return 0.0
-    if min(len(a), len(b)) < floor * max(len(a), len(b)):
-        return 0.0
     common = len(a & b)
     return common / (len(a) + len(b) - common)
 
@@ -153,7 +160,7 @@ def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def spotsigs(docs: DataFrame, floor: float = 0.02, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def spotsigs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of texts and of their edited forms, and how near they are; see the module's text."""
 
     def tasks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,8 +183,8 @@ def spotsigs(docs: DataFrame, floor: float = 0.02, id_col: str = "doc_id", text_
                             hashlib.sha256(new.encode("utf-8", "replace")).hexdigest(),
                             fingerprint(sigs),
                             fingerprint(changed),
-                            likeness(sigs, changed, floor),
-                            likeness(sigs, own, floor),
+                            likeness(sigs, changed),
+                            likeness(sigs, own),
                             len(sigs),
                         )
                     )
@@ -186,3 +193,64 @@ def spotsigs(docs: DataFrame, floor: float = 0.02, id_col: str = "doc_id", text_
 
     out = in_order(docs, id_col, text_col).mapInPandas(tasks, SCHEMA)
     return out.withColumn("doc_id", F.expr(f"nullif(doc_id, {-(1 << 63) + 1}L - 1L)"))
+
+
+def signature_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, key, sigs) of every row: the sorted signatures of its text, and their number as a set."""
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, 1):
+                found = [np.sort(np.fromiter(own, np.int64, len(own))) for own in map(signatures, ((t or "") for t in part.column(1).to_pylist()))]
+                keys = [xxhash.xxh64_intdigest(f.tobytes(), 3) - (1 << 63) for f in found]
+                ends = np.cumsum([0, *map(len, found)])
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.int64()), lists], names=["doc_id", "key", "sigs"])
+
+    rows = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
+    return rows.mapInArrow(tasks, "doc_id long, key long, sigs array<long>")
+
+
+def links(sets: DataFrame, floor: float = 0.8) -> DataFrame:
+    """(a, b, likeness) of all pairs of different sets (key, sigs) that reach ``floor``, between 0 and 1; empty sets have none."""
+    sets = kept(sets.where("size(sigs) > 0").select("key", "sigs").dropDuplicates(["key"]), "sets")
+    single = sets.select("key", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
+    often = single.groupBy("sig").agg(F.count("*").alias("often"))
+    in_order = F.array_sort(F.collect_list(F.struct("often", "sig")))
+    ranked = single.join(often, "sig").groupBy("key", "n").agg(in_order.alias("ranked"))
+    # Two sets that share ceil(floor * n) of n signatures share one of the n - that + 1 rarest of both.
+    few = F.slice("ranked", 1, (F.col("n") - F.ceil(F.col("n") * floor - 1e-9) + 1).cast("int"))
+    part = length_part(F.col("n"), floor)
+    index = ranked.select("key", "n", part.alias("part"), F.explode(few["sig"]).alias("sig"))
+    index = kept(index, "prefixes")
+    # The larger set of a pair lies in the partition of the smaller one or in the next.  It is in one piece of a bucket,
+    # the smaller one meets all pieces.
+    pieces = index.groupBy("part", "sig").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("pieces")).where("pieces > 1")
+    large = index.join(pieces, ["part", "sig"], "left").withColumn(
+        "piece", F.coalesce(F.pmod(F.xxhash64("key"), F.col("pieces")).cast("int"), F.lit(0))
+    )
+    small = index.withColumn("part", F.explode(F.array(F.col("part"), F.col("part") + 1)))
+    small = small.join(pieces, ["part", "sig"], "left").withColumn(
+        "piece", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1))
+    )
+    small = small.select("part", "sig", "piece", F.col("key").alias("a"), F.col("n").alias("na"))
+    large = large.select("part", "sig", "piece", F.col("key").alias("b"), F.col("n").alias("nb"))
+    met = small.join(large, ["part", "sig", "piece"]).where(F.col("na") >= F.col("nb") * floor - 1e-9).where("na < nb or na = nb and a < b")
+    pairs = met.select("a", "b").distinct()
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    alike = both.select("a", "b", (common / (F.size("sa") + F.size("sb") - common)).alias("likeness"))
+    return alike.where(F.col("likeness") >= floor - 1e-12)
+
+
+def near_classes(docs: DataFrame, floor: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, class_id, n_links) of every row: the smallest id that links of ``floor`` reach, and its set's links to other sets."""
+    rows = kept(signature_sets(docs, id_col, text_col), "signatures")
+    found = kept(links(rows, floor), "alike")
+    counted = found.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    roots = star_components(found.select("a", "b"))
+    first = rows.groupBy("key").agg(F.min("doc_id").alias("first"))
+    member = first.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    named = member.join(member.groupBy("root").agg(F.min("first").alias("class_id")), "root").join(counted, "key", "left")
+    named = named.select("key", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "n_links")

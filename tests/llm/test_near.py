@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -135,13 +136,83 @@ def test_spotsigs_of_one_document_and_of_repeated_ids(spark):
     assert sorted(r.doc_id for r in same) == [3] * 5 + [4]
 
 
-@given(st.lists(st.integers(0, 40), max_size=30), st.lists(st.integers(0, 40), max_size=30), st.sampled_from([0.02, 0.3, 0.8]))
+def plain_signatures(text):
+    """The module's rule, written out for one text."""
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    out, gap = [], 8
+    for k, word in enumerate(words):
+        anchor = word in spotsigs.ANCHORS
+        gap = 0 if anchor else gap + 1
+        chain = [w for w in words[k + 1 :] if w not in spotsigs.ANCHORS][:2]
+        if (anchor or gap > 8) and len(chain) == 2:
+            out.append(" ".join([word, *chain]))
+    if len(words) < 24:
+        out += [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
+    if len(words) < 5 and text:
+        out += [text[k : k + 3] for k in range(max(1, len(text) - 2))]
+    return {zlib.crc32(s.encode(), 0 if (n := out[:k].count(s)) == 0 else n + 1) for k, s in enumerate(out)}
+
+
+TEXTS = st.lists(st.sampled_from(["the", "and", "of", "house", "river", "old", "stone", "Town", "é", "x1", "."]), max_size=60).map(" ".join)
+
+
+@given(TEXTS)
+@settings(max_examples=200, deadline=None)
+def test_signatures_by_the_rule(text):
+    assert spotsigs.signatures(text) == plain_signatures(text)
+
+
+@given(st.frozensets(st.integers(0, 40)), st.frozensets(st.integers(0, 400), max_size=300))
 @settings(max_examples=200, deadline=None)
-def test_pruned_likeness_loses_nothing_above_the_floor(a, b, floor):
-    a, b = frozenset(a), frozenset(b)
-    exact = 1.0 if a == b else len(a & b) / len(a | b)
-    got = spotsigs.likeness(a, b, floor)
-    assert got == pytest.approx(exact) or (got == 0 and exact < floor)
+def test_likeness_is_exact(a, b):
+    assert spotsigs.likeness(a, b) == (len(a & b) / len(a | b) if a | b else 1.0)
+
+
+@pytest.mark.parametrize("floor, bucket", [(0.8, 2000), (0.5, 2000), (0.5, 3), (0.3, 1)])
+def test_search_equals_brute_force(spark, monkeypatch, floor, bucket):
+    monkeypatch.setattr(spotsigs, "BUCKET", bucket)
+    rng = np.random.default_rng(int(floor * 10) + bucket)
+    words = ["the", "of", "and", *[f"{a}{b}" for a in "abcdefgh" for b in "aeiou"]]
+    base = [list(rng.choice(words, int(n))) for n in rng.integers(1, 120, 25)]
+    base += [["the", "same", "line", "of", "licence", "and", "terms"] * 3 + list(rng.choice(words, 12)) for _ in range(25)]
+    rows = []
+    for k in range(160):
+        own = list(base[int(rng.integers(50))])
+        for _ in range(int(rng.integers(0, 6))):
+            own[int(rng.integers(len(own)))] = str(rng.choice(words))
+        rows.append((k // 2 if k > 150 else k, " ".join(own)))
+    rows += [(200, None), (201, ""), (202, "1 2 3"), (None, rows[0][1]), (None, "x")]
+    sets = [plain_signatures(t or "") for _, t in rows]
+    kinds = sorted({tuple(sorted(s)) for s in sets})
+    near = {
+        (a, b): len(set(a) & set(b)) / len(set(a) | set(b)) for a in kinds for b in kinds if a < b and len(set(a) & set(b)) >= floor * len(set(a) | set(b)) - 1e-9 and a
+    }
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = spotsigs.signature_sets(frame)
+    name = {r.key: tuple(sorted(r.sigs)) for r in found.collect()}
+    got = {tuple(sorted((name[r.a], name[r.b]))): r.likeness for r in spotsigs.links(found, floor).collect()}
+    assert got.keys() == near.keys()
+    assert all(got[p] == pytest.approx(near[p]) for p in got)
+    group = {s: s for s in kinds}
+
+    def root(s):
+        return s if group[s] == s else root(group[s])
+
+    for a, b in near:
+        x, y = sorted((root(a), root(b)))
+        group[y] = x
+    first, count = {}, {s: sum(s in p for p in near) for s in kinds}
+    for (d, _), s in zip(rows, sets, strict=True):
+        r = root(tuple(sorted(s)))
+        first[r] = min((x for x in (d, first.get(r)) if x is not None), default=None)
+    want = sorted((str(d), str(first[root(tuple(sorted(s)))]), count[tuple(sorted(s))]) for (d, _), s in zip(rows, sets, strict=True))
+    classes = spotsigs.near_classes(frame, floor).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.n_links) for r in classes) == want
+
+
+def test_search_in_nothing(spark):
+    none = documents(spark, [])
+    assert spotsigs.near_classes(none).count() == 0
 
 
 def plain_top(rows, k, is_query):
