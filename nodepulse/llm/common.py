@@ -97,7 +97,7 @@ def excerpt(column: str, most: int, pieces: int = 10):
 
 
 def share_of(rows: DataFrame, group: str, most: int, *mixed: str, work: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
-    """At most ``most`` rows of each value of ``group``, drawn by a hash of the columns ``mixed``.
+    """At most ``most`` rows of each of the few values of ``group``, drawn by a hash of the columns ``mixed``.
 
     A hash threshold from the group's count leaves about as many rows as needed
     before any are ranked, so no group meets in one task.  ``work`` is done on

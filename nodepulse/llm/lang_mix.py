@@ -17,7 +17,8 @@ under their median fit as the fit that one in a hundred falls short of.
 
 Training takes at most ``per_language`` texts of each language, drawn by a hash of
 id and text from those of any length; of one of over ``CHARS`` characters it takes
-windows from all its parts.  Prediction reads all texts, whole.
+windows from all its parts.  At most ``languages`` values are learned, each is a
+megabyte of the model that goes to all tasks.  Prediction reads all texts, whole.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; without
 training rows every text is ``und``; ties go to the language first in the
@@ -33,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from nodepulse.llm.byte_bpe import worker_store
 from nodepulse.llm.common import excerpt, share_of, with_text_columns
@@ -163,9 +165,15 @@ def least_fit(texts: list[str], langs: list[str]) -> float:
     return float(middle - BELOW * (middle - np.quantile(fits, 0.01, method="lower")))
 
 
-def train(labelled: DataFrame, per_language: int = 800, bound: bool = False) -> LanguageModel:
-    """Model, with the bound of the fit if asked for, from rows (doc_id, text, lang); at most ``per_language`` texts of each language reach the driver."""
+def train(labelled: DataFrame, per_language: int = 800, bound: bool = False, languages: int = 100) -> LanguageModel:
+    """Model, with the bound of the fit if asked for, from rows (doc_id, text, lang).
+
+    At most ``per_language`` texts of each language reach the driver, of the
+    ``languages`` most frequent ones; of equally frequent ones those first in the alphabet.
+    """
     rows = labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text")
+    often = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    rows = rows.where(F.col("lang").isin([r["lang"] for r in often.collect()]))
     drawn = share_of(rows, "lang", per_language, "doc_id", "text", work=lambda d: d.withColumn("text", excerpt("text", CHARS)))
     got = sorted((r["lang"], r["text"]) for r in drawn.toLocalIterator())
     langs, texts = [g for g, _ in got], [t for _, t in got]

@@ -1,6 +1,7 @@
 """Language, toxicity, pages, pieces and conversations against plain versions."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -46,6 +47,50 @@ def test_mixed_text_has_both_languages_parts(corpus):
     assert scores[1] > 0.95
 
 
+def plain_mixture(logs, rounds):
+    """Language and share of one text, place by place: the rule of the module in plain numbers."""
+    langs = list(range(len(logs[0])))
+    alive, share = set(langs), {g: 1 / len(langs) for g in langs}
+    best = None
+    while alive:
+        for _ in range(rounds if len(alive) > 1 else 0):
+            new = dict.fromkeys(langs, 0.0)
+            for word in logs:
+                part = {g: share[g] * math.exp(word[g]) for g in alive}
+                for g in alive:
+                    new[g] += part[g] / sum(part.values()) / len(logs)
+            moved = max(abs(new[g] - share[g]) for g in langs)
+            share = new
+            if moved < 1e-3:
+                break
+        fit = sum(math.log(sum(share[g] * math.exp(word[g]) for g in alive)) for word in logs)
+        fit -= 0.5 * (len(alive) - 1) * math.log(len(logs) + 1)
+        if best is None or fit > best[0]:
+            best = (fit, max(langs, key=lambda g: (share[g], -g)), max(share.values()))
+        out = min(alive, key=lambda g: (share[g], -g))
+        alive = alive - {out}
+        total = sum(max(share[g], 1e-6) for g in alive)
+        share = {g: max(share[g], 1e-6) / total if g in alive else 0.0 for g in langs}
+    return best[1:]
+
+
+@given(st.integers(0, 2**32 - 1), st.integers(1, 30), st.integers(1, 5))
+@settings(max_examples=80, deadline=None)
+def test_mixtures_by_the_rule(seed, words, langs):
+    rng = np.random.default_rng(seed)
+    logs = rng.normal(-3, 1.5, (words, langs))
+    model = lang_mix.LanguageModel.__new__(lang_mix.LanguageModel)
+    model.langs = [str(g) for g in range(langs)]
+    pick, share = model.mixtures(logs, np.array([0]))
+    want = plain_mixture(logs.tolist(), lang_mix.ROUNDS)
+    assert (pick[0], share[0]) == (want[0], pytest.approx(want[1], abs=1e-9))
+
+
+def test_most_frequent_languages_only(spark):
+    rows = documents(spark, [(k, f"wort{k} satz haus", g) for k, g in enumerate(["b", "b", "c", "a", "a", "d"])])
+    assert lang_mix.train(rows, languages=3).langs == ["a", "b", "c"]
+
+
 def test_grams_stay_inside_words():
     one = lang_mix.gram_buckets(["abc"])[0]
     two, owner = lang_mix.gram_buckets(["abc", "de", "abc"])
