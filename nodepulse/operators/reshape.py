@@ -27,8 +27,8 @@ def non_null_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, cols: list[str], out: str = "n") -> DataFrame:
-    """Rows per distinct combination."""
-    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
+    """Rows per distinct combination, the most frequent first; equally frequent ones in their own order."""
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(out)).orderBy(F.desc(out), *cols)
 
 
 def union_tolerant(*frames: DataFrame | None) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import sensors
@@ -9,6 +10,7 @@ from ..functions.derive import compute_nodes_only
 from ..operators import distributions as dist
 from ..operators import failures as fl
 from ..operators import reshape
+from ..session import few
 from . import fixtures as fx
 from .queries_jobs import JOB_COMPTYPE_CTES, comptype_sql
 from .registry import check_sql, query, tidy
@@ -47,6 +49,21 @@ def failure_node_max(spark, sf):
     return fl.failure_node_max(failures(spark, sf))
 
 
+@query(
+    "failure_value_counts",
+    check_sql(
+        """select row_number() over (order by n desc, xid, gpu) as place, xid, gpu, n
+        from (select xid, gpu, count(*) as n from failures group by all) c""",
+        *_BASE,
+    ),
+)
+def failure_value_counts(spark, sf):
+    """Errors and slots, the most frequent first: the place of each in that order."""
+    counts = few(reshape.value_counts(failures(spark, sf), ["xid", "gpu"]))  # a row for each code and slot
+    place = F.row_number().over(Window.orderBy(F.desc("n"), "xid", "gpu")).cast("long")
+    return counts.select(place.alias("place"), "xid", "gpu", "n")
+
+
 _OFTEN = 230
 
 
