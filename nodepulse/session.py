@@ -72,9 +72,23 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[context.applicationId]
 
 
+def _own_scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`shared_folder`."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below :func:`shared_folder`, among those of this application."""
+    return f"{_own_scratch(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has written to its scratch paths.
+
+    For the end of a job, once its results are written elsewhere: tables that
+    were kept between steps, and token files, are gone then.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_scratch(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

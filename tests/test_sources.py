@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -165,3 +167,25 @@ def test_corrupt_files_are_named(spark, tmp_path):
             f.write(content)
     got = {os.path.basename(r.path).replace("%20", " "): r.length for r in readers.corrupt_files(spark, path, df.schema).collect()}
     assert got == {"a b.parquet": 11, "d.parquet": (2 << 20) + 4}
+
+
+def test_scratch_of_an_application_is_cleared(tmp_path):
+    """In a session of its own settings: the folder of the others stays."""
+    folder = str(tmp_path / "shared")
+    code = f"""
+import os
+from pyspark.sql import SparkSession
+from nodepulse.session import clear_scratch, scratch_path
+conf = {{"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": {folder!r}}}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+os.makedirs({folder!r} + "/other")
+path = scratch_path(spark, "x")
+spark.range(3).write.parquet(path)
+assert spark.read.parquet(path).count() == 3
+clear_scratch(spark)
+assert os.path.isdir({folder!r} + "/other") and not os.path.exists(os.path.dirname(path))
+clear_scratch(spark)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
