@@ -57,6 +57,10 @@ WORD = re.compile(r"[^\W\d_]+")
 CHAIN, GAP, SHORT, TINY = 2, 8, 24, 5
 #: Sets of one partition and signature that meet in one place.
 BUCKET = 2000
+#: Stands for a missing id.
+LOWEST = -(1 << 63)
+#: Kinds of rows drawn for each partition, to find bounds of equal parts.
+SAMPLED = 100
 
 
 def signatures(text: str, chain: int = CHAIN) -> frozenset[int]:
@@ -118,43 +122,72 @@ SCHEMA = (
 )
 
 
+class _Ranges:
+    """Ranges of (id, hash of text): range k lies before bound k, and each bound is its range's first row."""
+
+    def __init__(self, bounds: list[tuple[int, int]]):
+        self.ids, self.ties = (np.array([b[k] for b in bounds], np.int64) for k in (0, 1))
+
+    def place(self, ids: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """Range of each row."""
+        out = np.searchsorted(self.ids, ids, "right")
+        for i in np.unique(self.ids[np.isin(self.ids, ids)]):
+            own = np.flatnonzero(ids == i)
+            low, high = np.searchsorted(self.ids, i, "left"), np.searchsorted(self.ids, i, "right")
+            out[own] = low + np.searchsorted(self.ties[low:high], ties[own], "right")
+        return out
+
+    def first_rows(self, ids: np.ndarray, ties: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows that begin a range, one of each kind, and the ranges before those."""
+        found = [(np.flatnonzero((ids == self.ids[k]) & (ties == self.ties[k]))[:1], k) for k in np.flatnonzero(np.isin(self.ids, ids))]
+        found = [(int(rows[0]), int(k)) for rows, k in found if len(rows)]
+        return np.array([r for r, _ in found], np.int64), np.array([k for _, k in found], np.int64)
+
+
+def _ranges(rows: DataFrame, parts: int) -> tuple[_Ranges, int | None, int | None]:
+    """About ``parts`` ranges of equal numbers of rows, and the id and hash of the very first row.
+
+    The bounds are quantiles of at most about SAMPLED kinds of rows for each part, drawn by a hash.
+    """
+    got = rows.agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "tie")).alias("first")).first()
+    if got["first"] is None:
+        return _Ranges([]), None, None
+    rate = min(1.0, SAMPLED * parts / got["n"])
+    drawn = rows.where(F.pmod(F.xxhash64("doc_id", "tie"), F.lit(1 << 30)) < rate * (1 << 30))
+    kinds = sorted(tuple(r) for r in drawn.groupBy("doc_id", "tie").count().collect())
+    seen = np.cumsum([n for _, _, n in kinds])
+    places = np.searchsorted(seen, [k * seen[-1] / parts for k in range(1, parts)]) if len(kinds) else []
+    first = tuple(got["first"])
+    return _Ranges(sorted({kinds[p][:2] for p in places} - {first})), *first
+
+
 def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, copy) dealt out by ranges of ids and sorted; each range also gets, as a copy, the document after it.
+    """(doc_id, text, copy) dealt out by ranges of (id, hash of text) and sorted; each range also gets, as a copy, the document after it.
 
-    The ranges come from the ids alone.  Their bounds are ids of the table, at
-    most one for each partition, so the row after a range is the row at its
-    bound.
+    The bounds of the ranges are rows of the table, at most one for each
+    partition, so the row after a range is the row at its bound.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lowest = -(1 << 63)
-    rows = docs.select(
-        F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    )
-    shares = [k / parts for k in range(1, parts)] or [1.0]
-    got = rows.agg(
-        F.percentile_approx("doc_id", shares, 10 * max(parts, 1000)).alias("bounds"), F.min("doc_id").alias("first")
-    ).first()
-    first = got["first"]
-    bounds = np.array(sorted({b for b in got["bounds"] or [] if b != first and parts > 1}), np.int64)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("tie"))
+    ranges, first, first_tie = _ranges(rows, parts)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            dest = np.searchsorted(bounds, ids, "right")
-            at_bound, at_first = np.flatnonzero(np.isin(ids, bounds)), np.flatnonzero(ids == first)
-            take = np.concatenate([np.arange(len(ids)), at_bound, at_first])
-            to = np.concatenate([dest, dest[at_bound] - 1, np.full(len(at_first), len(bounds))])
+            ids, ties = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            begins, before = ranges.first_rows(ids, ties)
+            at_first = np.flatnonzero((ids == first) & (ties == first_tie))[:1]
+            take = np.concatenate([np.arange(len(ids)), begins, at_first])
+            to = np.concatenate([ranges.place(ids, ties), before, np.full(len(at_first), len(ranges.ids))])
             out = batch.take(pa.array(take))
             copy = np.arange(len(take)) >= len(ids)
             yield pa.RecordBatch.from_arrays(
-                [*out.columns, pa.array(copy), pa.array(to.astype(np.int32))], names=["doc_id", "text", "copy", "dest"]
+                [*out.columns, pa.array(copy), pa.array(to.astype(np.int32))], names=["doc_id", "text", "tie", "copy", "dest"]
             )
 
-    dealt = rows.mapInArrow(deal, "doc_id long, text string, copy boolean, dest int")
+    dealt = rows.mapInArrow(deal, "doc_id long, text string, tie long, copy boolean, dest int")
     return (
-        dealt.withColumn("tie", F.xxhash64("text"))
-        .repartitionById(len(bounds) + 1, "dest")
+        dealt.repartitionById(len(ranges.ids) + 1, "dest")
         .sortWithinPartitions("copy", "doc_id", "tie")
         .select("doc_id", "text", "copy")
     )

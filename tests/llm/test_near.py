@@ -136,6 +136,23 @@ def test_spotsigs_of_one_document_and_of_repeated_ids(spark):
     assert sorted(r.doc_id for r in same) == [3] * 5 + [4]
 
 
+@pytest.mark.parametrize("hot", [5, None])
+def test_rows_of_a_hot_id_are_dealt_out(spark, hot):
+    rows = [(hot, f"the text number {k} of the hot id and {k * k} more") for k in range(60)] + [(hot, "the same of the hot id")] * 3
+    rows += [((1 << 62) + k, f"a text of its own, {k} and the rest") for k in range(10)] + [(None, "no id and the end")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    ranges, first, _ = spotsigs._ranges(frame.selectExpr(f"coalesce(doc_id, {spotsigs.LOWEST + 1}L - 1L) as doc_id", "text", "xxhash64(text) as tie"), 4)
+    assert len(ranges.ids) == 3 and first == spotsigs.LOWEST and len(set(ranges.ids.tolist())) < 3
+    ordered = [(r.doc_id, r.text) for r in frame.selectExpr("*", "xxhash64(text) as tie").orderBy("doc_id", "tie").collect()]
+    want = []
+    for (d, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        want.append((str(d), hashlib.sha256(spotsigs.edited(text, after).encode()).hexdigest()))
+    got = spotsigs.spotsigs(frame).collect()
+    assert sorted((str(r.doc_id), r.edited_sha256) for r in got) == sorted(want)
+    parts = spotsigs.in_order(frame, "doc_id", "text").selectExpr("copy", "spark_partition_id() as part").where("not copy")
+    assert max(r["count"] for r in parts.groupBy("part").count().collect()) < 40
+
+
 def plain_signatures(text):
     """The module's rule, written out for one text."""
     words = re.findall(r"[^\W\d_]+", text.lower())
