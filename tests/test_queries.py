@@ -33,6 +33,11 @@ SAMPLE = [
     "ecdf",
     "kde_2d",
     "compact_roundtrip",
+    "corrupt_files",
+    "half_written_days_pending",
+    "final_all_sensors",
+    "stream_late_rows",
+    "stream_power_of_readings",
     "stream_cluster_power",
 ]
 NAMES = list(REGISTRY) if os.environ.get("NODEPULSE_ALL") else SAMPLE
