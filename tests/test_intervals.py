@@ -1,6 +1,7 @@
 import pytest
 
 from nodepulse.operators import intervals, jobs
+from nodepulse.plans import fixtures
 
 
 @pytest.fixture
@@ -102,3 +103,14 @@ def test_job_ends_outward_and_nearest(spark):
         assert sorted(r.id for r in intervals.join_jobs_by_time(points, pernode, "10 seconds", ends=ends).collect()) == want
     ticks = intervals.expand_job_ticks(pernode, "10 seconds")
     assert intervals.join_ticks(points, ticks).count() == 2
+
+
+def test_job_rows_are_made_distinct_in_their_jobs_partition(spark, tables):
+    """No task holds the rows of all jobs it read, and the join's lists of nodes need no further shuffle."""
+    pernode = fixtures.pernode_jobs(spark, tables)
+    plan = pernode._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange hashpartitioning(allocation_id")
+    assert plan.count("partial_") <= 2 and plan.index("Exchange") == plan.index("Exchange hashpartitioning(allocation_id")
+    assert pernode.count() == pernode.distinct().count() == pernode.select("allocation_id", "node_name").distinct().count() > 0
+    joined = intervals.join_jobs_by_time(ticks(spark, "00:00:00"), pernode, "10 seconds")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(allocation_id") == 1
