@@ -7,7 +7,9 @@ import pyarrow as pa
 import pytest
 
 from nodepulse.functions import sensors
-from nodepulse.operators import hier_agg, moments, thermal
+from nodepulse.operators import hier_agg, intervals, jobs, moments, thermal
+from nodepulse.plans.registry import tidy
+from nodepulse.session import configure
 from nodepulse.sources import schemas
 
 
@@ -114,3 +116,55 @@ def test_counted_temperatures_of_nothing(spark):
     r = thermal.comptype_stats(one, ["k"], {"t": ["x", "y"]}).first()
     assert (r.t_size, r.t_count, r.t_mean, r.t_std, r.t_q50) == (2, 1, 61.5, None, 61.5)
     assert thermal.comptype_stats(df.limit(0), ["k"], {"t": ["x", "y"]}).count() == 0
+
+
+def test_single_readings_are_shuffled_once(spark):
+    """A partial row of one reading carries that reading alone."""
+    df = spark.range(50).selectExpr("id div 2 as k", *[f"if(id % {i + 2} = 0, null, cast(id * {i} as double)) as s{i}" for i in range(3)])
+    names = ["s0", "s1", "s2"]
+    for rows, singles in ((df.where("k * 2 = id"), 25), (df.coalesce(1), 0)):
+        seen = []
+        keep, moments._shuffled = moments._shuffled, lambda partial, *a: seen.append(partial) or keep(partial, *a)
+        try:
+            got = moments.reduced(rows, ["k"], names, merge=False).collect()
+        finally:
+            moments._shuffled = keep
+        assert seen[0].where("min is null").count() == seen[0].where("size(sum) = 3 and tot_sq_dev is null").count() >= singles
+        want = {r.k: r for r in rows.groupBy("k").agg(*[c for v in names for c in hier_agg.moments(v)]).collect()}
+        assert {r.k: r.asDict() for r in got} == {k: r.asDict() for k, r in want.items()}
+
+
+def test_members_of_a_tick(spark):
+    """Statistics of groups that share readings equal those of the readings written out for each group."""
+    nodes = spark.range(60).selectExpr(
+        "timestamp_seconds(id div 20 * 10) as timestamp", "if(id % 20 = 19, null, concat('h', id % 10)) as hostname",
+        "if(id % 7 = 0, null, cast(id % 13 as double)) as x", "if(id % 5 = 0, null, id % 11 / 4D) as y",
+    )
+    pernode = spark.sql(
+        "select explode(array(1L, 2L, null)) as allocation_id, 3 as num_nodes, timestamp_seconds(0) as begin_time, timestamp_seconds(10) as end_time"
+    ).crossJoin(spark.range(7).selectExpr("if(id = 6, null, concat('h', id)) as node_name")).where("allocation_id is null or (node_name < concat('h', allocation_id * 2))")
+    keys, groups = ["timestamp", "allocation_id"], {"a": ["x", "y"], "b": ["y"]}
+    nodes = intervals.with_tick(nodes, "10 seconds")
+    joined = intervals.join_jobs_by_time(nodes, pernode, "10 seconds")
+    want = thermal.comptype_stats(joined, keys, groups)
+    for cells in (1, 1 << 20):
+        thermal.CELLS, before = cells, thermal.CELLS
+        try:
+            got = thermal.comptype_stats(nodes, keys, groups, members=joined)
+            assert got.columns == want.columns and got.dtypes == want.dtypes
+            assert sorted(map(repr, tidy(got, 9).collect())) == sorted(map(repr, tidy(want, 9).collect()))
+        finally:
+            thermal.CELLS = before
+    assert want.count() == 6
+    assert thermal.comptype_stats(nodes, keys, groups, members=joined.limit(0)).count() == 0
+    assert thermal.comptype_stats(nodes.limit(0), keys, groups, members=joined).count() == 0
+
+
+def test_matches_of_jobs_are_not_shuffled(spark):
+    """Readings and job ticks are laid out by tick; the statistics of (tick, job) are made where the matches lie."""
+    configure(spark)
+    nodes = spark.range(10).selectExpr("timestamp_seconds(id) as timestamp", "'h' as hostname", "1D as input_power_mean", "2D as total_power_mean")
+    pernode = spark.range(2).selectExpr("id as allocation_id", "'h' as node_name", "1 as num_nodes", "timestamp_seconds(0) as begin_time", "timestamp_seconds(5) as end_time")
+    plan = jobs.job_power_ts(nodes, pernode, "1 second")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
+    assert plan.count("Exchange hashpartitioning(__tick") == 2
