@@ -1,6 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
-from nodepulse.operators import intervals, jobs
+from nodepulse.operators import edges, intervals, jobs
 from nodepulse.plans import fixtures
 
 
@@ -114,3 +115,13 @@ def test_job_rows_are_made_distinct_in_their_jobs_partition(spark, tables):
     assert pernode.count() == pernode.distinct().count() == pernode.select("allocation_id", "node_name").distinct().count() > 0
     joined = intervals.join_jobs_by_time(ticks(spark, "00:00:00"), pernode, "10 seconds")
     assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(allocation_id") == 1
+
+
+def test_jobs_stay_in_as_many_partitions_as_the_session_has(spark, tables):
+    """Adaptive execution joins small partitions; those that hold the rows of many jobs are not to be joined."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    series = spark.range(40).selectExpr("id % 9 as allocation_id", "timestamp_seconds(id) as timestamp", "1D as sum_inp", "1L as count_inp", "1L as size_inp")
+    for df in (fixtures.pernode_jobs(spark, tables), edges.number_ticks(series)):
+        assert df.rdd.getNumPartitions() == parts
+        used = df.select("allocation_id", F.spark_partition_id().alias("part")).distinct().collect()
+        assert len({r.part for r in used}) > 1 and len(used) == len({r.allocation_id for r in used})
