@@ -16,6 +16,8 @@ import numpy as np
 
 #: Chunks kept in a worker's memory; when it is full it is emptied.
 KEPT_CHUNKS = 600_000
+#: New chunks encoded as one text; more make the library slower for each.
+LEARNED_AT_ONCE = 64
 
 _SPACE_RUN = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= )")
@@ -73,8 +75,8 @@ class ByteBpe:
         odd = [c for c in chunks if " " in c]
         self.known.update(zip(odd, self._alone([" " + c for c in odd]), strict=True))
         plain = [c for c in chunks if " " not in c]
-        for at in range(0, len(plain), 10_000):
-            part = plain[at : at + 10_000]
+        for at in range(0, len(plain), LEARNED_AT_ONCE):
+            part = plain[at : at + LEARNED_AT_ONCE]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             starts = np.flatnonzero(self.opens[ids])
             if len(starts) != len(part):  # a chunk that begins with white space, say
@@ -88,9 +90,19 @@ class ByteBpe:
         parts = [chunks_of(t) for t in texts]
         if len(self.known) > KEPT_CHUNKS:
             self.known.clear()
-        known = self.known
+        known, out, gaps, new = self.known, [], [], {}
         heads = self._alone([p[0] for p in parts])
-        new = list(dict.fromkeys(c for p in parts for c in p[1:] if c not in known))
+        for head, part in zip(heads, parts, strict=True):
+            got = list(map(known.get, part))
+            got[0] = head
+            if None in got:  # each chunk is looked up once, but for the new ones
+                at = [k for k, ids in enumerate(got) if ids is None]
+                new.update((part[k], None) for k in at)
+                gaps.append((part, got, at))
+            out.append(got)
         if new:
-            self._learn(new)
-        return [h + b"".join([known[c] for c in p[1:]]) for h, p in zip(heads, parts, strict=True)]
+            self._learn(list(new))
+            for part, got, at in gaps:
+                for k in at:
+                    got[k] = known[part[k]]
+        return [b"".join(got) for got in out]

@@ -9,7 +9,7 @@ from cases import DOCUMENTS, documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from nodepulse.llm import bitpack, packing
+from nodepulse.llm import bitpack, byte_bpe, packing
 from nodepulse.llm.byte_bpe import ByteBpe, load
 from nodepulse.llm.common import vocabulary
 from nodepulse.session import scratch_path
@@ -138,3 +138,34 @@ def test_packed_documents(spark, tokenizer):
         d: len(x) for d, x in ids.items() if d != 5
     }
     assert packing.packed_documents(documents(spark, []), PATH).count() == 0
+
+
+class Counted(dict):
+    """A dict that counts look-ups."""
+
+    looked = 0
+
+    def get(self, *a):
+        Counted.looked += 1
+        return super().get(*a)
+
+    def __getitem__(self, key):
+        Counted.looked += 1
+        return super().__getitem__(key)
+
+    def __contains__(self, key):
+        Counted.looked += 1
+        return super().__contains__(key)
+
+
+def test_known_chunks_are_looked_up_once():
+    path = vocabulary("byte_bpe_50k.json")
+    encoder, plain = byte_bpe.ByteBpe(path), byte_bpe.load(path)
+    encoder.known = Counted()
+    words = [f"w{k}x{k * k}" + ("\n" * (k % 97 == 0)) + "é," * (k % 3) for k in range(1500)] + ["\nbegins", "\tso"]
+    texts = ["First " + " ".join(words), "", " ".join(words[::-1]), "two  spaces \n here", "one"]
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert encoder.encode(texts) == want
+    Counted.looked = 0
+    assert encoder.encode(texts) == want
+    assert Counted.looked <= sum(len(byte_bpe.chunks_of(t)) for t in texts)
