@@ -70,51 +70,88 @@ class Pieces:
 
     # -- matching ---------------------------------------------------------
 
-    def suffixes(self, codes: np.ndarray) -> np.ndarray:
-        """Positions of ``codes`` sorted by the characters that a piece can have (prefix doubling)."""
-        rank = np.unique(codes, return_inverse=True)[1].astype(np.int64) + 1
-        order, known = np.argsort(rank, kind="stable"), 1
+    def words(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, int, int]:
+        """``codes`` as runs of characters in one 64-bit number for each position, smaller numbers before larger.
+
+        Also the distinct characters, and the bits and the number of characters of a run.  Breaks and what lies past
+        the end are the largest character.
+        """
+        alphabet, rank = np.unique(codes, return_inverse=True)
+        top = len(alphabet)
+        bits = (top + 1).bit_length()
+        run = max(1, min(64 // bits, self.longest))
+        padded = np.r_[rank.astype(np.uint64) + np.uint64(1), np.full(run, top + 1, np.uint64)]
+        word = np.zeros(len(codes), np.uint64)
+        for k in range(run):
+            word = word << np.uint64(bits) | padded[k : k + len(codes)]
+        return word, alphabet, bits, run
+
+    def suffixes(self, word: np.ndarray, run: int) -> np.ndarray:
+        """Positions sorted by the characters that a piece can have (prefix doubling from runs on)."""
+        order, known = np.argsort(word), run
+        key = word
         while known < self.longest:
+            sorted_ = key[order]
+            rank = np.empty(len(key), np.int64)
+            rank[order] = np.cumsum(np.r_[True, sorted_[1:] != sorted_[:-1]][: len(key)])
             next_ = np.r_[rank[known:], np.full(min(known, len(rank)), len(rank) + 1)]  # past the end sorts last, as a break does
             key = rank * (len(rank) + 2) + next_
-            order = np.argsort(key, kind="stable")
-            sorted_ = key[order]
-            rank = np.empty_like(rank)
-            rank[order] = np.r_[1, 1 + np.cumsum(sorted_[1:] != sorted_[:-1])]
+            order = np.argsort(key)
             known *= 2
         return order
 
-    def ranges(self, codes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each piece the range of sorted suffixes that begin with it, by binary search."""
-        padded = np.r_[codes, np.full(self.longest, _BREAK)]
-        reach = np.arange(self.longest)
-        within = reach < self.lengths[:, None]
-        found = []
-        for upper in (False, True):
-            low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order), np.int64)
-            while (open_ := np.flatnonzero(low < high)).size:
-                mid = (low[open_] + high[open_]) // 2
-                window = padded[order[mid][:, None] + reach]
-                differ = (window != self.codes[open_]) & within[open_]
-                first = differ.argmax(1)
-                row = np.arange(len(open_))
-                same = ~differ[row, first]
-                below = np.where(same, upper, window[row, first] < self.codes[open_, first])
-                low[open_[below]] = mid[below] + 1
-                high[open_[~below]] = mid[~below]
-            found.append(low)
-        return found[0], found[1]
+    def ranges(self, word: np.ndarray, order: np.ndarray, alphabet: np.ndarray, bits: int, run: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each piece the range of sorted suffixes that begin with it, by binary search, a run of characters at a time."""
+        low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order), np.int64)
+        place = np.minimum(np.searchsorted(alphabet, self.codes), len(alphabet) - 1) if len(alphabet) else np.zeros(self.codes.shape, np.int64)
+        within = np.arange(self.longest) < self.lengths[:, None]
+        if len(alphabet):
+            high[((alphabet[place] != self.codes) & within).any(1)] = 0  # a character that does not occur
+        place = np.where(within, place + 1, 0).astype(np.uint64)
+        ones = np.uint64((1 << bits) - 1)
+        for first in range(0, self.longest, run):
+            least, most = np.zeros(len(low), np.uint64), np.zeros(len(low), np.uint64)
+            for k in range(first, first + run):
+                inside = within[:, k] if k < self.longest else np.zeros(len(low), bool)
+                c = place[:, k] if k < self.longest else np.uint64(0)
+                least = least << np.uint64(bits) | np.where(inside, c, np.uint64(0))
+                most = most << np.uint64(bits) | np.where(inside, c, ones)
+            open_ = np.flatnonzero((low < high) & (self.lengths > first))
+            if not first:
+                sorted_ = word[order]
+                low[open_] = np.searchsorted(sorted_, least[open_], "left")
+                high[open_] = np.searchsorted(sorted_, most[open_], "right")
+                continue
+            # Within a range all runs before are equal, so it is sorted by this one.
+            later = np.r_[word, np.full(first, np.iinfo(np.uint64).max)][first:]
+            begin = self._first(later, order, low[open_], high[open_], least[open_], False)
+            high[open_] = self._first(later, order, begin, high[open_], most[open_], True)
+            low[open_] = begin
+        return low, high
+
+    def _first(self, word: np.ndarray, order: np.ndarray, low: np.ndarray, high: np.ndarray, want: np.ndarray, above: bool) -> np.ndarray:
+        """First place of each range with a number of at least ``want``, or ``above`` it, for many ranges at once."""
+        low, high = low.copy(), high.copy()
+        while (open_ := np.flatnonzero(low < high)).size:
+            mid = (low[open_] + high[open_]) // 2
+            at = word[order[mid]]
+            below = at <= want[open_] if above else at < want[open_]
+            low[open_[below]] = mid[below] + 1
+            high[open_[~below]] = mid[~below]
+        return low
 
     def edges(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Occurrences sorted by position and length: keys, and the pieces' places in the order of scores."""
-        order = self.suffixes(codes)
-        low, high = self.ranges(codes, order)
+        word, alphabet, bits, run = self.words(codes)
+        order = self.suffixes(word, run)
+        low, high = self.ranges(word, order, alphabet, bits, run)
         count = high - low
-        piece = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        piece = np.repeat(np.arange(len(count)), count)
         at = order[np.repeat(low - (np.cumsum(count) - count), count) + np.arange(len(piece))]
-        key = at * (self.longest + 1) + self.lengths[piece]
-        by_place = np.argsort(key, kind="stable")
-        return key[by_place], piece[by_place]
+        # Key and piece in one number: a sort moves them together.
+        shift = len(count).bit_length()
+        both = np.sort((at * (self.longest + 1) + self.lengths[piece]) << shift | piece)
+        return both >> shift, (both & ((1 << shift) - 1)).astype(np.int32)
 
     # -- relaxing ---------------------------------------------------------
 
@@ -129,16 +166,12 @@ class Pieces:
         inside = np.repeat(first, sizes) + np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         codes[inside] = text
         keys, pieces = self.edges(codes)
-        wide = self.longest + 1
+        wide, longest = self.longest + 1, self.longest
+        table = np.full(len(codes) * wide, NONE, np.int32)
+        table[keys] = pieces
 
         def look(start: np.ndarray, length: np.ndarray) -> np.ndarray:
-            want = start * wide + length
-            at = np.minimum(np.searchsorted(keys, want), len(keys) - 1) if len(keys) else np.zeros(len(want), np.int64)
-            hit = (length < wide) & (length > 0)
-            if len(keys):
-                hit &= keys[at] == want
-                return np.where(hit, pieces[at], NONE)
-            return np.full(len(want), NONE)
+            return np.where(length < wide, table[start * wide + np.minimum(length, longest)], NONE)
 
         # Symbols of all units side by side; the last of a unit has no edge to the right.
         start, unit = inside, np.repeat(np.arange(len(units)), sizes)

@@ -372,6 +372,25 @@ def test_matches_are_all_occurrences():
     assert (np.diff(keys) > 0).all()
 
 
+def test_few_sorts_find_all_matches(monkeypatch):
+    own = suffix_pieces.Pieces(PIECES)
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(suffix_pieces.np, "argsort", lambda *a, **kw: sorts.append(1) or argsort(*a, **kw))
+    own.edges(np.frombuffer("▁the▁theater in the".encode("utf-32-le"), np.uint32))
+    assert len(sorts) <= 2
+
+
+@pytest.mark.parametrize("letters", [2, 60, 300, 20_000])
+def test_runs_of_any_width_like_the_library(library, letters):
+    own = suffix_pieces.Pieces(PIECES)
+    random.seed(letters)
+    many = [chr(k) for k in range(0x4E00, 0x4E00 + letters)]
+    known = [p.replace("▁", " ") for p in random.sample(sorted(own.place), 400)]
+    texts = ["".join(random.choices([*many, *known], k=random.randint(0, 60))) for _ in range(300)] + ["".join(many)]
+    for got, text in zip(own.encode(texts, {}), texts, strict=True):
+        assert np.frombuffer(got, "<u4").tolist() == library.encode(text)
+
+
 def test_pieces_rows(spark, library):
     ids = suffix_pieces.encoded(documents(spark), PIECES)
     assert set(CLASH) <= set(ids.columns)
