@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from nodepulse.llm.byte_bpe import ByteBpe
+from nodepulse.llm.byte_bpe import TEXTS_AT_ONCE, ByteBpe
 from nodepulse.llm.common import kept
 
 BLOCK = 4096
@@ -171,14 +171,14 @@ def write_token_files(
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-            for at in range(0, len(texts), 256):
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
                 if writer is None:
                     path = f"{folder}/{shard:08d}-{uuid.uuid4().hex[:12]}.tok"
                     fs, name = storage(path)
                     fs.create_dir(name.rpartition("/")[0], recursive=True)
                     writer = TokenWriter(path, bits)
-                got = encoder.encode(texts[at : at + 256])
-                writer.add(keys[at : at + 256], [np.concatenate([np.frombuffer(g, "<u4"), end]) for g in got])
+                got = encoder.encode(texts[at : at + TEXTS_AT_ONCE])
+                writer.add(keys[at : at + TEXTS_AT_ONCE], [np.concatenate([np.frombuffer(g, "<u4"), end]) for g in got])
         if writer:
             writer.close()
             yield pd.DataFrame({"shard": [shard], "path": [path], "docs": [len(writer.docs)], "ids": [writer.first[-1]]})

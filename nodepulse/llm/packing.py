@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from nodepulse.llm.byte_bpe import ByteBpe
+from nodepulse.llm.byte_bpe import TEXTS_AT_ONCE, ByteBpe
 
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, capacity long"
@@ -110,8 +110,9 @@ def packed_documents(
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             keys = [None if pd.isna(k) else int(k) for k in batch["doc_id"]]
-            for at in range(0, len(texts), 256):
-                for key, got in zip(keys[at : at + 256], encoder.encode(texts[at : at + 256]), strict=True):
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                some = slice(at, at + TEXTS_AT_ONCE)
+                for key, got in zip(keys[some], encoder.encode(texts[some]), strict=True):
                     ids.append(key)
                     raw.append(got + end)
                     waiting += len(raw[-1]) // 4

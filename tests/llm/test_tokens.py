@@ -169,3 +169,32 @@ def test_known_chunks_are_looked_up_once():
     Counted.looked = 0
     assert encoder.encode(texts) == want
     assert Counted.looked <= sum(len(byte_bpe.chunks_of(t)) for t in texts)
+
+
+class Spy:
+    def __init__(self, tokenizer):
+        self.tokenizer, self.seen = tokenizer, []
+
+    def encode_batch_fast(self, texts, **kw):
+        self.seen += texts
+        return self.tokenizer.encode_batch_fast(texts, **kw)
+
+
+def test_a_word_is_learned_once_whatever_marks_end_it():
+    library, encoder = byte_bpe.load(PATH), byte_bpe.ByteBpe(PATH)
+    encoder.tokenizer, encoder.known = Spy(encoder.tokenizer), Counted()
+    words = ["wörx,", "wörx", "wörx.", "wörx!?", "wörx&&&", "wörx's", "wörx',", "7,", "你,", ".", "x\n,"]
+    texts = ["so " + " ".join(words * 5), "", "one " + " ".join(words[::-1])]
+    Counted.looked = 0
+    assert encoder.encode(texts) == [plain(library, t).tobytes() for t in texts]
+    # Alone, with 's, and with an apostrophe among the marks.
+    assert sum(t.count("wörx") for t in encoder.tokenizer.seen) == 3
+    assert Counted.looked < sum(len(byte_bpe.chunks_of(t)) for t in texts)
+
+
+def test_texts_are_encoded_in_parts(monkeypatch):
+    library, encoder = byte_bpe.load(PATH), byte_bpe.ByteBpe(PATH)
+    monkeypatch.setattr(byte_bpe, "CHARS_AT_ONCE", 20)
+    texts = ["", "a word, and a word.", "x" * 50, "", "two  runs \n of spaces", "é" * 19, "b", "one two", ""]
+    assert encoder.encode(texts) == [plain(library, t).tobytes() for t in texts]
+    assert encoder.encode([]) == []
