@@ -1,6 +1,7 @@
 """Matrices of mergeable aggregates, and counted temperatures."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -168,3 +169,36 @@ def test_matches_of_jobs_are_not_shuffled(spark):
     plan = jobs.job_power_ts(nodes, pernode, "1 second")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan[: plan.index("SortMergeJoin")]
     assert plan.count("Exchange hashpartitioning(__tick") == 2
+
+
+def test_wide_batches_are_reduced_in_pieces(spark, monkeypatch):
+    """Reducing takes many times the bytes of the rows, so tasks hold few rows of a batch at once and hand on few."""
+    names = [f"s{i}" for i in range(117)]
+    df = spark.createDataFrame([], "k long, " + ", ".join(f"{v} double" for v in names))
+    made, keep = [], type(df).mapInArrow
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, task, schema: made.append(task) or keep(self, task, schema))
+    moments.reduced(moments.reduced(df, ["k"], names, merge=False), ["k"], names, merge=True)
+    rng = np.random.default_rng(2)
+    values = np.where(rng.random((10_000, 117)) < 0.1, np.nan, rng.integers(0, 90, (10_000, 117)))
+    batch = pa.record_batch([pa.array(np.arange(10_000) * 2 // 3), *[pa.array(v, from_pandas=True) for v in values.T]], names=["k", *names])
+    for k, task in enumerate(made):
+        out, rows = [], 0
+        tracemalloc.start()
+        try:
+            for part in task(iter([batch])):
+                assert part.nbytes < 30e6
+                rows += part.num_rows
+                # Copies in Arrow's own memory, which is not counted.
+                out.append(pa.ipc.read_record_batch(part.serialize(), part.schema))
+                del part
+            most = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert most < 100e6, f"task {k}: {most / 1e6:.0f} MB"
+        table = pa.Table.from_batches(out).combine_chunks()
+        # Merging wants the counts of all variables, then their sums, and so on.
+        batch = (table.select(["k", *[f"{v}_{x}" for x in moments.KINDS for v in names]]) if k == 1 else table).to_batches()[0]
+    assert len(made) == 4 and batch.num_rows == 6667
+    own = [values[np.arange(10_000) * 2 // 3 == k, 0] for k in range(6667)]
+    assert batch.column("s0_count").to_pylist() == [int((~np.isnan(v)).sum()) for v in own]
+    assert batch.column("s0_max").to_pylist() == [None if np.isnan(v).all() else np.nanmax(v) for v in own]
