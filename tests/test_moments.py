@@ -9,6 +9,7 @@ import pytest
 
 from nodepulse.functions import sensors
 from nodepulse.operators import hier_agg, intervals, jobs, moments, thermal
+from nodepulse.plans import queries_jobs
 from nodepulse.plans.registry import tidy
 from nodepulse.session import configure
 from nodepulse.sources import schemas
@@ -202,3 +203,38 @@ def test_wide_batches_are_reduced_in_pieces(spark, monkeypatch):
     own = [values[np.arange(10_000) * 2 // 3 == k, 0] for k in range(6667)]
     assert batch.column("s0_count").to_pylist() == [int((~np.isnan(v)).sum()) for v in own]
     assert batch.column("s0_max").to_pylist() == [None if np.isnan(v).all() else np.nanmax(v) for v in own]
+
+
+def test_statistics_of_many_groups_take_little_memory():
+    """Sums come from the readings' own; temperatures are ranked for some groups at a time, in groups of any sizes."""
+    rng = np.random.default_rng(4)
+    temps = np.where(rng.random((500, 46)) < 0.1, np.nan, rng.integers(0, 200, (500, 46)) / 4)
+    temps[7] = np.nan
+    size = np.r_[1, rng.integers(1, 25, 8000), 300]
+    rows = np.r_[7, rng.integers(0, 500, size.sum() - 1)]
+    starts = np.cumsum(size) - size
+    ranked = thermal.Ranked(temps)
+    tracemalloc.start()
+    try:
+        got = dict(zip(thermal.COMPTYPE_KINDS, ranked.stats(rows, starts), strict=True))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 50e6, f"{most / 1e6:.0f} MB"
+    assert [got[k][0] for k in ("size", "count")] == [46, 0] and np.isnan([got[k][0] for k in ("mean", "std", "min", "max", "q25", "q50", "q75")]).all()
+    for k in (1, 2, 500, 8000, 8001):
+        own = temps[rows[starts[k] : starts[k] + size[k]]].ravel()
+        there = own[~np.isnan(own)]
+        want = [there.mean(), there.std(ddof=1), there.min(), there.max(), *np.quantile(there, [0.25, 0.5, 0.75]), len(own), len(there)]
+        assert [got[kind][k] for kind in thermal.COMPTYPE_KINDS] == pytest.approx(want, rel=1e-12)
+
+
+def test_nodes_of_comptype_job_are_computed_once(spark, tmp_path):
+    """The join and the statistics read one table of nodes."""
+    events = spark.range(200).selectExpr(
+        "id as event_id", "timestamp_seconds(id * 100) as ts", "id % 9 as user_id", "if(id % 5 = 0, 'signup', 'view') as event_type", "id / 3D as value"
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    made = queries_jobs.job_comptypes(spark, str(tmp_path))
+    assert "MapInArrow" not in made._jdf.queryExecution().optimizedPlan().toString()
+    assert made.count() > 0
